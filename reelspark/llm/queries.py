@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reelspark.llm import decontaminate, pack
+from reelspark.llm import decontaminate, pack, toxicity
+from reelspark.llm.labelled import held_out, labelled_documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +21,17 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    rows = labelled_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", 4, 2, 4 * toxicity.SAMPLE)
+    return toxicity.fit(rows)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir), column="score", keep=["doc_id"])
+    return scored.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -28,7 +41,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_packing": op6_packing, "op10_decontamination": op10_decontamination}
+    return {"op2_toxicity": op2_toxicity, "op6_packing": op6_packing, "op10_decontamination": op10_decontamination}
 
 
 OP10_SQL = r"""
