@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import decontaminate, pack, toxicity
+from reelspark.llm import decontaminate, ngram_join, pack, toxicity
 from reelspark.llm.labelled import held_out, labelled_documents
 
 
@@ -36,12 +36,16 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_toxicity": op2_toxicity, "op6_packing": op6_packing, "op10_decontamination": op10_decontamination}
+    return {"op2_toxicity": op2_toxicity, "op6_packing": op6_packing, "op9_ngram_jaccard_join": op9_ngram_jaccard_join, "op10_decontamination": op10_decontamination}
 
 
 OP10_SQL = r"""
@@ -67,5 +71,26 @@ FROM lowered LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+OP9_SQL = r"""
+WITH RECURSIVE lowered AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS g
+  FROM lowered, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (
+  SELECT doc_id AS x, doc_id AS y FROM lowered
+  UNION
+  SELECT r.x, b.y FROM reached r JOIN both_ways b ON b.x = r.y)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, min(r.y)::BIGINT AS component_id
+FROM lowered d JOIN reached r ON r.x = d.doc_id LEFT JOIN sizes s USING (doc_id) GROUP BY d.doc_id, s.n
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_decontamination": OP10_SQL}
+    return {"op9_ngram_jaccard_join": OP9_SQL, "op10_decontamination": OP10_SQL}
