@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import decontaminate, ngram_join, pack, toxicity
+from reelspark.llm import decontaminate, fingerprint, ngram_join, pack, toxicity
 from reelspark.llm.labelled import held_out, labelled_documents
 
 
@@ -36,6 +36,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.report(table(spark, sf_dir, "documents"))
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.classes(table(spark, sf_dir, "documents"))
 
@@ -45,7 +49,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_toxicity": op2_toxicity, "op6_packing": op6_packing, "op9_ngram_jaccard_join": op9_ngram_jaccard_join, "op10_decontamination": op10_decontamination}
+    return {"op2_toxicity": op2_toxicity, "op6_packing": op6_packing, "op8_fingerprints": op8_fingerprints, "op9_ngram_jaccard_join": op9_ngram_jaccard_join, "op10_decontamination": op10_decontamination}
 
 
 OP10_SQL = r"""
