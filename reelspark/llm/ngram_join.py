@@ -1,8 +1,8 @@
 """Jaccard self-join of documents on word n-grams, by a blocked sparse matrix product.
 
 Documents with one n-gram set are one node. A node's n-grams are put in one global order, rarest first by counters of fixed size over all documents;
-two sets that reach the threshold share one of each set's first n - ceil(t n) + 1 (a bound that its size gives). Nodes that share such an n-gram form families
-(connected components of stars). A family is dealt by hash into blocks of about ``block`` nodes; for each pair of blocks one task
+two sets that reach the threshold share one of each set's first n - ceil(t n) + 1 (a bound that its size gives). Nodes that share such an n-gram and are
+near in size form families (connected components of stars). A family is dealt by hash into blocks of about ``block`` nodes; for each pair of blocks one task
 multiplies the rows of one by the columns of the other: it accumulates the overlap counts of the incidence lists and discards pairs below
 ceil(t (|a| + |b|) / (1 + t)), the size-derived bound, which decides exactly. From each product come links that span what it found connected, so that a
 family of copies gives rows in proportion to its nodes and blocks and not to its pairs.
@@ -26,7 +26,7 @@ from reelspark.llm.components import components
 from reelspark.llm.shared import saved
 from reelspark.llm.shingles import set_signature, shingle_sets
 
-COUNTER_BITS, COUNTER_PARTS, FILTER_BITS, BLOCK = 18, 64, 23, 256
+COUNTER_BITS, COUNTER_PARTS, FILTER_BITS, BLOCK = 18, 64, 24, 256
 
 
 def n_gram_counters(docs: DataFrame, words: int) -> np.ndarray:
@@ -75,28 +75,43 @@ def keyed(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return docs.mapInArrow(key, f"doc_id {kind}, n long, node long, prefix array<long>")
 
 
-def stars(prefixes: DataFrame, partitions: int) -> DataFrame:
-    """Edges (a, b) from each node to the least node that has one of its prefix n-grams too."""
+def stars(nodes: DataFrame, partitions: int, percent: int) -> DataFrame:
+    """Edges (a, b) from each node to the least node of each cell that it is in. A cell has the nodes with one prefix n-gram and of one or the next smaller
+    size class; sizes of linked sets differ by a class at most. A cell counts if one of its nodes has the n-gram in the shorter prefix that the smaller of two linked sets needs."""
+    width = np.log(100 / percent) * 1.001 if percent < 100 else 1e-9
 
     def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if len(b)]
         if not got:
             return
-        gram, node = (np.concatenate([b.column(k).to_numpy() for b in got]) for k in ("gram", "node"))
-        order = np.lexsort((node, gram))
-        gram, node = gram[order], node[order]
-        start = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
+        gram, node, n, at = (np.concatenate([b.column(k).to_numpy() for b in got]) for k in ("gram", "node", "n", "at"))
+        order = np.argsort(gram, kind="stable")
+        again = gram[order][1:] == gram[order][:-1]
+        order = order[np.concatenate((again, [False])) | np.concatenate(([False], again))]
+        gram, node, n, at = gram[order], node[order], n[order], at[order]
+        short = at < n - -(-2 * percent * n // (100 + percent)) + 1
+        size_class = np.floor(np.log(n) / width).astype(np.int64)
+        gram, node, short = (np.concatenate((x, x)) for x in (gram, node, short))
+        own = np.arange(len(gram)) < len(size_class)
+        cell = np.concatenate((size_class, size_class + 1))
+        order = np.lexsort((node, cell, gram))
+        gram, node, short, own, cell = gram[order], node[order], short[order], own[order], cell[order]
+        start = np.flatnonzero(np.concatenate((np.ones(min(1, len(gram)), bool), (gram[1:] != gram[:-1]) | (cell[1:] != cell[:-1]))))
+        if not len(start):
+            return
         sizes = np.diff(np.concatenate((start, [len(gram)])))
+        counts = np.repeat(np.logical_or.reduceat(short, start) & np.logical_or.reduceat(own, start), sizes)
         least = np.repeat(node[start], sizes)
-        tied = np.unique(np.stack([node, least], 1)[node != least], axis=0)
-        for at in range(0, len(tied), 100_000):
-            yield pa.RecordBatch.from_pydict({"a": pa.array(tied[at : at + 100_000, 0]), "b": pa.array(tied[at : at + 100_000, 1])})
+        tied = np.unique(np.stack([node, least], 1)[counts & (node != least)], axis=0)
+        for k in range(0, len(tied), 100_000):
+            yield pa.RecordBatch.from_pydict({"a": pa.array(tied[k : k + 100_000, 0]), "b": pa.array(tied[k : k + 100_000, 1])})
 
-    return prefixes.select(F.explode("prefix").alias("gram"), "node").repartition(partitions, "gram").mapInArrow(tie, "a long, b long")
+    rows = nodes.select("node", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("at", "gram"))
+    return rows.select("gram", "node", "n", "at").repartition(partitions, "gram").mapInArrow(tie, "a long, b long")
 
 
 def membership_filter(nodes: DataFrame) -> np.ndarray:
-    """A Bloom filter of 2^23 bits, a byte each 8: 1 MB to the driver, whatever the input. It only spares work; joins decide."""
+    """A Bloom filter of 2^24 bits: 2 MB to the driver, whatever the input. It only spares work; joins decide."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << FILTER_BITS, bool)
@@ -112,7 +127,7 @@ def membership_filter(nodes: DataFrame) -> np.ndarray:
 
     kind = "part int, bits binary"
     out = np.zeros((COUNTER_PARTS, (1 << FILTER_BITS) // COUNTER_PARTS), bool)
-    for r in nodes.select("node").mapInArrow(mark, kind).groupBy("part").applyInArrow(union, kind).collect():
+    for r in nodes.select("node").coalesce(16).mapInArrow(mark, kind).groupBy("part").applyInArrow(union, kind).collect():
         out[r.part] = np.unpackbits(np.frombuffer(r.bits, np.uint8)).astype(bool)
     return out.ravel()
 
@@ -207,9 +222,9 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     """doc_id, n_shingles, component_id of every document: the smallest doc_id that its links reach."""
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     keys = saved(keyed(base, words, percent))
-    nodes = keys.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.any_value("prefix").alias("prefix"))
+    nodes = keys.where("node is not null").groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"))
     partitions = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    families = saved(components(stars(nodes, partitions)))
+    families = saved(components(stars(nodes, partitions, percent)))
     joined = components(links(base, nodes, families, words, percent, block))
     least = keys.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = least.join(joined, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))

@@ -4,16 +4,12 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 
 def saved(df: DataFrame) -> DataFrame:
     """df, computed once and kept in the folder that ``spark.checkpoint.dir`` names; tests may leave it unset."""
-    prepare(df.sparkSession)
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint()
-
-
-def prepare(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
