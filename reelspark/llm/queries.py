@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import decontaminate, fingerprint, ngram_join, pack, toxicity
+from reelspark.llm import decontaminate, fingerprint, ngram_join, pack, suffix_dedup, toxicity
 from reelspark.llm.labelled import held_out, labelled_documents
 
 
@@ -32,6 +32,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -49,7 +53,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_toxicity": op2_toxicity, "op6_packing": op6_packing, "op8_fingerprints": op8_fingerprints, "op9_ngram_jaccard_join": op9_ngram_jaccard_join, "op10_decontamination": op10_decontamination}
+    return {"op2_toxicity": op2_toxicity, "op3_suffix_array_dedup": op3_suffix_array_dedup, "op6_packing": op6_packing, "op8_fingerprints": op8_fingerprints, "op9_ngram_jaccard_join": op9_ngram_jaccard_join, "op10_decontamination": op10_decontamination}
 
 
 OP10_SQL = r"""
@@ -75,6 +79,22 @@ FROM lowered LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+OP3_SQL = r"""
+WITH bytes AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+starts AS (SELECT r, i, hash(substring(x, 2 * i + 1, 800)) AS m FROM bytes, unnest(range(0, len(x) // 2 - 399)) AS t(i)),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY m) AS c FROM starts) WHERE c > 1),
+marked AS (SELECT r, i, CASE WHEN i <= 400 + lag(i) OVER (PARTITION BY r ORDER BY i) THEN 0 ELSE 1 END AS fresh FROM twice),
+runs AS (SELECT r, min(i) AS a, max(i) + 400 AS b FROM (SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS g FROM marked) GROUP BY r, g),
+gaps AS (
+  SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS a, a AS b FROM runs
+  UNION ALL
+  SELECT r, max(b) AS a, 1000000000 AS b FROM runs GROUP BY r),
+kept AS (SELECT r, string_agg(substring(x, (2 * a + 1)::BIGINT, (2 * (b - a))::BIGINT), '' ORDER BY a) AS k FROM gaps JOIN bytes USING (r) GROUP BY r),
+gone AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY r)
+SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k, x))) AS kept_sha256
+FROM bytes LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)
+"""
+
 OP9_SQL = r"""
 WITH RECURSIVE lowered AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
@@ -97,4 +117,4 @@ FROM lowered d JOIN reached r ON r.x = d.doc_id LEFT JOIN sizes s USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_ngram_jaccard_join": OP9_SQL, "op10_decontamination": OP10_SQL}
+    return {"op3_suffix_array_dedup": OP3_SQL, "op9_ngram_jaccard_join": OP9_SQL, "op10_decontamination": OP10_SQL}
