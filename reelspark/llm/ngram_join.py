@@ -2,10 +2,10 @@
 
 Documents with one n-gram set are one node. A node's n-grams are put in one global order, rarest first by counters of fixed size over all documents;
 two sets that reach the threshold share one of each set's first n - ceil(t n) + 1 (a bound that its size gives). Nodes that share such an n-gram and are
-near in size form families (connected components of stars). A family is dealt by hash into blocks of about ``block`` nodes; for each pair of blocks one task
+near in size are in one group, named by its least node. A group is dealt by hash into blocks of about ``block`` nodes; for each pair of blocks one task
 multiplies the rows of one by the columns of the other: it accumulates the overlap counts of the incidence lists and discards pairs below
 ceil(t (|a| + |b|) / (1 + t)), the size-derived bound, which decides exactly. From each product come links that span what it found connected, so that a
-family of copies gives rows in proportion to its nodes and blocks and not to its pairs.
+group of copies gives rows in proportion to its nodes and blocks and not to its pairs.
 
 Nodes are known by a 64-bit hash of the set. Null text, empty text and text without words have an empty set, linked with nothing. A text of fewer than
 ``words`` words has one n-gram, the whole sequence. Repeated rows and repeated ids are linked as their texts are; null ids stay rows and never name a component
@@ -26,11 +26,11 @@ from reelspark.llm.components import components
 from reelspark.llm.shared import saved
 from reelspark.llm.shingles import set_signature, shingle_sets
 
-COUNTER_BITS, COUNTER_PARTS, FILTER_BITS, BLOCK = 18, 64, 24, 256
+COUNTER_BITS, COUNTER_PARTS, FILTER_BITS, BLOCK = 20, 64, 24, 256
 
 
 def n_gram_counters(docs: DataFrame, words: int) -> np.ndarray:
-    """In how many documents n-grams of each of 2^18 hash slots are: 1 MB to the driver, whatever the input."""
+    """In how many documents n-grams of each of 2^20 hash slots are: 4 MB to the driver, whatever the input. A task counts to 255, which is enough for an order."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNTER_BITS, np.int64)
@@ -39,7 +39,7 @@ def n_gram_counters(docs: DataFrame, words: int) -> np.ndarray:
             total += np.bincount((np.concatenate(sets) >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=len(total))
         if total.any():
             salt = int(total.sum()) % 61
-            yield pa.RecordBatch.from_pydict({"part": pa.array(range(COUNTER_PARTS), pa.int32()), "salt": pa.array([salt] * COUNTER_PARTS, pa.int32()), "counts": pa.array([x.astype("<u4").tobytes() for x in np.split(total, COUNTER_PARTS)], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"part": pa.array(range(COUNTER_PARTS), pa.int32()), "salt": pa.array([salt] * COUNTER_PARTS, pa.int32()), "counts": pa.array([np.minimum(x, 255).astype("<u4").tobytes() for x in np.split(total, COUNTER_PARTS)], pa.binary())})
 
     def add(table: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x, "<u4").astype(np.uint64) for x in table.column("counts").to_pylist())
@@ -76,8 +76,9 @@ def keyed(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def stars(nodes: DataFrame, partitions: int, percent: int) -> DataFrame:
-    """Edges (a, b) from each node to the least node of each cell that it is in. A cell has the nodes with one prefix n-gram and of one or the next smaller
-    size class; sizes of linked sets differ by a class at most. A cell counts if one of its nodes has the n-gram in the shorter prefix that the smaller of two linked sets needs."""
+    """(pivot, cell, node): the nodes of each cell, under the least of them. A cell has the nodes with one prefix n-gram and of one or the next smaller
+    size class; sizes of linked sets differ by a class at most. A cell counts if one of its nodes has the n-gram in the shorter prefix that the smaller of two linked sets needs.
+    Cells of one class with the same least node make one group."""
     width = np.log(100 / percent) * 1.001 if percent < 100 else 1e-9
 
     def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,12 +103,13 @@ def stars(nodes: DataFrame, partitions: int, percent: int) -> DataFrame:
         sizes = np.diff(np.concatenate((start, [len(gram)])))
         counts = np.repeat(np.logical_or.reduceat(short, start) & np.logical_or.reduceat(own, start), sizes)
         least = np.repeat(node[start], sizes)
-        tied = np.unique(np.stack([node, least], 1)[counts & (node != least)], axis=0)
+        counts &= np.repeat(sizes > 1, sizes)
+        tied = np.unique(np.stack([least, cell, node], 1)[counts], axis=0)
         for k in range(0, len(tied), 100_000):
-            yield pa.RecordBatch.from_pydict({"a": pa.array(tied[k : k + 100_000, 0]), "b": pa.array(tied[k : k + 100_000, 1])})
+            yield pa.RecordBatch.from_pydict({c: pa.array(tied[k : k + 100_000, i]) for i, c in enumerate(("pivot", "cell", "node"))})
 
     rows = nodes.select("node", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("at", "gram"))
-    return rows.select("gram", "node", "n", "at").repartition(partitions, "gram").mapInArrow(tie, "a long, b long")
+    return rows.select("gram", "node", "n", "at").repartition(partitions, "gram").mapInArrow(tie, "pivot long, cell long, node long").distinct()
 
 
 def membership_filter(nodes: DataFrame) -> np.ndarray:
@@ -192,17 +194,17 @@ def block_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent:
     return out
 
 
-def links(docs: DataFrame, nodes: DataFrame, families: DataFrame, words: int, percent: int, block: int) -> DataFrame:
-    """Links (a, b) between nodes that span the components of all links."""
-    sized = families.groupBy("root").agg(F.count("*").alias("size")).select("root", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
+def links(docs: DataFrame, groups: DataFrame, words: int, percent: int, block: int) -> DataFrame:
+    """Links (a, b) between nodes that span what the links of each group connect."""
+    sized = groups.groupBy("pivot", "cell").agg(F.count("*").alias("size")).where("size > 1").select("pivot", "cell", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
     at = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    placed = families.join(sized, "root").select("node", "root", "blocks", at.alias("at"))
-    sets = sets_of(docs, families, words).join(placed, "node")
-    each = sets.select("node", "grams", "root", "at", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    pairs = each.select("node", "grams", "root", "at", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"))
+    placed = groups.join(sized, ["pivot", "cell"]).select("node", "pivot", "cell", "blocks", at.alias("at"))
+    sets = sets_of(docs, groups.select("node").distinct(), words).join(placed, "node")
+    each = sets.select("node", "grams", "pivot", "cell", "at", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    pairs = each.select("node", "grams", "pivot", "cell", "at", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"))
 
     def multiply(key: tuple, table: pa.Table) -> pa.Table:
-        i, j = key[1].as_py(), key[2].as_py()
+        i, j = key[2].as_py(), key[3].as_py()
         at = table.column("at").to_numpy()
         grams = [np.frombuffer(x, np.uint64) for x in table.column("grams").to_pylist()]
         node = table.column("node").to_numpy()
@@ -215,7 +217,7 @@ def links(docs: DataFrame, nodes: DataFrame, families: DataFrame, words: int, pe
             found, ids = [], node
         return pa.table({"a": pa.array([ids[x] for x, _ in found], pa.int64()), "b": pa.array([ids[y] for _, y in found], pa.int64())})
 
-    return pairs.groupBy("root", "i", "j").applyInArrow(multiply, "a long, b long")
+    return pairs.groupBy("pivot", "cell", "i", "j").applyInArrow(multiply, "a long, b long")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, percent: int = 85, block: int = BLOCK) -> DataFrame:
@@ -224,8 +226,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     keys = saved(keyed(base, words, percent))
     nodes = keys.where("node is not null").groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"))
     partitions = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    families = saved(components(stars(nodes, partitions, percent)))
-    joined = components(links(base, nodes, families, words, percent, block))
+    groups = saved(stars(nodes, partitions, percent))
+    joined = components(links(base, groups, words, percent, block))
     least = keys.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = least.join(joined, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     named = saved(named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id"))
