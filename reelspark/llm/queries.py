@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.llm import decontaminate, fingerprint, ngram_join, pack, suffix_dedup, toxicity
+import corpus_pipeline
+from reelspark.llm import chat, decontaminate, fingerprint, language, ngram_join, pack, quality, suffix_dedup, toxicity
 from reelspark.llm.labelled import held_out, labelled_documents
 
 
@@ -21,6 +22,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(~held_out("doc_id", 4, 2)).select("text", "lang"))
+    named = language.identify(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return named.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     rows = labelled_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", 4, 2, 4 * toxicity.SAMPLE)
     return toxicity.fit(rows)
@@ -36,10 +44,21 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labelled = labelled_documents(docs, table(spark, sf_dir, "labels"), "quality", 3, 1, 2 * quality.SAMPLE)
+    scored = quality.score(docs, quality.fit(labelled, docs), keep=["doc_id"])
+    return scored.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.report(table(spark, sf_dir, "documents"))
 
@@ -53,7 +72,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_toxicity": op2_toxicity, "op3_suffix_array_dedup": op3_suffix_array_dedup, "op6_packing": op6_packing, "op8_fingerprints": op8_fingerprints, "op9_ngram_jaccard_join": op9_ngram_jaccard_join, "op10_decontamination": op10_decontamination}
+    return {
+        "op1_language_id": op1_language_id,
+        "op2_toxicity": op2_toxicity,
+        "op3_suffix_array_dedup": op3_suffix_array_dedup,
+        "op5_quality": op5_quality,
+        "op6_packing": op6_packing,
+        "op7_chat_formatting": op7_chat_formatting,
+        "op8_fingerprints": op8_fingerprints,
+        "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+        "op10_decontamination": op10_decontamination,
+        "pipeline": corpus_pipeline.run,
+    }
 
 
 OP10_SQL = r"""
@@ -116,5 +146,21 @@ FROM lowered d JOIN reached r ON r.x = d.doc_id LEFT JOIN sizes s USING (doc_id)
 """
 
 
+OP7_SQL = r"""
+WITH base AS (SELECT conv_id, turn, role, replace(coalesce(text, ''), '<|', '< |') AS body FROM conversations),
+speakers AS (SELECT DISTINCT conv_id, role AS perspective FROM conversations WHERE role IS NOT NULL AND role <> 'system'),
+seen AS (
+  SELECT b.conv_id, s.perspective, b.turn, b.role, b.body, b.role IS NOT DISTINCT FROM s.perspective AS own
+  FROM base b JOIN speakers s ON b.conv_id IS NOT DISTINCT FROM s.conv_id),
+headed AS (
+  SELECT *, CASE WHEN own THEN '<|assistant|>' WHEN role = 'system' THEN '<|system|>' WHEN role IS NULL THEN '<|user|>'
+    ELSE '<|user name=' || replace(role, '<|', '< |') || '|>' END || chr(10) AS head
+  FROM seen)
+SELECT conv_id, perspective, turn, role, head || body || '<|end|>' || chr(10) AS segment,
+  CASE WHEN own THEN length(head) ELSE 0 END::BIGINT AS mask_start, CASE WHEN own THEN length(head) + length(body) + 8 ELSE 0 END::BIGINT AS mask_end
+FROM headed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_suffix_array_dedup": OP3_SQL, "op9_ngram_jaccard_join": OP9_SQL, "op10_decontamination": OP10_SQL}
+    return {"op3_suffix_array_dedup": OP3_SQL, "op7_chat_formatting": OP7_SQL, "op9_ngram_jaccard_join": OP9_SQL, "op10_decontamination": OP10_SQL}

@@ -304,11 +304,12 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 
 def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with the repeated bytes cut from their texts; characters that a cut leaves incomplete go too. Null text stays null."""
+    names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw in steps(batches, text):
             there = batch.column(text).is_valid().to_pylist()
             fresh = [cut_text(x, c or 1, s or [])[0].decode("utf-8", "ignore") if t else None for t, x, c, s in zip(there, raw, batch.column("_copies").to_pylist(), batch.column("_spans").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(fresh, pa.string()) if n == text else batch.column(n) for n in docs.columns], names=docs.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(fresh, pa.string()) if n == text else batch.column(n) for n in names], names=names)
 
     return applied(docs, doc_id, text).mapInArrow(cut, docs.schema)
