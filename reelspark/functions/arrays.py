@@ -18,7 +18,11 @@ def keep_classes(detections: Column, allowed: list[int]) -> Column:
 
 
 def unzipped(detections: Column) -> dict[str, Column]:
-    return {k: F.transform(detections, lambda d, k=k: d[k]) for k in ("box", "conf", "cls")}
+    return {k: _field(detections, k) for k in ("box", "conf", "cls")}
+
+
+def _field(detections: Column, name: str) -> Column:
+    return F.transform(detections, lambda d: d[name])
 
 
 def remap(classes: Column, mapping: dict[int, int]) -> Column:

@@ -22,7 +22,7 @@ def person_only(frames: DataFrame) -> DataFrame:
 def merge_models(frames: DataFrame, detections: DataFrame, keys: list[str], models: tuple[str, ...] = MODELS) -> DataFrame:
     """One wide row for each frame. All models must have answered, or all of the frame's columns are empty arrays."""
     parts = ("boxes", "confidences", "classes")
-    wide = detections.groupBy(*keys).pivot("model", list(models)).agg(*[F.any_value(c).alias(c) for c in parts])
+    wide = detections.groupBy(*keys).pivot("model", list(models)).agg(*[F.any_value(c, True).alias(c) for c in parts])
     joined = frames.join(wide, keys, "left")
     complete = F.lit(True)
     for m in models:
