@@ -127,7 +127,7 @@ def common_minima(texts: DataFrame, parts: int) -> DataFrame:
                     seen.add(h)
                     hashes = byte_hashes(x, GRAM)
                     spots = window_minima(hashes, WINDOW)
-                    names.append(hashes[spots])
+                    names.append(mix(hashes[spots] + np.uint64(1)))  # minima are small; spread them over the range
                     at.append(spots.astype("<u4"))
                     which.append(np.full(len(spots), len(table)))
                     table.append((h, 0))
@@ -141,7 +141,7 @@ def common_minima(texts: DataFrame, parts: int) -> DataFrame:
             kept = order[repeated(names[order])]
             yield from found(docs[kept], at=at[kept].astype(np.int64))
 
-    return texts.select("h", "text").mapInArrow(emit, kind_of(1)).repartition(parts, "part").mapInArrow(compare, "h long, start long, at long")
+    return texts.select("h", "text").mapInArrow(emit, kind_of(1)).repartition(max(1, parts // 4), "part").mapInArrow(compare, "h long, start long, at long")
 
 
 def slices(texts: DataFrame, firsts: DataFrame, minima: DataFrame) -> DataFrame:
@@ -209,7 +209,7 @@ def triples(cuts: DataFrame, parts: int) -> DataFrame:
             kept = tried | (twice & whole)
             yield from found(docs[order[kept]], at=at[order[kept]].astype(np.int64), whole=whole[kept], tried=tried[kept])
 
-    return cuts.mapInArrow(emit, kind_of(2)).repartition(parts, "part").mapInArrow(compare, "h long, start long, at long, whole boolean, tried boolean")
+    return cuts.mapInArrow(emit, kind_of(2)).repartition(max(1, parts // 4), "part").mapInArrow(compare, "h long, start long, at long, whole boolean, tried boolean")
 
 
 def merged_suffixes(cuts: DataFrame, sampled: DataFrame, parts: int) -> DataFrame:
@@ -241,7 +241,7 @@ def merged_suffixes(cuts: DataFrame, sampled: DataFrame, parts: int) -> DataFram
             kept = order[repeated(names[order])]
             yield from found(docs[kept], at=at[kept].astype(np.int64))
 
-    return cuts.join(open_ones, ["h", "start"]).select("h", "start", "data", "at").mapInArrow(emit, kind_of(1)).repartition(parts, "part").mapInArrow(compare, "h long, start long, at long")
+    return cuts.join(open_ones, ["h", "start"]).select("h", "start", "data", "at").mapInArrow(emit, kind_of(1)).repartition(max(1, parts // 4), "part").mapInArrow(compare, "h long, start long, at long")
 
 
 def text_hash(text: Column) -> Column:
@@ -251,7 +251,7 @@ def text_hash(text: Column) -> Column:
 def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """h (the text's hash), copies (rows that have it) and spans: array of [first, past the last) removed bytes that don't touch, ascending."""
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), text_hash(F.col(text)).alias("h"))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # several for each task, to even them out
     firsts = base.where(F.octet_length("text") >= LENGTH).groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
     cuts = saved(slices(base, firsts, common_minima(base, parts)))
     sampled = saved(triples(cuts, parts))
