@@ -92,18 +92,25 @@ def stars(nodes: DataFrame, partitions: int, percent: int) -> DataFrame:
         gram, node, n, at = gram[order], node[order], n[order], at[order]
         short = at < n - -(-2 * percent * n // (100 + percent)) + 1
         size_class = np.floor(np.log(n) / width).astype(np.int64)
-        gram, node, short = (np.concatenate((x, x)) for x in (gram, node, short))
+        gram, node, short, n, at = (np.concatenate((x, x)) for x in (gram, node, short, n.astype(np.int64), at.astype(np.int64)))
         own = np.arange(len(gram)) < len(size_class)
         cell = np.concatenate((size_class, size_class + 1))
         order = np.lexsort((node, cell, gram))
-        gram, node, short, own, cell = gram[order], node[order], short[order], own[order], cell[order]
+        gram, node, short, own, cell, n, at = (x[order] for x in (gram, node, short, own, cell, n, at))
         start = np.flatnonzero(np.concatenate((np.ones(min(1, len(gram)), bool), (gram[1:] != gram[:-1]) | (cell[1:] != cell[:-1]))))
         if not len(start):
             return
         sizes = np.diff(np.concatenate((start, [len(gram)])))
-        counts = np.repeat(np.logical_or.reduceat(short, start) & np.logical_or.reduceat(own, start), sizes)
-        least = np.repeat(node[start], sizes)
-        counts &= np.repeat(sizes > 1, sizes)
+        # A set in the cell has no partner there if, with the smallest set that its size and the cell allow, what follows the n-gram in its order is too little.
+        lowest = np.repeat(np.minimum.reduceat(np.where(short, n, np.iinfo(np.int32).max), start), sizes)
+        other = np.maximum(np.minimum(lowest, n), -(-percent * n // 100))
+        fits = (lowest <= n * 100 // percent) & (n - at >= -(-percent * (n + other) // (100 + percent)))
+        has_own, has_next = np.logical_or.reduceat(own, start), np.logical_or.reduceat(~own, start)
+        # The pairs of one class are those of the next cell too, if that has sets of its own.
+        doubled = np.zeros(len(start), bool)
+        doubled[:-1] = ~has_next[:-1] & has_own[1:] & (gram[start][1:] == gram[start][:-1]) & (cell[start][1:] == cell[start][:-1] + 1)
+        counts = np.repeat(np.logical_or.reduceat(short & fits, start) & has_own & (np.add.reduceat(fits.astype(np.int64), start) > 1) & ~doubled, sizes) & fits
+        least = np.repeat(np.minimum.reduceat(np.where(fits, node, np.iinfo(np.int64).max), start), sizes)
         tied = np.unique(np.stack([least, cell, node], 1)[counts], axis=0)
         for k in range(0, len(tied), 100_000):
             yield pa.RecordBatch.from_pydict({c: pa.array(tied[k : k + 100_000, i]) for i, c in enumerate(("pivot", "cell", "node"))})
@@ -118,7 +125,7 @@ def membership_filter(nodes: DataFrame) -> np.ndarray:
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << FILTER_BITS, bool)
         for batch in batches:
-            for spot in filter_spots(batch.column("node").to_numpy()):
+            for spot in filter_spots(batch.column("node").to_numpy(), batch.column("of").to_numpy()):
                 bits[spot] = True
         if bits.any():
             yield pa.RecordBatch.from_pydict({"part": pa.array(range(COUNTER_PARTS), pa.int32()), "bits": pa.array([np.packbits(x).tobytes() for x in np.split(bits, COUNTER_PARTS)], pa.binary())})
@@ -129,35 +136,36 @@ def membership_filter(nodes: DataFrame) -> np.ndarray:
 
     kind = "part int, bits binary"
     out = np.zeros((COUNTER_PARTS, (1 << FILTER_BITS) // COUNTER_PARTS), bool)
-    for r in nodes.select("node").coalesce(16).mapInArrow(mark, kind).groupBy("part").applyInArrow(union, kind).collect():
+    for r in nodes.select("node", "of").coalesce(16).mapInArrow(mark, kind).groupBy("part").applyInArrow(union, kind).collect():
         out[r.part] = np.unpackbits(np.frombuffer(r.bits, np.uint8)).astype(bool)
     return out.ravel()
 
 
-def filter_spots(node: np.ndarray) -> list[np.ndarray]:
-    h = mix(node.view(np.uint64).copy())
+def filter_spots(node: np.ndarray, of: np.ndarray) -> list[np.ndarray]:
+    h = mix(node.view(np.uint64) ^ mix(of.view(np.uint64) + np.uint64(1)))
     return [((h >> np.uint64(k)) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64) for k in (0, 20, 40)]
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """node and its n-grams (sorted 64-bit numbers), once for each of ``nodes``."""
+    """node and its n-grams (sorted 64-bit numbers), once for each of ``nodes`` (node long, of long: the hash of the id of the document to take them from)."""
     wanted = docs.sparkSession.sparkContext.broadcast(membership_filter(nodes))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = wanted.value, set()
-        for _, raw in steps(batches, "text"):
-            node, grams = [], []
-            for x in shingle_sets(raw, words):
+        for batch, raw in steps(batches, "text"):
+            node, of, grams = [], [], []
+            for h, x in zip(batch.column("of").to_numpy(), shingle_sets(raw, words), strict=True):
                 if len(x):
                     at = set_signature(x)
-                    if at not in seen and all(bits[s][0] for s in filter_spots(np.array([at], np.int64))):
+                    if at not in seen and all(bits[s][0] for s in filter_spots(np.array([at], np.int64), np.array([h], np.int64))):
                         seen.add(at)
                         node.append(at)
+                        of.append(h)
                         grams.append(x.tobytes())
-            yield pa.RecordBatch.from_pydict({"node": pa.array(node, pa.int64()), "grams": pa.array(grams, pa.binary())})
+            yield pa.RecordBatch.from_pydict({"node": pa.array(node, pa.int64()), "of": pa.array(of, pa.int64()), "grams": pa.array(grams, pa.binary())})
 
-    found = docs.select("text").mapInArrow(emit, "node long, grams binary").groupBy("node").agg(F.any_value("grams").alias("grams"))
-    return found.join(nodes.select("node"), "node", "left_semi")
+    found = docs.select(F.xxhash64("doc_id").alias("of"), "text").mapInArrow(emit, "node long, of long, grams binary")
+    return found.join(nodes, ["node", "of"], "left_semi").groupBy("node").agg(F.any_value("grams").alias("grams"))
 
 
 def block_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> list[tuple[int, int]]:
@@ -194,12 +202,12 @@ def block_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent:
     return out
 
 
-def links(docs: DataFrame, groups: DataFrame, words: int, percent: int, block: int) -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame, groups: DataFrame, words: int, percent: int, block: int) -> DataFrame:
     """Links (a, b) between nodes that span what the links of each group connect."""
     sized = groups.groupBy("pivot", "cell").agg(F.count("*").alias("size")).where("size > 1").select("pivot", "cell", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
     at = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     placed = groups.join(sized, ["pivot", "cell"]).select("node", "pivot", "cell", "blocks", at.alias("at"))
-    sets = sets_of(docs, groups.select("node").distinct(), words).join(placed, "node")
+    sets = sets_of(docs, nodes.join(groups, "node", "left_semi"), words).join(placed, "node")
     each = sets.select("node", "grams", "pivot", "cell", "at", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     pairs = each.select("node", "grams", "pivot", "cell", "at", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"))
 
@@ -227,8 +235,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     nodes = keys.where("node is not null").groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"))
     partitions = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     groups = saved(stars(nodes, partitions, percent))
-    joined = components(links(base, groups, words, percent, block))
     least = keys.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
+    joined = components(links(base, least.select("node", F.xxhash64("least").alias("of")), groups, words, percent, block))
     named = least.join(joined, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     named = saved(named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id"))
     rows = keys.select("doc_id", F.col("n").alias("n_shingles"), "node")

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import DataFrame
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the folder that ``spark.checkpoint.dir`` names; tests may leave it unset."""
+    """df, computed once and kept in the folder that ``spark.checkpoint.dir`` names; tests may leave it unset.
+
+    The shuffles behind it are not needed any more. Spark drops their files when the driver's garbage is collected, so that is asked for here: otherwise
+    an operator of several steps keeps the files of all of them.
+    """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint()
+    out = df.checkpoint()
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return out
