@@ -64,10 +64,10 @@ c AS (
   FROM p)"""
 
 
-@query(COMPARED_SQL + " SELECT match_id, frame_number, hamming, round(correlation, 5) AS correlation, coalesce(hamming >= 20 AND (correlation IS NULL OR correlation < 0.9), false) AS is_cut FROM c")
+@query(COMPARED_SQL + " SELECT match_id, frame_number, coalesce(hamming, -1) AS hamming, round(correlation, 5) AS correlation, coalesce(hamming >= 20 AND (correlation IS NULL OR correlation < 0.9), false) AS is_cut FROM c")
 def cut_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = cuts.compared(frame_features(spark, sf_dir))
-    return seen.select("match_id", "frame_number", "hamming", F.round("correlation", 5).alias("correlation"), cuts.is_cut().alias("is_cut"))
+    return seen.select("match_id", "frame_number", F.coalesce("hamming", F.lit(-1)).alias("hamming"), F.round("correlation", 5).alias("correlation"), cuts.is_cut().alias("is_cut"))
 
 
 def kept_cuts(spark: SparkSession, sf_dir: str, least: int, gap: int) -> DataFrame:
@@ -100,9 +100,10 @@ def shot_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuts.shots(frame_features(spark, sf_dir).select("match_id", "frame_number"), kept_cuts(spark, sf_dir, 32, 3), "match_id", "frame_number")
 
 
-@query(kept_sql(32, 3) + " SELECT g.match_id, g.frame_number, r.f AS cut_frame FROM g ASOF LEFT JOIN r ON r.k = g.match_id AND g.frame_number >= r.f")
+@query(kept_sql(32, 3) + " SELECT g.match_id, g.frame_number, coalesce(r.f, 0) AS cut_frame FROM g ASOF LEFT JOIN r ON r.k = g.match_id AND g.frame_number >= r.f")
 def asof_shot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cuts.latest_cut(frame_features(spark, sf_dir).select("match_id", "frame_number"), kept_cuts(spark, sf_dir, 32, 3), "match_id", "frame_number")
+    found = cuts.latest_cut(frame_features(spark, sf_dir).select("match_id", "frame_number"), kept_cuts(spark, sf_dir, 32, 3), "match_id", "frame_number")
+    return found.select("match_id", "frame_number", F.coalesce("cut_frame", F.lit(0)).alias("cut_frame"))
 
 
 @query("""
@@ -267,9 +268,9 @@ def variant_by_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return playlist.with_suffix(playlist_rows(spark, sf_dir), "k", "_480p.m3u8")
 
 
-@query(LINES_SQL + " SELECT k, CASE WHEN bool_or(line IN ('#EXT-X-ENDLIST', '#EXT-X-PLAYLIST-TYPE:VOD')) THEN false WHEN bool_or(line = '#EXT-X-PLAYLIST-TYPE:EVENT') THEN true WHEN bool_or(starts_with(line, '#EXT-X-STREAM-INF')) THEN NULL ELSE true END AS is_live FROM l GROUP BY k")
+@query(LINES_SQL + " SELECT k, coalesce(live::VARCHAR, 'as its best variant') AS is_live FROM (SELECT k, CASE WHEN bool_or(line IN ('#EXT-X-ENDLIST', '#EXT-X-PLAYLIST-TYPE:VOD')) THEN false WHEN bool_or(line = '#EXT-X-PLAYLIST-TYPE:EVENT') THEN true WHEN bool_or(starts_with(line, '#EXT-X-STREAM-INF')) THEN NULL ELSE true END AS live FROM l GROUP BY k)")
 def is_live_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return playlist.is_live(playlist_rows(spark, sf_dir), "k")
+    return playlist.is_live(playlist_rows(spark, sf_dir), "k").select("k", F.coalesce(F.col("is_live").cast("string"), F.lit("as its best variant")).alias("is_live"))
 
 
 @query(LINES_SQL.split(", l AS")[0] + " SELECT k, coalesce(list_sum(list_transform(regexp_extract_all(body, '#EXTINF:([0-9.]+),', 1), lambda x: x::DOUBLE)), 0)::DOUBLE AS seconds, len(regexp_extract_all(body, '#EXTINF:([0-9.]+),', 1))::BIGINT AS segments FROM b")
