@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from reelspark.llm.arrow import mix, steps
 from reelspark.llm.components import components
-from reelspark.llm.shared import saved
+from reelspark.llm.shared import saved, tidied
 from reelspark.llm.shingles import set_signature, shingle_sets
 
 COUNTER_BITS, COUNTER_PARTS, FILTER_BITS, BLOCK = 20, 64, 24, 256
@@ -235,13 +235,15 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     nodes = keys.where("node is not null").groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"))
     partitions = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     groups = saved(stars(nodes, partitions, percent))
+    del nodes
+    groups = tidied(groups)
     least = keys.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
-    joined = components(links(base, least.select("node", F.xxhash64("least").alias("of")), groups, words, percent, block))
+    linked = saved(links(base, least.select("node", F.xxhash64("least").alias("of")), groups, words, percent, block))
+    joined = components(tidied(linked))
     named = least.join(joined, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     named = saved(named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id"))
     rows = keys.select("doc_id", F.col("n").alias("n_shingles"), "node")
-    out = rows.join(named, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return out
+    return rows.join(named, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", words: int = 5, percent: int = 80, block: int = BLOCK, **how) -> DataFrame:

@@ -9,15 +9,16 @@ from pyspark.sql import DataFrame
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the folder that ``spark.checkpoint.dir`` names; tests may leave it unset.
-
-    The shuffles behind it are not needed any more. Spark drops their files when the driver's garbage is collected, so that is asked for here: otherwise
-    an operator of several steps keeps the files of all of them.
-    """
+    """df, computed once and kept in the folder that ``spark.checkpoint.dir`` names; tests may leave it unset."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
-    out = df.checkpoint()
+    return df.checkpoint()
+
+
+def tidied(df: DataFrame) -> DataFrame:
+    """df itself, a saved one. The shuffles behind it are not needed any more, but Spark keeps their files until the driver's garbage is collected;
+    an operator of several steps would keep the files of all of them, so that is asked for here."""
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return out
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return df
