@@ -19,3 +19,9 @@ def labelled_documents(docs: DataFrame, labels: DataFrame, label: str, of: int,
     ids = [known.where(F.col("_label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(each) for y in (0, 1)]
     chosen = ids[0].unionByName(ids[1])
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("_label").alias(label))
+
+
+def thinned(rows: DataFrame, column: str, n: int) -> DataFrame:
+    """About 2 x ``n`` of the rows (all, if there are fewer), by the hash of ``column``, so that a sorted limit of n gathers no more than that from all tasks together."""
+    share = min(1.0, 2 * n / max(1, rows.count()))
+    return rows.where(F.pmod(F.xxhash64(F.lit(1), column), F.lit(1_000_000)) <= int(1_000_000 * share))

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from reelspark.llm.arrow import mix, steps, sub_hash
+from reelspark.llm.labelled import thinned
 
 BUCKET_BITS, DIMENSIONS, EPOCHS, RATE, SAMPLE, SAMPLE_CHARS, REJECT = 15, 16, 6, 0.6, 3000, 12_000, 0.01
 SIZES = (2, 3, 4)
@@ -107,7 +108,7 @@ def train(rows: list[tuple[bytes, str]], reject: float = REJECT, seed: int = 1)
 def fit(labelled: DataFrame, text: str = "text", label: str = "lang", sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS, **how) -> Model | None:
     """Learns from at most ``sample`` rows with a label, of at most ``sample_chars`` characters, chosen by hash."""
     base = labelled.select(F.col(text).alias("t"), F.col(label).alias("y")).where(f"t is not null and y is not null and length(t) <= {int(sample_chars)}")
-    return train([(r.t.encode(), r.y) for r in base.orderBy(F.xxhash64("t"), "t", "y").limit(sample).collect()], **how)
+    return train([(r.t.encode(), r.y) for r in thinned(base, "t", sample).orderBy(F.xxhash64("t"), "t", "y").limit(sample).collect()], **how)
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text", keep: list[str] | None = None, reject_as_und: bool = False) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from reelspark.llm.arrow import mix, steps, sub_hash
+from reelspark.llm.labelled import thinned
 from reelspark.llm.shingles import word_hashes
 
 TERM_BITS, MARKS, DIMENSIONS, SAMPLE, NEIGHBOURS, SHARPNESS, SAMPLE_CHARS, BLOCK = 12, 64, 64, 2000, 24, 8.0, 40_000, 256
@@ -121,7 +122,7 @@ def vote(model: Model | None, texts: list[bytes], neighbours: int = NEIGHBOURS)
 def fit(labelled: DataFrame, docs: DataFrame, text: str = "text", label: str = "quality", sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> Model | None:
     """Vectors of at most ``sample`` rows of each label, of at most ``sample_chars`` characters; frequencies over all of docs."""
     base = labelled.select(F.col(text).alias("t"), F.col(label).alias("y")).where(f"y in (0, 1) and coalesce(length(t), 0) <= {int(sample_chars)}")
-    rows = [((r.t or "").encode(), r.y) for y in (0, 1) for r in base.where(F.col("y") == y).orderBy(F.xxhash64("t"), "t").limit(sample).collect()]
+    rows = [((r.t or "").encode(), r.y) for y in (0, 1) for r in thinned(base.where(F.col("y") == y), "t", sample).orderBy(F.xxhash64("t"), "t").limit(sample).collect()]
     return train(rows, *document_frequencies(docs, text))
 
 
