@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reelspark.llm import chat, decontaminate, fingerprint, language, ngram_join, pack, quality, suffix_dedup, toxicity
+from reelspark.llm import chat, decontaminate, fingerprint, language, ngram_join, pack, passages, quality, suffix_dedup, toxicity
 from reelspark.llm.labelled import held_out, labelled_documents
 
 
@@ -44,6 +44,10 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.find(table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labelled = labelled_documents(docs, table(spark, sf_dir, "labels"), "quality", 3, 1, 2 * quality.SAMPLE)
@@ -76,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language_id": op1_language_id,
         "op2_toxicity": op2_toxicity,
         "op3_suffix_array_dedup": op3_suffix_array_dedup,
+        "op4_substring_dedup": op4_substring_dedup,
         "op5_quality": op5_quality,
         "op6_packing": op6_packing,
         "op7_chat_formatting": op7_chat_formatting,
