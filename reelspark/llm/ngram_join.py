@@ -165,7 +165,8 @@ def sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"node": pa.array(node, pa.int64()), "of": pa.array(of, pa.int64()), "grams": pa.array(grams, pa.binary())})
 
     found = docs.select(F.xxhash64("doc_id").alias("of"), "text").mapInArrow(emit, "node long, of long, grams binary")
-    return found.join(nodes, ["node", "of"], "left_semi").groupBy("node").agg(F.any_value("grams").alias("grams"))
+    chosen = nodes.select("node", F.col("of").alias("wanted"))
+    return found.join(chosen, "node").where(F.col("of") == F.col("wanted")).groupBy("node").agg(F.any_value("grams").alias("grams"))  # one shuffle by node serves all
 
 
 def block_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> list[tuple[int, int]]:
