@@ -22,16 +22,16 @@ def newest(rows: DataFrame, match: str, order: list[str], n: int) -> DataFrame:
 
 def resume_latest(rows: DataFrame, match: str) -> DataFrame:
     """First frame of the greatest segment among the rows."""
-    top = rows.groupBy(match).agg(F.max(F.struct(F.col("segment_number"), (-F.col("frame_number")).alias("f"))).alias("m"))
-    return top.select(match, F.col("m.segment_number").alias("segment_number"), (-F.col("m.f")).alias("frame_number"))
+    top = rows.groupBy(match).agg(F.max(F.struct(F.col("segment_number"), (-F.col("frame_number")).alias("f"))).alias("_top"))
+    return top.select(match, F.col("_top.segment_number").alias("segment_number"), (-F.col("_top.f")).alias("frame_number"))
 
 
 def resume_before_latest(rows: DataFrame, match: str) -> DataFrame:
     """Last frame of the second greatest distinct segment (of the only one, if there is one), and both numbers one on."""
     segments = rows.groupBy(match, "segment_number").agg(F.max("frame_number").alias("last"))
     two = segments.withColumn("r", F.row_number().over(Window.partitionBy(match).orderBy(F.col("segment_number").desc()))).where("r <= 2")
-    chosen = two.groupBy(match).agg(F.max_by(F.struct("segment_number", "last"), "r").alias("m"))
-    return chosen.select(match, (F.col("m.segment_number") + 1).alias("segment_number"), (F.col("m.last") + 1).alias("frame_number"))
+    chosen = two.groupBy(match).agg(F.max_by(F.struct("segment_number", "last"), "r").alias("_top"))
+    return chosen.select(match, (F.col("_top.segment_number") + 1).alias("segment_number"), (F.col("_top.last") + 1).alias("frame_number"))
 
 
 def with_default(matches: DataFrame, positions: DataFrame, match: str, live: Column, segment: int = 1, frame: int = 1) -> DataFrame:

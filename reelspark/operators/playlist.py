@@ -31,8 +31,8 @@ def variants(of: DataFrame, key: str) -> DataFrame:
 
 def best_variant(of: DataFrame, key: str) -> DataFrame:
     """The variant with the most pixels; of equal ones, the first listed."""
-    best = variants(of, key).groupBy(key).agg(F.max(F.struct("pixels", (-F.col("line_no")).alias("l"), "url")).alias("m"))
-    return best.select(key, F.col("m.pixels").alias("pixels"), F.col("m.url").alias("url"))
+    best = variants(of, key).groupBy(key).agg(F.max(F.struct("pixels", (-F.col("line_no")).alias("l"), "url")).alias("_top"))
+    return best.select(key, F.col("_top.pixels").alias("pixels"), F.col("_top.url").alias("url"))
 
 
 def with_suffix(of: DataFrame, key: str, suffix: str) -> DataFrame:
@@ -50,7 +50,7 @@ def is_live(of: DataFrame, key: str) -> DataFrame:
 def new_segments(of: DataFrame, key: str, poll: str) -> DataFrame:
     """Each segment line once, at the first poll that lists it."""
     found = of.where(F.endswith("line", F.lit(SEGMENT)))
-    return found.groupBy(key, "line").agg(F.min(F.struct(poll, "line_no")).alias("m")).select(key, "line", F.col(f"m.{poll}").alias(poll), F.col("m.line_no").alias("line_no"))
+    return found.groupBy(key, "line").agg(F.min(F.struct(poll, "line_no")).alias("_top")).select(key, "line", F.col(f"_top.{poll}").alias(poll), F.col("_top.line_no").alias("line_no"))
 
 
 def total_duration(playlists: DataFrame, key: str, text: str) -> DataFrame:
