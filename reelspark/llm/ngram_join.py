@@ -26,7 +26,7 @@ from reelspark.llm.components import components
 from reelspark.llm.shared import saved, tidied
 from reelspark.llm.shingles import set_signature, shingle_sets
 
-COUNTER_BITS, COUNTER_PARTS, FILTER_BITS, BLOCK = 20, 64, 24, 256
+COUNTER_BITS, COUNTER_PARTS, FILTER_BITS, BLOCK = 20, 64, 24, 1024
 
 
 def n_gram_counters(docs: DataFrame, words: int) -> np.ndarray:
@@ -188,8 +188,10 @@ def block_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent:
             x = parent[x]
         return x
 
-    out = []
+    out, apart = [], len(parent) - 1
     for i, row in enumerate(left):
+        if not apart:  # all are connected: no further link tells more
+            break
         a, b = np.searchsorted(grams, row, "left"), np.searchsorted(grams, row, "right")
         n = b - a
         spots = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
@@ -199,6 +201,7 @@ def block_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent:
             x, y = root(i), root(base + j)
             if x != y:
                 parent[y] = x
+                apart -= 1
                 out.append((i, base + j))
     return out
 
