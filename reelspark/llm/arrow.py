@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text bytes handled at once inside a task.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 
 def steps(batches: Iterator[pa.RecordBatch], text: str, step_bytes: int = STEP_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:

@@ -26,11 +26,11 @@ from reelspark.llm.components import components
 from reelspark.llm.shared import saved, tidied
 from reelspark.llm.shingles import set_signature, shingle_sets
 
-COUNTER_BITS, COUNTER_PARTS, FILTER_BITS, BLOCK = 20, 64, 24, 1024
+COUNTER_BITS, COUNTER_PARTS, FILTER_BITS, BLOCK = 22, 64, 24, 1024
 
 
 def n_gram_counters(docs: DataFrame, words: int) -> np.ndarray:
-    """In how many documents n-grams of each of 2^20 hash slots are: 4 MB to the driver, whatever the input. A task counts to 255, which is enough for an order."""
+    """In how many documents n-grams of each of 2^22 hash slots are: 16 MB to the driver, whatever the input. A task counts to 255, which is enough for an order."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNTER_BITS, np.int64)
@@ -39,10 +39,11 @@ def n_gram_counters(docs: DataFrame, words: int) -> np.ndarray:
             total += np.bincount((np.concatenate(sets) >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=len(total))
         if total.any():
             salt = int(total.sum()) % 61
-            yield pa.RecordBatch.from_pydict({"part": pa.array(range(COUNTER_PARTS), pa.int32()), "salt": pa.array([salt] * COUNTER_PARTS, pa.int32()), "counts": pa.array([np.minimum(x, 255).astype("<u4").tobytes() for x in np.split(total, COUNTER_PARTS)], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"part": pa.array(range(COUNTER_PARTS), pa.int32()), "salt": pa.array([salt] * COUNTER_PARTS, pa.int32()), "counts": pa.array([np.minimum(x, 255).astype("u1").tobytes() for x in np.split(total, COUNTER_PARTS)], pa.binary())})
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, "<u4").astype(np.uint64) for x in table.column("counts").to_pylist())
+        one = lambda x: np.frombuffer(x, "u1" if 4 * len(x) * COUNTER_PARTS < 5 << COUNTER_BITS else "<u4")  # noqa: E731  bytes from a task, or sums of them
+        total = sum(one(x).astype(np.uint64) for x in table.column("counts").to_pylist())
         return pa.table({"part": table.column("part")[:1], "salt": table.column("salt")[:1], "counts": pa.array([np.minimum(total, 0xFFFFFFFF).astype("<u4").tobytes()], pa.binary())}, schema=table.schema)
 
     kind = "part int, salt int, counts binary"
@@ -76,7 +77,7 @@ def keyed(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def stars(nodes: DataFrame, partitions: int, percent: int) -> DataFrame:
-    """(pivot, cell, node): the nodes of each cell, under the least of them. A cell has the nodes with one prefix n-gram and of one or the next smaller
+    """(pivot, node): the nodes of each cell, under the least of them. A cell has the nodes with one prefix n-gram and of one or the next smaller
     size class; sizes of linked sets differ by a class at most. A cell counts if one of its nodes has the n-gram in the shorter prefix that the smaller of two linked sets needs.
     Cells of one class with the same least node make one group."""
     width = np.log(100 / percent) * 1.001 if percent < 100 else 1e-9
@@ -111,12 +112,12 @@ def stars(nodes: DataFrame, partitions: int, percent: int) -> DataFrame:
         doubled[:-1] = ~has_next[:-1] & has_own[1:] & (gram[start][1:] == gram[start][:-1]) & (cell[start][1:] == cell[start][:-1] + 1)
         counts = np.repeat(np.logical_or.reduceat(short & fits, start) & has_own & (np.add.reduceat(fits.astype(np.int64), start) > 1) & ~doubled, sizes) & fits
         least = np.repeat(np.minimum.reduceat(np.where(fits, node, np.iinfo(np.int64).max), start), sizes)
-        tied = np.unique(np.stack([least, cell, node], 1)[counts], axis=0)
+        tied = np.unique(np.stack([least, node], 1)[counts], axis=0)
         for k in range(0, len(tied), 100_000):
-            yield pa.RecordBatch.from_pydict({c: pa.array(tied[k : k + 100_000, i]) for i, c in enumerate(("pivot", "cell", "node"))})
+            yield pa.RecordBatch.from_pydict({c: pa.array(tied[k : k + 100_000, i]) for i, c in enumerate(("pivot", "node"))})
 
     rows = nodes.select("node", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("at", "gram"))
-    return rows.select("gram", "node", "n", "at").repartition(partitions, "gram").mapInArrow(tie, "pivot long, cell long, node long").distinct()
+    return rows.select("gram", "node", "n", "at").repartition(partitions, "gram").mapInArrow(tie, "pivot long, node long").distinct()
 
 
 def membership_filter(nodes: DataFrame) -> np.ndarray:
@@ -147,7 +148,7 @@ def filter_spots(node: np.ndarray, of: np.ndarray) -> list[np.ndarray]:
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """node and its n-grams (sorted 64-bit numbers), once for each of ``nodes`` (node long, of long: the hash of the id of the document to take them from)."""
+    """node, of and n-grams (sorted 64-bit numbers) of ``nodes`` (node long, of long: the hash of the id of the document to take them from), and of a few others."""
     wanted = docs.sparkSession.sparkContext.broadcast(membership_filter(nodes))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,9 +165,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
                         grams.append(x.tobytes())
             yield pa.RecordBatch.from_pydict({"node": pa.array(node, pa.int64()), "of": pa.array(of, pa.int64()), "grams": pa.array(grams, pa.binary())})
 
-    found = docs.select(F.xxhash64("doc_id").alias("of"), "text").mapInArrow(emit, "node long, of long, grams binary")
-    chosen = nodes.select("node", F.col("of").alias("wanted"))
-    return found.join(chosen, "node").where(F.col("of") == F.col("wanted")).groupBy("node").agg(F.any_value("grams").alias("grams"))  # one shuffle by node serves all
+    return docs.select(F.xxhash64("doc_id").alias("of"), "text").mapInArrow(emit, "node long, of long, grams binary")
 
 
 def block_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> list[tuple[int, int]]:
@@ -208,18 +207,23 @@ def block_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent:
 
 def links(docs: DataFrame, nodes: DataFrame, groups: DataFrame, words: int, percent: int, block: int) -> DataFrame:
     """Links (a, b) between nodes that span what the links of each group connect."""
-    sized = groups.groupBy("pivot", "cell").agg(F.count("*").alias("size")).where("size > 1").select("pivot", "cell", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
+    sized = groups.groupBy("pivot").agg(F.count("*").alias("size")).where("size > 1").select("pivot", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
     at = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    placed = groups.join(sized, ["pivot", "cell"]).select("node", "pivot", "cell", "blocks", at.alias("at"))
-    sets = sets_of(docs, nodes.join(groups, "node", "left_semi"), words).join(placed, "node")
-    each = sets.select("node", "grams", "pivot", "cell", "at", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    pairs = each.select("node", "grams", "pivot", "cell", "at", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"))
+    placed = groups.join(sized, "pivot").select("node", "pivot", "blocks", at.alias("at"))
+    wanted = nodes.join(groups, "node", "left_semi")
+    placed = placed.join(wanted.select("node", F.col("of").alias("from")), "node")
+    sets = sets_of(docs, wanted, words).join(placed, "node").where(F.col("of") == F.col("from"))
+    each = sets.select("node", "grams", "pivot", "at", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    pairs = each.select("node", "grams", "pivot", "at", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"))
 
     def multiply(key: tuple, table: pa.Table) -> pa.Table:
-        i, j = key[2].as_py(), key[3].as_py()
+        i, j = key[1].as_py(), key[2].as_py()
         at = table.column("at").to_numpy()
         grams = [np.frombuffer(x, np.uint64) for x in table.column("grams").to_pylist()]
         node = table.column("node").to_numpy()
+        once = np.zeros(len(node), bool)  # repeated rows of a document give its set twice
+        once[np.unique(node, return_index=True)[1]] = True
+        at = np.where(once, at, -1)
         rows, cols = np.flatnonzero(at == i), np.flatnonzero(at == j)
         if i == j:
             found, ids = block_links([grams[k] for k in rows], None, percent), node[rows]
@@ -229,7 +233,7 @@ def links(docs: DataFrame, nodes: DataFrame, groups: DataFrame, words: int, perc
             found, ids = [], node
         return pa.table({"a": pa.array([ids[x] for x, _ in found], pa.int64()), "b": pa.array([ids[y] for _, y in found], pa.int64())})
 
-    return pairs.groupBy("pivot", "cell", "i", "j").applyInArrow(multiply, "a long, b long")
+    return pairs.groupBy("pivot", "i", "j").applyInArrow(multiply, "a long, b long")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, percent: int = 85, block: int = BLOCK) -> DataFrame:

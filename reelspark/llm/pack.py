@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from reelspark.llm.arrow import steps
 
-WINDOW, END_ID, SHARD_ROWS, CACHE_ENTRIES = 2048, 1, 25_000, 600_000
+WINDOW, END_ID, SHARD_ROWS, CACHE_ENTRIES = 2048, 1, 25_000, 350_000
 
 
 def pack_ids(*ids: int) -> bytes:

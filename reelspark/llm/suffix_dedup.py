@@ -87,6 +87,36 @@ def dealt(names: np.ndarray, parts: int, which: np.ndarray, table: np.ndarray, *
     return pa.RecordBatch.from_pydict(out)
 
 
+class Outbox:
+    """Items of several steps, dealt together, so that a part's share of them is worth a row."""
+
+    def __init__(self, parts: int, most: int = 500_000):
+        self.parts, self.most = parts, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.table: list[tuple[int, int]] = []
+        self.names: list[np.ndarray] = []
+        self.which: list[np.ndarray] = []
+        self.more: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def put(self, document: tuple[int, int], names: np.ndarray, *more: np.ndarray) -> None:
+        if len(names):
+            self.names.append(names)
+            self.which.append(np.full(len(names), len(self.table)))
+            self.more.append(more)
+            self.table.append(document)
+            self.size += len(names)
+
+    def taken(self, last: bool = False) -> Iterator[pa.RecordBatch]:
+        """A batch when there is enough, or what is left."""
+        if self.size >= self.most or last and self.size:
+            out = dealt(np.concatenate(self.names), self.parts, np.concatenate(self.which), np.array(self.table, np.int64), *map(np.concatenate, zip(*self.more, strict=True)))
+            self.clear()
+            yield out
+
+
 def kind_of(more: int) -> str:
     return "part int, names binary, docs binary, which binary" + "".join(f", x{i} binary" for i in range(more))
 
@@ -120,19 +150,16 @@ def common_minima(texts: DataFrame, parts: int) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        out = Outbox(parts)
         for batch, raw in steps(batches, "text"):
-            names, which, at, table = [], [], [], []
             for h, x in zip(batch.column("h").to_pylist(), raw, strict=True):
                 if len(x) >= LENGTH and h not in seen:
                     seen.add(h)
                     hashes = byte_hashes(x, GRAM)
                     spots = window_minima(hashes, WINDOW)
-                    names.append(mix(hashes[spots] + np.uint64(1)))  # minima are small; spread them over the range
-                    at.append(spots.astype("<u4"))
-                    which.append(np.full(len(spots), len(table)))
-                    table.append((h, 0))
-            if table:
-                yield dealt(np.concatenate(names), parts, np.concatenate(which), np.array(table, np.int64), np.concatenate(at))
+                    out.put((h, 0), mix(hashes[spots] + np.uint64(1)), spots.astype("<u4"))  # minima are small; spread them over the range
+                    yield from out.taken()
+        yield from out.taken(True)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if (got := gathered(batches, "<u4")) is not None:
@@ -178,23 +205,20 @@ def triples(cuts: DataFrame, parts: int) -> DataFrame:
     context = LENGTH + PERIOD - 1
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Outbox(parts)
         for batch, raw in steps(batches, "data"):
-            names, whole, which, at, table = [], [], [], [], []
             for h, start, x in zip(batch.column("h").to_pylist(), batch.column("start").to_pylist(), raw, strict=True):
                 spots = cover_positions(len(x) - least + 1)
                 blocks = byte_hashes(x, block)
                 first, second, third = (blocks[spots + k * block] for k in range(3))
-                names.append(mix(first * np.uint64(3) + mix(second * np.uint64(5) + mix(third + np.uint64(1)))))
+                names = mix(first * np.uint64(3) + mix(second * np.uint64(5) + mix(third + np.uint64(1))))
                 wide = byte_hashes(x, context)
                 inside = (spots >= PERIOD - 1) & (spots - (PERIOD - 1) < len(wide))
                 full = np.zeros(len(spots), np.uint64)
                 full[inside] = wide[spots[inside] - (PERIOD - 1)]
-                whole.append(full)
-                at.append(spots.astype("<u4"))
-                which.append(np.full(len(spots), len(table)))
-                table.append((h, start))
-            if table:
-                yield dealt(np.concatenate(names), parts, np.concatenate(which), np.array(table, np.int64), np.concatenate(whole), np.concatenate(at))
+                out.put((h, start), names, full, spots.astype("<u4"))
+                yield from out.taken()
+        yield from out.taken(True)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if (got := gathered(batches, "<u8", "<u4")) is not None:
@@ -217,8 +241,8 @@ def merged_suffixes(cuts: DataFrame, sampled: DataFrame, parts: int) -> DataFram
     open_ones = sampled.where("tried").groupBy("h", "start").agg(F.collect_list("at").alias("at"))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Outbox(parts)
         for batch, raw in steps(batches, "data"):
-            names, which, at, table = [], [], [], []
             tried = batch.column("at")
             for k, (h, start, x) in enumerate(zip(batch.column("h").to_pylist(), batch.column("start").to_pylist(), raw, strict=True)):
                 hashes = byte_hashes(x, LENGTH)
@@ -227,12 +251,9 @@ def merged_suffixes(cuts: DataFrame, sampled: DataFrame, parts: int) -> DataFram
                 np.add.at(change, np.maximum(p - (PERIOD - 1), 0), 1)
                 np.add.at(change, p + 1, -1)
                 spots = np.flatnonzero(np.cumsum(change)[: len(hashes)] > 0)
-                names.append(hashes[spots])
-                at.append(spots.astype("<u4"))
-                which.append(np.full(len(spots), len(table)))
-                table.append((h, start))
-            if table:
-                yield dealt(np.concatenate(names), parts, np.concatenate(which), np.array(table, np.int64), np.concatenate(at))
+                out.put((h, start), hashes[spots], spots.astype("<u4"))
+                yield from out.taken()
+        yield from out.taken(True)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if (got := gathered(batches, "<u4")) is not None:
