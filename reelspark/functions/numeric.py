@@ -51,11 +51,11 @@ def hamming(a: Column, b: Column) -> Column:
 
 def median_bits(vector: Column) -> Column:
     """A long with a bit for each of 64 values: whether it is above their median."""
-    doubles = F.transform(vector, lambda x: x.cast("double"))
-    ordered = F.array_sort(doubles)
+    ordered = F.sort_array(F.transform(vector, lambda x: x.cast("double")))
     n = F.size(vector)
     middle = (F.get(ordered, F.floor((n - 1) / 2).cast("int")) + F.get(ordered, F.floor(n / 2).cast("int"))) / 2
-    return F.aggregate(doubles, F.lit(0).cast("bigint"), lambda acc, x: F.shiftleft(acc, 1).bitwiseOR((x > middle).cast("bigint")))
+    bits = lambda m: F.aggregate(vector, F.lit(0).cast("bigint"), lambda acc, x: F.shiftleft(acc, 1).bitwiseOR((x.cast("double") > m).cast("bigint")))
+    return F.get(F.transform(F.array(middle), bits), F.lit(0))  # the median is bound once, not sorted for again at each value
 
 
 def correlation(a: Column, b: Column) -> Column:
@@ -64,6 +64,10 @@ def correlation(a: Column, b: Column) -> Column:
     total = lambda v: F.aggregate(v, F.lit(0.0), lambda s, x: s + x)
     product = lambda u, v: total(F.zip_with(u, v, lambda x, y: x * y))
     x, y, n = d(a), d(b), F.size(a).cast("double")
-    cov = product(x, y) - total(x) * total(y) / n
-    spread = (product(x, x) - total(x) * total(x) / n) * (product(y, y) - total(y) * total(y) / n)
-    return cov / F.nullif(F.sqrt(F.greatest(spread, F.lit(0.0))), F.lit(0.0))
+    sums = F.struct(total(x).alias("x"), total(y).alias("y"), product(x, y).alias("xy"), product(x, x).alias("xx"), product(y, y).alias("yy"))
+
+    def ratio(s: Column) -> Column:
+        spread = (s["xx"] - s["x"] * s["x"] / n) * (s["yy"] - s["y"] * s["y"] / n)
+        return (s["xy"] - s["x"] * s["y"] / n) / F.nullif(F.sqrt(F.greatest(spread, F.lit(0.0))), F.lit(0.0))
+
+    return F.get(F.transform(F.array(sums), ratio), F.lit(0))

@@ -36,7 +36,7 @@ def debounce(rows: DataFrame, key: str, order: str, gap: int) -> DataFrame:
     starts = F.coalesce((F.col(order) - F.lag(order).over(w) >= gap).cast("int"), F.lit(1))
     bursts = rows.withColumn("_starts", starts).withColumn("_burst", F.sum("_starts").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     step = lambda kept, x: F.when((F.size(kept) == 0) | (x - F.element_at(kept, -1) >= gap), F.array_append(kept, x)).otherwise(kept)
-    fold = F.aggregate(F.array_sort(F.collect_list(order)), F.array().cast("array<bigint>"), lambda kept, x: F.when(F.size(kept) == 0, F.array(x)).otherwise(step(kept, x)))
+    fold = F.aggregate(F.sort_array(F.collect_list(order)), F.array().cast("array<bigint>"), lambda kept, x: F.when(F.size(kept) == 0, F.array(x)).otherwise(step(kept, x)))
     return bursts.groupBy(key, "_burst").agg(fold.alias("_kept")).select(key, F.explode("_kept").alias(order))
 
 

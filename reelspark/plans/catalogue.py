@@ -179,7 +179,7 @@ def resume_position_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(NUMBERED_SQL + " SELECT user_id, array_to_string(list_sort(list(DISTINCT segment_number)), ',') AS segments, list_sort(list(DISTINCT segment_number))[-1] AS latest FROM m GROUP BY user_id")
 def distinct_sorted_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = numbered(spark, sf_dir).groupBy("user_id").agg(F.array_sort(F.collect_set("segment_number")).alias("s"))
+    found = numbered(spark, sf_dir).groupBy("user_id").agg(F.sort_array(F.collect_set("segment_number")).alias("s"))
     return found.select("user_id", F.array_join(F.transform("s", lambda x: x.cast("string")), ",").alias("segments"), F.element_at("s", -1).alias("latest"))
 
 
@@ -327,7 +327,7 @@ def class_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def detection_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("frame_number"), F.struct("l_linenumber", "l_quantity", "l_discount", F.expr(CLASS).alias("cls")).alias("d"))
-    rows = d.groupBy("frame_number").agg(F.array_sort(F.collect_list("d")).alias("d"))
+    rows = d.groupBy("frame_number").agg(F.sort_array(F.collect_list("d")).alias("d"))
     return rows.select("frame_number", F.transform("d", lambda d: F.array(d["l_quantity"])).alias("boxes"), F.transform("d", lambda x: x["l_discount"]).alias("confidences"), F.transform("d", lambda x: x["cls"].cast("double")).alias("classes"))
 
 
