@@ -23,12 +23,12 @@ def sketch(text: Column, words: int = WORDS, k: int = K) -> Column:
     one = lambda h: F.when(F.size(h) == 0, F.array().cast("array<long>")).otherwise(F.array(F.xxhash64(h)))
     many = lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - words), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(words)]))
     runs = lambda h: F.when(F.size(h) < words, one(h)).otherwise(many(h))
-    found = F.transform(F.array(hashed), lambda h: F.slice(F.array_sort(F.array_distinct(runs(h))), 1, k))  # bound once: the words are not split again for each shingle
+    found = F.transform(F.array(hashed), lambda h: F.slice(F.sort_array(F.array_distinct(runs(h))), 1, k))  # bound once: the words are not split again for each shingle
     return F.when(F.coalesce(text, F.lit("")) == "", F.array().cast("array<long>")).otherwise(F.get(found, F.lit(0)))
 
 
 def merge(a: Column, b: Column, k: int = K) -> Column:
-    return F.slice(F.array_sort(F.array_union(a, b)), 1, k)
+    return F.slice(F.sort_array(F.array_union(a, b)), 1, k)
 
 
 def resemblance(a: Column, b: Column, k: int = K) -> Column:

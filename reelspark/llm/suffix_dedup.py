@@ -280,7 +280,7 @@ def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     others = merged_suffixes(cuts, sampled, parts).select("h", (F.col("start") + F.col("at")).alias("a"), (F.col("start") + F.col("at") + LENGTH).alias("b"))
     # Strings that start within fewer bytes than each has overlap: their union is from the first to the last.
     joined = settled.unionByName(others).groupBy("h", F.expr(f"a div {LENGTH // 2}").alias("near")).agg(F.min("a").alias("a"), F.max("b").alias("b"))
-    spans = saved(joined.groupBy("h").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("spans")))
+    spans = saved(joined.groupBy("h").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans")))
     del settled, others, joined
     spans = tidied(spans)
     return firsts.select("h", "copies").where("copies > 1").join(spans, "h", "full_outer").select("h", F.coalesce("copies", F.lit(1)).alias("copies"), "spans")
