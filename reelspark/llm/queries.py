@@ -116,7 +116,7 @@ FROM lowered LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)
 
 OP3_SQL = r"""
 WITH bytes AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
-starts AS (SELECT r, i, hash(substring(x, 2 * i + 1, 800)) AS m FROM bytes, unnest(range(0, len(x) // 2 - 399)) AS t(i)),
+starts AS (SELECT r, unnest(range(0, len(x) // 2 - 399)) AS i, unnest(list_transform(range(0, len(x) // 2 - 399), lambda i: hash(substring(x, (2 * i + 1)::BIGINT, 800)))) AS m FROM bytes),
 twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY m) AS c FROM starts) WHERE c > 1),
 marked AS (SELECT r, i, CASE WHEN i <= 400 + lag(i) OVER (PARTITION BY r ORDER BY i) THEN 0 ELSE 1 END AS fresh FROM twice),
 runs AS (SELECT r, min(i) AS a, max(i) + 400 AS b FROM (SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS g FROM marked) GROUP BY r, g),
