@@ -158,8 +158,8 @@ def sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
             for h, x in zip(batch.column("of").to_numpy(), shingle_sets(raw, words), strict=True):
                 if len(x):
                     at = set_signature(x)
-                    if at not in seen and all(bits[s][0] for s in filter_spots(np.array([at], np.int64), np.array([h], np.int64))):
-                        seen.add(at)
+                    if (at, h) not in seen and all(bits[s][0] for s in filter_spots(np.array([at], np.int64), np.array([h], np.int64))):
+                        seen.add((at, h))  # not the node alone: a copy with another id may pass the filter falsely
                         node.append(at)
                         of.append(h)
                         grams.append(x.tobytes())
