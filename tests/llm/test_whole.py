@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from reelspark.llm import ngram_join
+from reelspark.llm import ngram_join, passages
 
 
 def words(r, n):
@@ -18,3 +18,13 @@ def test_ngram_join_with_a_saturated_filter(spark, monkeypatch):
     other = one + " end"
     df = spark.createDataFrame([(i, one if i % 2 else other) for i in range(9, 0, -1)], "doc_id long, text string").coalesce(1)
     assert {x.component_id for x in ngram_join.classes(df).collect()} == {1}
+
+
+def test_passages_with_a_saturated_filter(spark, monkeypatch):
+    monkeypatch.setattr(passages, "membership_filter", lambda nodes: np.ones(1 << ngram_join.FILTER_BITS, bool))
+    r = random.Random(6)
+    shared = words(r, 60)
+    one, other = shared + " " + words(r, 40), words(r, 40) + " " + shared
+    df = spark.createDataFrame([(i, one if i % 2 else other) for i in range(9, 0, -1)], "doc_id long, text string").coalesce(1)
+    got = {(x.doc_id, x.partner_id) for x in passages.find(df).collect()}
+    assert got >= {(i, 2 if i % 2 else 1) for i in range(1, 10)}
