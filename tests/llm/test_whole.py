@@ -28,3 +28,15 @@ def test_passages_with_a_saturated_filter(spark, monkeypatch):
     df = spark.createDataFrame([(i, one if i % 2 else other) for i in range(9, 0, -1)], "doc_id long, text string").coalesce(1)
     got = {(x.doc_id, x.partner_id) for x in passages.find(df).collect()}
     assert got >= {(i, 2 if i % 2 else 1) for i in range(1, 10)}
+
+
+def test_passage_that_stands_twice_in_a_document(spark):
+    # two functions whose windows begin at different tokens of the lead, at two places of the other text: both places are ranges
+    hits = np.array([(0, 5, 70, 0, 65), (1, 9, 75, 4, 70), (0, 5, 70, 300, 365), (1, 9, 75, 304, 370)])
+    assert sorted(passages.agreeing(hits, 46, 2)) == [(5, 75, 0, 70), (5, 75, 300, 370)]
+    r = random.Random(7)
+    shared = words(r, 60)
+    texts = [words(r, 50) + " " + shared + " " + words(r, 200) + " " + shared + " " + words(r, 50), words(r, 30) + " " + shared + " " + words(r, 30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [x for x in passages.find(df).collect() if x.doc_id == 0]
+    assert any(x.start_word <= 52 and x.end_word >= 108 for x in got) and any(x.start_word <= 312 and x.end_word >= 368 for x in got)
