@@ -40,3 +40,14 @@ def test_passage_that_stands_twice_in_a_document(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = [x for x in passages.find(df).collect() if x.doc_id == 0]
     assert any(x.start_word <= 52 and x.end_word >= 108 for x in got) and any(x.start_word <= 312 and x.end_word >= 368 for x in got)
+
+
+def test_an_edit_at_every_position_is_verified():
+    r = np.random.default_rng(8)
+    for n in (46, 56, 66, 96):  # tokens of passages of 50 to 100 words
+        for k in range(n + 4):
+            a, b = (r.integers(0, 1 << 60, n + 80).astype(np.uint64) for _ in "ab")
+            b[25 : 25 + n] = a[40 : 40 + n]
+            b[25 + max(0, k - 4) : 25 + min(n, k + 1)] = r.integers(0, 1 << 60, min(n, k + 1) - max(0, k - 4))
+            got = passages.verified(a, b, 46, 80)
+            assert got and all(x[1] - x[0] >= 46 and x[3] - x[2] >= 46 and x[4] >= 0.8 for x in got), (n, k)
