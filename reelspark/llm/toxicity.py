@@ -4,7 +4,7 @@ Training takes a bounded sample of labelled rows (``sample`` of each label, text
 documents few words are toxic, so the toxic dictionary is trained on the segments whose byte n-grams are in far more toxic than
 ordinary documents; the ordinary dictionary on the most common words. Both are raw-content dictionaries that end in one lead-out, which also follows
 each window: zstandard's fixed costs cancel, and the difference of the two compressed lengths is the window's gain. A window is a word of
-lower-case text with a space on either side, of at most 60 bytes. A document's score is a logistic function of its gains, calibrated on
+lower-case text with a space on either side; a run of more than 60 bytes is cut into overlapping windows of 30 that cover all of it. A document's score is a logistic function of its gains, calibrated on
 labelled documents that no dictionary has seen; a shift puts the best threshold there at 0.3.
 
 Null or empty text has no windows: it scores as a document without toxic windows. Rows are scored each for itself: ties and repeated rows score alike. With too few
@@ -31,6 +31,7 @@ from reelspark.llm.labelled import thinned
 
 SAMPLE, SAMPLE_CHARS, CACHE_ENTRIES, DICTIONARY_BYTES, THRESHOLD = 1500, 12_000, 250_000, 4096, 0.3
 GRAMS = (5, 8)
+WINDOW, STRETCH = 60, 30
 
 
 @dataclass(frozen=True)
@@ -42,26 +43,43 @@ class Model:
     prior: float
 
 
+def windows(text: bytes) -> list[bytes]:
+    """The words; a run of more than 60 bytes as stretches of 30 that cover all of it, each beginning 15 after the one before."""
+    out = text.split()
+    if len(text) <= WINDOW or max(map(len, out), default=0) <= WINDOW:
+        return out
+    half = STRETCH // 2
+    return [x for w in out for x in ([w] if len(w) <= WINDOW else [w[i : i + STRETCH] for i in range(0, len(w) - half, half)])]
+
+
 def grams(word: bytes) -> set[bytes]:
-    w = b" " + word[:60] + b" "
+    w = b" " + word + b" "
     return {w[i : i + n] for n in GRAMS for i in range(max(1, len(w) - n + 1))}
 
 
-def document_counts(docs: list[bytes], known: dict[bytes, set[bytes]]) -> Counter:
+def known_grams(word: bytes, known: dict[bytes, set[bytes]]) -> set[bytes]:
+    got = known.get(word)
+    if got is None:
+        got = grams(word)
+        if len(word) < STRETCH:  # stretches of long runs hardly come again
+            known[word] = got
+    return got
+
+
+def document_counts(docs: list[bytes], known: dict[bytes, set[bytes]], among: set[bytes] | None = None) -> Counter:
+    """In how many documents each n-gram (of ``among``) is."""
     out: Counter = Counter()
     for t in docs:
         found: set[bytes] = set()
-        for w in set(t.split()):
-            if w not in known:
-                known[w] = grams(w)
-            found |= known[w]
-        out.update(found)
+        for w in set(windows(t)):
+            found |= known_grams(w, known)
+        out.update(found if among is None else found & among)
     return out
 
 
 def segments(word: bytes, chosen: dict[bytes, int]) -> list[bytes]:
     """Stretches of the word covered by chosen n-grams that are at least half as common as its most common one."""
-    w = b" " + word[:60] + b" "
+    w = b" " + word + b" "
     spots = [(i, min(len(w), i + n), chosen[w[i : i + n]]) for n in GRAMS for i in range(max(1, len(w) - n + 1)) if w[i : i + n] in chosen]
     least = max((c for _, _, c in spots), default=0) / 2
     out: list[list[int]] = []
@@ -76,24 +94,26 @@ def segments(word: bytes, chosen: dict[bytes, int]) -> list[bytes]:
 
 def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes, bytes]:
     known: dict[bytes, set[bytes]] = {}
-    hot, cold, n1, n0 = document_counts(toxic, known), document_counts(ordinary, known), len(toxic), len(ordinary)
+    n1, n0 = len(toxic), len(ordinary)
+    hot = {k: c for k, c in document_counts(toxic, known).items() if c >= max(3, n1 // 200)}
+    cold = document_counts(ordinary, known, set(hot))
     chosen: dict[bytes, int] = {}
     for k, c in hot.items():
-        if c >= max(3, n1 // 200) and c * n0 >= 5 * cold[k] * n1:
+        if c * n0 >= 5 * cold[k] * n1:
             p = (c + cold[k]) / (n1 + n0)
             if (c / n1 - cold[k] / n0) >= 5 * math.sqrt(p * (1 - p) * (1 / n1 + 1 / n0)):
                 chosen[k] = c
-    counts: Counter = Counter(s for t in toxic for w in set(t.split()) if not known[w].isdisjoint(chosen) for s in segments(w, chosen))
+    counts: Counter = Counter(s for t in toxic for w in set(windows(t)) if not known_grams(w, known).isdisjoint(chosen) for s in segments(w, chosen))
     content = b""
     for s, c in sorted(counts.items(), key=lambda x: (-x[1], x[0])):
         if c >= 3 and s not in content and len(content) < DICTIONARY_BYTES:
             content += s + b"|"
-    common = sorted(Counter(w for t in ordinary for w in t.split()).items(), key=lambda x: (-x[1], x[0]))
+    common = sorted(Counter(w for t in ordinary for w in windows(t)).items(), key=lambda x: (-x[1], x[0]))
     covered: set[bytes] = set()
     plain = b" "
     for w, _ in common:
-        if len(plain) < DICTIONARY_BYTES and len(w) < 40 and not known[w] <= covered:
-            covered |= known[w]
+        if len(plain) < DICTIONARY_BYTES and len(w) < 40 and not known_grams(w, known) <= covered:
+            covered |= known_grams(w, known)
             plain += w + b" "
     return content, plain, b" ".join(w for w, _ in common[:200])[:64].ljust(64, b".")
 
@@ -111,14 +131,14 @@ class Scorer:
     def gain(self, word: bytes) -> int:
         got = self.gains.get(word)
         if got is None:
-            window = b" " + word[:60] + b" " + self.model.lead
+            window = b" " + word + b" " + self.model.lead
             got = len(self.ordinary(window)) - len(self.toxic(window))
             if len(self.gains) < CACHE_ENTRIES:
                 self.gains[word] = got
         return got
 
     def features(self, text: bytes) -> list[float]:
-        words = text.lower().split()
+        words = windows(text.lower())
         g = np.fromiter(map(self.gain, words), np.int64, len(words))
         top = np.sort(g)[-2:].sum() if len(g) > 1 else g.sum()
         strong = (g >= 3).sum(), (g >= 4).sum()

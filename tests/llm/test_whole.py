@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from reelspark.llm import ngram_join, passages
+from reelspark.llm import ngram_join, passages, toxicity
 
 
 def words(r, n):
@@ -51,3 +51,16 @@ def test_an_edit_at_every_position_is_verified():
             b[25 + max(0, k - 4) : 25 + min(n, k + 1)] = r.integers(0, 1 << 60, min(n, k + 1) - max(0, k - 4))
             got = passages.verified(a, b, 46, 80)
             assert got and all(x[1] - x[0] >= 46 and x[3] - x[2] >= 46 and x[4] >= 0.8 for x in got), (n, k)
+
+
+def test_toxic_words_behind_the_first_60_bytes_of_a_run_are_scored():
+    for n in (0, 5, 60, 61, 75, 76, 200):
+        got = toxicity.windows(b"a " + bytes(range(100, 100 + n)) if n <= 100 else b"b" * n)
+        assert max(map(len, got)) <= 60 and (n <= 60 or sum(map(len, got)) >= n)
+    r = random.Random(9)
+    ordinary = [words(r, 30) for _ in range(80)]
+    toxic = [words(r, 15) + " vilebadword hatefulthing " + words(r, 15) for _ in range(80)]
+    scorer = toxicity.Scorer(toxicity.train([(t.encode(), 0) for t in ordinary] + [(t.encode(), 1) for t in toxic]))
+    for blank in ("\u3000", "\u00a0", "_", "\u3002"):
+        clean, bad = (blank.join(t.split()).encode() for t in (toxic[0].replace("vilebadword hatefulthing ", ""), toxic[0]))
+        assert clean[:60] == bad[:60] and scorer.score(bad) > scorer.score(clean)
