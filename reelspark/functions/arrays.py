@@ -39,6 +39,11 @@ def nested_decimals(boxes: Column) -> Column:
     return F.transform(boxes, lambda b: F.transform(b, decimal2))
 
 
+def at_least(detections: Column, confidence: float) -> Column:
+    """Detections of this confidence or more."""
+    return F.filter(detections, lambda d: d["conf"] >= confidence)
+
+
 def counts_by_bin(values: Column, bins: int, limit: float) -> Column:
     """Counts of values in ``bins`` equal bins of [0, limit)."""
     at = F.transform(values, lambda v: F.floor(v.cast("double") * bins / limit).cast("int"))

@@ -29,6 +29,11 @@ def seconds_to_frame(seconds: Column, rate: Column) -> Column:
     return (seconds * rate).cast("bigint")
 
 
+def total_frames(duration: Column, rate: Column) -> Column:
+    """Whole frames in a duration in seconds."""
+    return seconds_to_frame(duration, rate)
+
+
 def timecode(frame: Column, fps: Column, form: str) -> Column:
     """One of five forms; a rate of zero gives 00:00:00.000, an unknown form null."""
     total = frame.cast("double") / F.nullif(fps.cast("double"), F.lit(0.0))

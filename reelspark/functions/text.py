@@ -25,17 +25,35 @@ def naive_join(base: Column, relative: Column) -> Column:
 
 
 def url_join(base: Column, relative: Column) -> Column:
-    """A reference resolved against a base URL: absolute, scheme-relative, root-relative or relative; dot segments are kept."""
+    """A reference resolved against a base URL: absolute, scheme-relative, root-relative or relative; dot segments are resolved, as RFC 3986 has it.
+
+    A null base or reference gives null.
+    """
     scheme = F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.-]*):", 1)
     host = F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     folder = F.concat(host, F.coalesce(F.nullif(F.regexp_extract(F.regexp_replace(base, "[?#].*$", ""), "^[A-Za-z][A-Za-z0-9+.-]*://[^/]*(.*/)", 1), F.lit("")), F.lit("/")))
     return (
         F.when(relative.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), relative)
         .when(F.startswith(relative, F.lit("//")), F.concat(scheme, F.lit(":"), relative))
-        .when(F.startswith(relative, F.lit("/")), F.concat(host, relative))
+        .when(F.startswith(relative, F.lit("/")), F.concat(host, without_dots(relative)))
         .when(relative == "", base)
-        .otherwise(F.concat(folder, relative))
+        .when(F.startswith(relative, F.lit("?")), F.concat(F.regexp_replace(base, "[?#].*$", ""), relative))
+        .when(F.startswith(relative, F.lit("#")), F.concat(F.regexp_replace(base, "#.*$", ""), relative))
+        .otherwise(F.concat(host, without_dots(F.concat(F.substr(folder, F.length(host) + 1), relative))))
+    )
+
+
+def without_dots(path: Column) -> Column:
+    """A path that begins with a slash, without its segments . and .. (each .. takes the segment before with it); what follows ? or # stays."""
+    plain, rest = F.regexp_extract(path, "^[^?#]*", 0), F.regexp_extract(path, "[?#].*$", 0)
+    parts = F.split(plain, "/")
+    fold = F.aggregate(
+        parts,
+        F.array().cast("array<string>"),
+        lambda kept, x: F.when(x == ".", kept).when(x == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(1)))).otherwise(F.array_append(kept, x)),
     )
+    folder = F.when(F.element_at(parts, -1).isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
+    return F.concat(F.array_join(fold, "/"), folder, rest)
 
 
 def resolution(line: Column) -> Column:

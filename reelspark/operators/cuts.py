@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelspark.functions.numeric import correlation, hamming
+from reelspark.functions.numeric import correlation, hamming, timecode
 
 #: A cut has at least this Hamming distance and less than this correlation.
 LEAST_HAMMING, CORRELATION = 20, 0.90
@@ -25,6 +25,28 @@ def is_cut(least: int = LEAST_HAMMING, below: float = CORRELATION) -> Column:
     return F.coalesce((F.col("hamming") >= least) & (r.isNull() | F.isnan(r) | (r < below)), F.lit(False))
 
 
+def change_records(kept: DataFrame, fps: float, match: str = "match_id", order: str = "frame_number", form: str = "HH:MM:SS.mmm") -> DataFrame:
+    """change_id, idx, tc, sim for the change log: cuts numbered from 1 in each match, with the frame, its timecode and the correlation."""
+    number = F.row_number().over(Window.partitionBy(match).orderBy(order)).cast("bigint")
+    return kept.select(match, number.alias("change_id"), F.col(order).alias("idx"), timecode(F.col(order), F.lit(fps), form).alias("tc"), F.col("correlation").alias("sim"))
+
+
+def histogram_3d(pixels: DataFrame, keys: list[str], channels: tuple[str, str, str], bins: int = 50, limit: float = 256.0) -> DataFrame:
+    """keys, bin, count: the filled bins of each picture's three-dimensional histogram of [0, limit) in each channel; bin is (first * bins + second) * bins + third.
+
+    Values outside (and null ones) are not counted. One aggregate over pixels, with partial counts in each task.
+    """
+    at = [F.floor(F.col(c).cast("double") * bins / limit).cast("int") for c in channels]
+    inside = at[0].between(0, bins - 1) & at[1].between(0, bins - 1) & at[2].between(0, bins - 1)
+    return pixels.where(inside).groupBy(*keys, ((at[0] * bins + at[1]) * bins + at[2]).alias("bin")).agg(F.count("*").alias("count"))
+
+
+def normalised(histogram: DataFrame, keys: list[str], count: str = "count") -> DataFrame:
+    """histogram with ``share``: counts over the root of their sum of squares, so that each picture's vector has length 1."""
+    total = F.sqrt(F.sum(F.col(count).cast("double") * F.col(count)).over(Window.partitionBy(*keys)))
+    return histogram.withColumn("share", F.col(count) / total)
+
+
 def debounce(rows: DataFrame, key: str, order: str, gap: int) -> DataFrame:
     """Greedy: a row is kept if it is at least ``gap`` after the last kept row of its key.
 

@@ -47,6 +47,28 @@ def is_live(of: DataFrame, key: str) -> DataFrame:
     return seen.select(key, F.when(F.col("over"), False).when(F.col("event"), True).when(F.col("master"), F.lit(None).cast("boolean")).otherwise(True).alias("is_live"))
 
 
+def rendition(of: DataFrame, playlists: DataFrame, key: str, url: str, suffix: str) -> DataFrame:
+    """key, url: the line that ends in ``suffix``, joined with the playlist's own URL; without such a line (or a line at all) that URL itself."""
+    found = with_suffix(of, key, suffix).withColumnRenamed("url", "_line")
+    return playlists.select(key, url).join(found, key, "left").select(key, F.when(F.col("_line").isNull(), F.col(url)).otherwise(T.url_join(F.col(url), F.col("_line"))).alias("url"))
+
+
+def is_live_resolved(of: DataFrame, addresses: DataFrame, key: str, url: str, depth: int = 3) -> DataFrame:
+    """key, is_live of each playlist of ``addresses`` (key, url): a list of variants is as live as its best variant, looked up by URL, and so on ``depth`` times at most.
+
+    What can't be resolved is not live: a playlist without lines, without variants, or whose variant has no playlist.
+    """
+    direct = is_live(of, key)
+    found = addresses.select(key, url).join(direct, key, "left").join(best_variant(of, key).withColumnRenamed("url", "_line"), key, "left")
+    known = found.select(key, url, F.when(F.col("_line").isNull(), F.coalesce("is_live", F.lit(False))).otherwise(F.col("is_live")).alias("is_live"), T.url_join(F.col(url), F.col("_line")).alias("_next"))
+    targets = known.groupBy(F.col(url).alias("_at")).agg(F.any_value("is_live").alias("_live"), F.any_value("_next").alias("_then"))
+    for _ in range(depth):
+        ahead = known.join(targets, F.col("is_live").isNull() & (F.col("_next") == F.col("_at")), "left")
+        lost = F.col("is_live").isNull() & F.col("_at").isNull()
+        known = ahead.select(key, url, F.when(lost, False).otherwise(F.coalesce("is_live", "_live")).alias("is_live"), F.col("_then").alias("_next"))
+    return known.select(key, F.coalesce("is_live", F.lit(False)).alias("is_live"))
+
+
 def new_segments(of: DataFrame, key: str, poll: str) -> DataFrame:
     """Each segment line once, at the first poll that lists it."""
     found = of.where(F.endswith("line", F.lit(SEGMENT)))

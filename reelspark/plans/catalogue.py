@@ -8,13 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from reelspark import analyzers
 from reelspark.functions import arrays as A
+from reelspark.functions import games
 from reelspark.functions import numeric as N
 from reelspark.functions import text as T
 from reelspark.operators import cuts, detections, frames, playlist
+from reelspark.sources import probes
 from reelspark.streaming import queries as streaming
 
 GAP = 6 * 3600 * 1_000_000  # of events, in microseconds
@@ -36,7 +40,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return SQL | {"stream_frame_numbering": STREAM_NUMBERING_SQL, "stream_debounce": SQL["debounce_events"], "stream_dedupe": STREAM_DEDUPE_SQL}
+    return SQL | {"stream_frame_numbering": STREAM_NUMBERING_SQL, "stream_debounce": SQL["debounce_events"], "stream_dedupe": STREAM_DEDUPE_SQL, "stream_new_segments": STREAM_SEGMENTS_SQL, "csv_append": CSV_SQL, "upsert_detections": UPSERT_SQL} | STREAM_CUTS_SQL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -393,5 +397,221 @@ def dimension_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.groupBy(F.col("r_name").alias("region"), F.col("n_name").alias("nation")).agg(F.sum("c").alias("customers"))
 
 
+# The rest of the functions and records ----------------------------------------------------------------------------------------
+
+
+@query("""
+WITH t AS (SELECT o_orderkey, (o_orderkey % 50) * 1000 AS num, CASE o_custkey % 3 WHEN 0 THEN 0 WHEN 1 THEN 1000 ELSE 1001 END AS den FROM orders)
+SELECT o_orderkey, CASE WHEN den = 0 THEN 0 ELSE round(num::DOUBLE / nullif(den, 0), 6) END::DOUBLE AS fps FROM t""")
+def frame_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ratio = F.expr("concat(o_orderkey % 50 * 1000, '/', case o_custkey % 3 when 0 then 0 when 1 then 1000 else 1001 end)")
+    return table(spark, sf_dir, "orders").select("o_orderkey", N.frame_rate(ratio).alias("fps"))
+
+
+@query("SELECT o_orderkey, o_orderkey / 25.0::DOUBLE AS seconds, trunc(o_totalprice * 29.97::DOUBLE)::BIGINT AS frame, trunc(o_custkey * 12.5::DOUBLE)::BIGINT AS total FROM orders")
+def frame_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select("o_orderkey", N.frame_to_seconds(f, F.lit(25.0)).alias("seconds"), N.seconds_to_frame(F.col("o_totalprice"), F.lit(29.97)).alias("frame"), N.total_frames(F.col("o_custkey"), F.lit(12.5)).alias("total"))
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS stamp FROM events")
+def utc_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", T.utc_stamp(F.col("ts")).alias("stamp"))
+
+
+@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 3 > 0 THEN 'zone-' || s_nationkey END AS region FROM supplier""")
+def queue_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    url = F.expr("case when s_suppkey % 3 > 0 then concat('https://sqs.zone-', s_nationkey, '.example.com/1/q') else s_name end")
+    return table(spark, sf_dir, "supplier").select("s_suppkey", T.queue_region(url).alias("region"))
+
+
+@query("""
+WITH t AS (SELECT o_orderkey, o_orderkey / 25.0::DOUBLE AS s FROM orders)
+SELECT o_orderkey, printf('%02d:%02d:%02d', (floor(s / 3600))::INT, (floor(s % 3600 / 60))::INT, (floor(s - floor(s / 60) * 60))::INT) AS clock,
+  printf('%02d_%02d_%.3f', (floor(s / 3600))::INT, (floor(s % 3600 / 60))::INT, s - floor(s / 60) * 60) AS file_form, '00:00:00.000' AS no_rate, NULL::VARCHAR AS no_form FROM t""")
+def timecode_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f, fps = F.col("o_orderkey"), F.lit(25.0)
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", N.timecode(f, fps, "HH:MM:SS").alias("clock"), N.timecode(f, fps, "HH_MM_SS_mmm").alias("file_form"), N.timecode(f, F.lit(0.0), "HH:MM:SS").alias("no_rate"), N.timecode(f, fps, "other").alias("no_form")
+    )
+
+
+@query("""
+WITH t AS (SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS host, split_part(split_part(url, '?', 1), '#', 1) AS plain, split_part(url, ':', 1) AS scheme, url FROM pages),
+b AS (SELECT *, regexp_replace(plain, '/[^/]*$', '') AS folder FROM t)
+SELECT page_id, CASE page_id % 8
+  WHEN 0 THEN folder || '/c.ts' WHEN 1 THEN host || '/live/c.ts' WHEN 2 THEN CASE WHEN length(folder) > length(host) THEN regexp_replace(folder, '/[^/]*$', '') ELSE host END || '/up/c.ts' WHEN 3 THEN 'http://x.example/a/../c.ts' WHEN 4 THEN scheme || '://y.example/c.ts'
+  WHEN 5 THEN folder || '/e.ts?a=../b' WHEN 6 THEN host || '/c/' ELSE plain || '?k=1' END AS url FROM b""")
+def url_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forms = ["c.ts", "/live/c.ts", "../up/c.ts", "http://x.example/a/../c.ts", "//y.example/c.ts", "./d/../e.ts?a=../b", "../../../c/x/..", "?k=1"]
+    relative = F.element_at(F.array(*map(F.lit, forms)), (F.col("page_id") % 8 + 1).cast("int"))
+    return table(spark, sf_dir, "pages").select("page_id", T.url_join(F.col("url"), relative).alias("url"))
+
+
+GAMES_SQL = "(VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in games.GAMES.items()) + ") AS g(game, game_id)"
+NAME_SQL = "CASE WHEN p_partkey % 3 = 0 THEN 'cricket' WHEN p_partkey % 3 = 1 THEN 'judo' WHEN p_partkey % 5 = 0 THEN 'fencing' WHEN p_partkey % 5 = 1 THEN 'table_tennis_olympics' WHEN p_partkey % 5 = 2 THEN 'cricket-2' ELSE p_brand END"
+
+
+@query(f"SELECT p_partkey, n.game, game_id FROM (SELECT p_partkey, {NAME_SQL} AS game FROM part) n LEFT JOIN {GAMES_SQL} ON n.game = g.game")
+def game_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return games.with_game_id(table(spark, sf_dir, "part").select("p_partkey", F.expr(NAME_SQL).alias("game")))
+
+
+@query(f"SELECT p_partkey, CASE {NAME_SQL} WHEN 'judo' THEN 'combat' WHEN 'fencing' THEN 'athletic' WHEN 'table_tennis_olympics' THEN 'racket' END AS family FROM part")
+def sport_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select("p_partkey", games.family(F.expr(NAME_SQL)).alias("family"))
+
+
+@query(f"SELECT p_partkey, {NAME_SQL} IN ('cricket', 'cricket-2') AND p_size % 2 = 0 AS three FROM part")
+def three_model_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = games.with_game_id(table(spark, sf_dir, "part").select("p_partkey", F.expr(NAME_SQL).alias("game"), F.expr("case when p_size % 2 = 0 then 'false' when p_size % 3 = 0 then 'True' end").alias("flag")))
+    return named.select("p_partkey", detections.three_model_mode(F.col("game_id"), F.col("flag")).alias("three"))
+
+
+@query("""
+WITH w AS (SELECT l_orderkey AS k, max(l_quantity) FILTER (l_linenumber = 1) AS a, max(l_quantity) FILTER (l_linenumber = 2) AS b, max(l_quantity) FILTER (l_linenumber = 3) AS c FROM lineitem GROUP BY l_orderkey)
+SELECT k AS frame_number, CASE WHEN a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL THEN 'three_model' ELSE 'single' END AS shape,
+  CASE WHEN a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL THEN 3 ELSE 1 END::INT AS parts, CASE WHEN a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL THEN c ELSE -1 END AS person FROM w""")
+def stored_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(*[F.max(F.when(F.col("l_linenumber") == k + 1, F.col("l_quantity"))).alias(f"q{k}") for k in range(3)])
+    arrays = lambda q, prefix: [F.when(q.isNotNull(), F.array(F.array(q))).alias(f"{prefix}boxes"), F.array(F.lit(0.5)).alias(f"{prefix}confidences"), F.array(F.lit(0)).alias(f"{prefix}classes")]
+    wide = line.select(F.lit("m").alias("match_id"), F.col("l_orderkey").alias("frame_number"), *arrays(F.lit(-1.0), ""), *[c for k, m in enumerate(detections.MODELS) for c in arrays(F.col(f"q{k}"), f"{m}_")])
+    items, person = detections.stored_items(wide), F.lit("person_detection_model")
+    boxes = F.coalesce(F.try_element_at("items", person), F.try_element_at("items", F.lit("single")))["boxes"]
+    return items.select("frame_number", "shape", F.size("items").alias("parts"), F.get(F.get(boxes, 0), 0).alias("person"))
+
+
+@query(f"SELECT l_orderkey AS frame_number, coalesce(string_agg(l_linenumber, ',' ORDER BY l_linenumber, l_quantity) FILTER (l_discount >= 0.05), '') AS kept FROM lineitem GROUP BY l_orderkey")
+def confidence_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("frame_number"), F.struct("l_linenumber", "l_quantity", "l_discount").alias("d"))
+    rows = d.groupBy("frame_number").agg(F.sort_array(F.collect_list("d")).alias("d"))
+    part = lambda c: F.transform("d", lambda x: x[c])
+    kept = detections.confident(rows.select("frame_number", F.transform("d", lambda x: F.array(x["l_quantity"])).alias("boxes"), part("l_discount").alias("confidences"), part("l_linenumber").alias("classes")), 0.05)
+    return kept.select("frame_number", F.array_join(F.transform("classes", lambda x: x.cast("string")), ",").alias("kept"))
+
+
+@query(kept_sql(32, 3) + " SELECT r.k AS match_id, row_number() OVER (PARTITION BY r.k ORDER BY r.f) AS change_id, r.f AS idx, printf('%02d_%02d_%02d', 0, (r.f // 1500)::INT, (r.f % 1500 // 25)::INT) AS tc, round(c.correlation, 5) AS sim FROM r JOIN c ON c.match_id = r.k AND c.frame_number = r.f")
+def cuts_detailed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = cuts.compared(frame_features(spark, sf_dir)).join(kept_cuts(spark, sf_dir, 32, 3), ["match_id", "frame_number"], "left_semi")
+    return cuts.change_records(kept, 25.0, form="HH_MM_SS").withColumn("sim", F.round("sim", 5))
+
+
+BINS_SQL = """
+WITH p AS (SELECT vec_id, floor((embedding[3 * i + 1]::DOUBLE + 1) * 128 * 50 / 256)::INT AS h, floor((embedding[3 * i + 2]::DOUBLE + 1) * 128 * 50 / 256)::INT AS s, floor((embedding[3 * i + 3]::DOUBLE + 1) * 128 * 50 / 256)::INT AS v
+  FROM embeddings, unnest(range(0, len(embedding) // 3)) AS t(i)),
+b AS (SELECT vec_id, (h * 50 + s) * 50 + v AS bin, count(*) AS count FROM p WHERE h BETWEEN 0 AND 49 AND s BETWEEN 0 AND 49 AND v BETWEEN 0 AND 49 GROUP BY ALL)"""
+
+
+def picture_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    value = lambda k: F.get("embedding", F.col("i") * 3 + k)
+    pixels = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.floor(F.size("embedding") / 3).cast("int") - 1)).alias("i"))
+    scaled = pixels.select("vec_id", *[((value(k).cast("double") + 1) * 128).alias(c) for k, c in enumerate("hsv")])
+    return cuts.histogram_3d(scaled, ["vec_id"], ("h", "s", "v"))
+
+
+@query(BINS_SQL + " SELECT vec_id, bin, count FROM b")
+def histogram_3d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return picture_bins(spark, sf_dir)
+
+
+@query(BINS_SQL + " SELECT vec_id, bin, round(count / sqrt(sum(count * count) OVER (PARTITION BY vec_id)), 6) AS share FROM b")
+def histogram_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cuts.normalised(picture_bins(spark, sf_dir), ["vec_id"]).select("vec_id", "bin", F.round("share", 6).alias("share"))
+
+
+ADDRESS_SQL = "concat('http://h.example/x/', CASE WHEN o_orderkey % 5 = 1 THEN concat('v', o_orderkey - 1, '_1080p.m3u8') WHEN o_orderkey % 5 = 4 THEN concat('a', o_orderkey - 1, '.m3u8') ELSE concat('p', o_orderkey, '.m3u8') END)"
+
+
+def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.expr(ADDRESS_SQL).alias("url"))
+
+
+@query("SELECT o_orderkey AS k, CASE o_orderkey % 5 WHEN 2 THEN true WHEN 4 THEN true WHEN 3 THEN EXISTS (SELECT 1 FROM orders p WHERE p.o_orderkey = o.o_orderkey + 1) ELSE false END AS is_live FROM orders o")
+def is_live_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return playlist.is_live_resolved(playlist_rows(spark, sf_dir), addresses(spark, sf_dir), "k", "url")
+
+
+@query(f"SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 = 0 THEN concat('http://h.example/x/v', o_orderkey, '_480p.m3u8') ELSE {ADDRESS_SQL} END AS url FROM orders")
+def rendition_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return playlist.rendition(playlist_rows(spark, sf_dir), addresses(spark, sf_dir), "k", "url", "_480p.m3u8")
+
+
+PROBE_JSON = 'concat(\'{"streams":[{"width":\', o_custkey, \',"height":720,"r_frame_rate":"\', CASE WHEN o_orderkey % 4 = 0 THEN \'0/0\' ELSE \'30000/1001\' END, \'"}]}\')'
+
+
+@query("SELECT o_orderkey, o_custkey::INT AS width, 720 AS height, CASE WHEN o_orderkey % 4 = 0 THEN 0 ELSE 29.97003 END::DOUBLE AS fps FROM orders")
+def stream_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probes.stream_probe(table(spark, sf_dir, "orders").select("o_orderkey", F.expr(PROBE_JSON).alias("json"))).drop("json")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 0 ELSE 29.97003 END::DOUBLE AS fps, CASE WHEN o_orderkey % 4 = 0 THEN 0 ELSE trunc(o_totalprice * 29.97003::DOUBLE) END::BIGINT AS total_frames FROM orders")
+def media_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probes.media_info(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.expr(PROBE_JSON).alias("json")), "o_totalprice").select("o_orderkey", "fps", "total_frames")
+
+
+FRAMES_JSON = 'CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN \'no json\' WHEN 2 THEN \'{"frames":[{"pkt_pts_time":"0.5"},{},{"pkt_pts_time":"1.25"}]}\' ELSE \'{"frames":[{"pkt_pts_time":"2.0"}]}\' END'
+
+
+def segment_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("match_id"), F.expr("concat('http://h/v_480p_', o_orderkey, '.ts')").alias("segment"), F.col("o_orderkey").alias("arrival"), F.expr(FRAMES_JSON).alias("json"))
+
+
+@query("SELECT o_custkey::VARCHAR AS match_id, 'v_480p_' || o_orderkey || '.ts' AS segment, CASE o_orderkey % 4 WHEN 0 THEN 'no output' ELSE 'no frames' END AS reason FROM orders WHERE o_orderkey % 4 < 2")
+def failed_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probes.failed_probes(segment_probes(spark, sf_dir))
+
+
+@query("""
+WITH f AS (SELECT o_custkey, o_orderkey, unnest([0, 2]) AS ts_frame FROM orders WHERE o_orderkey % 4 = 2 UNION ALL SELECT o_custkey, o_orderkey, 0 FROM orders WHERE o_orderkey % 4 = 3)
+SELECT o_custkey::VARCHAR AS match_id, 'v_480p_' || o_orderkey || '.ts' AS segment, CASE WHEN o_orderkey % 4 = 3 THEN 2 WHEN ts_frame = 0 THEN 0.5 ELSE 1.25 END::DOUBLE AS ptstime, ts_frame::INT AS ts_frame,
+  row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey, ts_frame) AS frame_number, o_orderkey::INT AS segment_number FROM f""")
+def probed_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probes.probed_frames(segment_probes(spark, sf_dir)).withColumn("ptstime", F.col("ptstime").cast("double"))
+
+
+class Steady(analyzers.InferenceAnalyzer):
+    """A model for queries: a frame's label and confidence follow from its number, and the box tells whether batches keep to their size."""
+
+    def load(self):
+        size = int(self.params.get("batch_size", 1))
+        return lambda b: pd.DataFrame({"match_id": b.match_id, "frame_number": b.frame_number, "object_label": ["ball" if f % 2 else "bat" for f in b.frame_number], "confidence": b.frame_number % 100 / 100, "bbox": [[int(len(b) <= size)]] * len(b)})
+
+
+class SteadyThree(analyzers.ThreeModelAnalyzer):
+    """Three models for queries; the last of them has no answer for every fifth frame."""
+
+    def load(self):
+        def predict(b: pd.DataFrame) -> pd.DataFrame:
+            rows = [(m, f, model, [[float(f)]], [0.5], [float(k)]) for m, f in zip(b.match_id, b.frame_number, strict=True) for k, model in enumerate(self.models) if k < 2 or f % 5]
+            return pd.DataFrame(rows, columns=["match_id", "frame_number", "model", "boxes", "confidences", "classes"])
+
+        return predict
+
+
+def event_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(F.concat(F.lit("m"), F.col("user_id") % 3).alias("match_id"), F.col("event_id").alias("frame_number"))
+
+
+@query("""
+SELECT 0 AS request, 'OD' AS analyzer_type, 'm1' AS match_id, event_id AS frame_number, CASE WHEN event_id % 2 = 1 THEN 'ball' ELSE 'bat' END AS object_label, 1::DOUBLE AS fits, NULL::DOUBLE AS box FROM events WHERE user_id % 3 = 1 AND event_id % 100 >= 50
+UNION ALL SELECT 1, 'three', 'm2', event_id, NULL, NULL, CASE WHEN event_id % 5 = 0 THEN -1 ELSE event_id END FROM events WHERE user_id % 3 = 2""")
+def analyzer_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = [{"analyzer_type": "OD", "streamUrl": "u", "matchId": "m1", "threshold": "0.5", "batch_size": "8"}, {"analyzer_type": "three", "streamUrl": "u", "matchId": "m2", "batch_size": "8"}]
+    found = analyzers.run(asked, {"OD": Steady, "three": SteadyThree}, event_frames(spark, sf_dir))
+    box = F.when(F.col("request") == 1, F.coalesce(F.get(F.get("person_detection_model_boxes", 0), 0), F.lit(-1.0))).cast("double")
+    return found.select("request", "analyzer_type", "match_id", "frame_number", "object_label", F.get("bbox", 0).cast("double").alias("fits"), box.alias("box"))
+
+
+STREAM_CUTS_SQL = {
+    name: kept_sql(least, gap).replace("FROM embeddings)", "FROM embeddings WHERE vec_id % 7 <> 0)") + " SELECT k AS match_id, f - 1 AS frame_number, f AS cut_frame FROM r" for name, least, gap in (("stream_cuts", 20, 25), ("stream_cuts_strict", 32, 3))
+}
+STREAM_SEGMENTS_SQL = """
+SELECT DISTINCT o_custkey, url FROM (
+  SELECT o_custkey, 'http://h.example/live/s_' || (o_orderkey // 3) || '.ts' AS url FROM orders
+  UNION ALL SELECT o_custkey, 'http://h.example/live/' || o_custkey || '/s_' || (o_orderkey // 3 + 1) || '.ts' FROM orders)"""
+CSV_SQL = "SELECT event_id, event_type, event_id AS box FROM events WHERE event_id % 97 = 0"
+UPSERT_SQL = """
+SELECT user_id, event_type, event_id, 'stored' AS at FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS r FROM events WHERE value >= 20) WHERE r = 1
+UNION ALL SELECT user_id, event_type, event_id, 'rejected' FROM events WHERE value < 20"""
 STREAM_NUMBERING_SQL = "SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS frame_number FROM events WHERE event_id % 7 <> 0"
 STREAM_DEDUPE_SQL = "SELECT DISTINCT user_id, strftime(ts, '%Y%m%d%H') AS segment FROM events"

@@ -6,3 +6,4 @@ DETECTIONS = "match_id string, frame_number bigint, model string, boxes array<ar
 CUTS = "match_id string, frame_number bigint"
 REQUEST = "analyzer_type string, streamUrl string, matchId string, params map<string,string>"
 PROBE = "frames array<struct<pkt_pts_time:string>>"
+STREAMS = "streams array<struct<width:int,height:int,r_frame_rate:string>>"

@@ -1,8 +1,11 @@
-"""A growing playlist file as a stream of its segments, each once and in order; ends for good at the end marker."""
+"""A growing playlist as a stream of its segments, each once and in order; ends for good at the end marker, fails when nothing new comes for too long."""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
+from urllib.parse import urljoin, urlsplit
+from urllib.request import urlopen
 
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 from pyspark.sql.types import StructType
@@ -23,33 +26,54 @@ def segments(text: str) -> list[str]:
 
 
 class PlaylistStream(DataSource):
-    """format("playlist").load(path of a file that all nodes see): playlist string, position bigint, segment string."""
+    """format("playlist").load(path or http URL, read by the driver alone): playlist string, position bigint, segment string, url string.
+
+    Options: ``base``, the URL that segment lines are joined with (the path, if it isn't given); ``idleTimeout``, seconds without a new segment after which
+    the stream fails with TimeoutError, the poll that finds the end marker included (none, if it isn't given).
+
+    A segment is known by its URL, not by its place, so that a live list may drop old lines at its top: an offset keeps the URLs of the last list and the rows that
+    came with it, so that a batch which is run again gives the same rows. A URL that left the list and comes back later counts as new.
+    """
 
     @classmethod
     def name(cls) -> str:
         return "playlist"
 
     def schema(self) -> str:
-        return "playlist string, position bigint, segment string"
+        return "playlist string, position bigint, segment string, url string"
 
     def simpleStreamReader(self, schema: StructType) -> SimpleDataSourceStreamReader:
-        return PlaylistReader(self.options["path"])
+        idle = self.options.get("idleTimeout")
+        return PlaylistReader(self.options["path"], self.options.get("base") or self.options["path"], None if idle is None else float(idle))
 
 
 class PlaylistReader(SimpleDataSourceStreamReader):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, base: str | None = None, idle: float | None = None):
+        self.path, self.base, self.idle = path, base or path, idle
+        self.latest = time.time()
 
     def initialOffset(self) -> dict:
-        return {"seen": 0}
+        return {"count": 0, "listed": [], "fresh": []}
 
-    def _rows(self, a: int, b: int | None) -> list[tuple[str, int, str]]:
+    def _text(self) -> str:
+        if urlsplit(self.path).scheme in ("http", "https", "file"):
+            with urlopen(self.path, timeout=10) as got:
+                return got.read().decode("utf-8")
         with open(self.path, encoding="utf-8") as f:
-            return [(self.path, i, s) for i, s in enumerate(segments(f.read())) if i >= a and (b is None or i < b)]
+            return f.read()
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        rows = self._rows(start["seen"], None)
-        return iter(rows), {"seen": start["seen"] + len(rows)}
+        now, known = segments(self._text()), set(start["listed"])
+        fresh = [s for s in now if s not in known]
+        if fresh:
+            self.latest = time.time()
+        elif self.idle is not None and time.time() - self.latest > self.idle:
+            raise TimeoutError(f"no new segment in {self.path} for {self.idle} seconds")
+        if not fresh:
+            return iter([]), start
+        end = {"count": start["count"] + len(fresh), "listed": now, "fresh": fresh}
+        return self.readBetweenOffsets(start, end), end
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        return iter(self._rows(start["seen"], end["seen"]))
+        first = end["count"] - len(end["fresh"])
+        return iter([(self.path, first + i, s, urljoin(self.base, s)) for i, s in enumerate(end["fresh"]) if first + i >= start["count"]])

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelspark.functions.numeric import frame_rate, total_frames
 from reelspark.functions.text import basename, segment_number
 from reelspark.operators.frames import number_frames
-from reelspark.schemas import PROBE
+from reelspark.schemas import PROBE, STREAMS
 
 
 def probed_frames(probes: DataFrame) -> DataFrame:
@@ -22,8 +23,18 @@ def probed_frames(probes: DataFrame) -> DataFrame:
     return numbered.select("match_id", "segment", "ptstime", "ts_frame", "frame_number", segment_number(F.col("segment")).alias("segment_number"))
 
 
-def stream_probe(probes: DataFrame) -> DataFrame:
-    """width, height, r_frame_rate -> the same and fps."""
-    from reelspark.functions.numeric import frame_rate
+def failed_probes(probes: DataFrame) -> DataFrame:
+    """match_id, segment, reason of the segments that ``probed_frames`` skips: no output, or output that is no JSON or has no list of frames."""
+    reason = F.when(F.col("json").isNull(), "no output").when(F.from_json("json", PROBE)["frames"].isNull(), "no frames")
+    return probes.select("match_id", basename(F.col("segment")).alias("segment"), reason.alias("reason")).where("reason is not null")
 
-    return probes.withColumn("fps", frame_rate(F.col("r_frame_rate")))
+
+def stream_probe(probes: DataFrame, json: str = "json") -> DataFrame:
+    """probes with width, height and fps of the first stream of the probe's JSON; null where it lacks them, fps 0 for a zero denominator."""
+    first = F.get(F.from_json(json, STREAMS)["streams"], F.lit(0))
+    return probes.withColumns({"width": first["width"], "height": first["height"], "fps": frame_rate(first["r_frame_rate"])})
+
+
+def media_info(probes: DataFrame, duration: str, json: str = "json") -> DataFrame:
+    """probes with fps of the first stream and total_frames: whole frames in the duration (a column, in seconds)."""
+    return stream_probe(probes, json).drop("width", "height").withColumn("total_frames", total_frames(F.col(duration), F.col("fps")))

@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.streaming import state
+from reelspark.folders import fresh_folder
+from reelspark.functions.numeric import median_bits
+from reelspark.functions.text import url_join
+from reelspark.operators import playlist
+from reelspark.streaming import sinks, state
 from reelspark.streaming.sinks import collected
 
 GAP = 6 * 3600 * 1_000_000
@@ -15,7 +19,7 @@ GAP = 6 * 3600 * 1_000_000
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 8).parquet(sf_dir)
 
 
 def stream_frame_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,5 +38,53 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collected(seen.select("user_id", "segment"), spark)
 
 
+def camera_cuts(spark: SparkSession, sf_dir: str, least: int, gap: int) -> DataFrame:
+    """Cuts of a stream of frame features. Every seventh frame has none: it is skipped and gets no number."""
+    schema = spark.read.parquet(f"{sf_dir}/embeddings.parquet").schema
+    e = spark.readStream.schema(schema).option("pathGlobFilter", "embeddings.parquet").option("maxFilesPerTrigger", 8).parquet(sf_dir)
+    bits = F.when(F.col("vec_id") % 7 != 0, median_bits(F.col("embedding")))
+    frames = e.select(F.col("label").cast("bigint").alias("match_id"), "vec_id", bits.alias("bits"), F.col("embedding").alias("vector"))
+    return collected(state.camera_cuts(frames, "match_id", "vec_id", gap, least=least), spark)
+
+
+def stream_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return camera_cuts(spark, sf_dir, 20, 25)
+
+
+def stream_cuts_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return camera_cuts(spark, sf_dir, 32, 3)
+
+
+POLL = "concat_ws(chr(10), '#EXTINF:4,', concat('../s_', cast(o_orderkey div 3 as string), '.ts'), '#EXTINF:4,', concat('s_', cast(o_orderkey div 3 + 1 as string), '.ts'))"
+
+
+def stream_new_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polls of sliding playlists (an order is a poll, a customer a playlist): each segment URL once, whichever poll lists it."""
+    schema = spark.read.parquet(f"{sf_dir}/orders.parquet").schema
+    o = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").option("maxFilesPerTrigger", 8).parquet(sf_dir)
+    found = playlist.lines(o.select("o_custkey", F.expr(POLL).alias("body")), "o_custkey", "body").where(F.endswith("line", F.lit(playlist.SEGMENT)))
+    url = url_join(F.concat(F.lit("http://h.example/live/"), F.col("o_custkey").cast("string"), F.lit("/list.m3u8?t=1")), F.col("line"))
+    return collected(found.select("o_custkey", url.alias("url")).dropDuplicates(["o_custkey", "url"]), spark)
+
+
+def csv_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detections appended to CSV files by a stream, arrays as JSON, and read again."""
+    at = fresh_folder(spark, "csv")
+    box = F.array(F.col("event_id").cast("int"), F.lit(2))
+    sinks.csv_append(events(spark, sf_dir).where("event_id % 97 = 0").select("event_id", "event_type", box.alias("box")), f"{at}/rows", f"{at}/checkpoint").awaitTermination()
+    back = spark.read.option("header", True).schema("event_id bigint, event_type string, box string").csv(f"{at}/rows")
+    return back.select("event_id", "event_type", F.from_json("box", "array<int>")[0].cast("bigint").alias("box"))
+
+
+def upsert_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream into a keyed table, the last row of a key winning; rows of a negative or missing value are set aside."""
+    at = fresh_folder(spark, "upsert")
+    table = sinks.KeyedTable(spark, f"{at}/table", ["user_id", "event_type"], F.col("value") >= 20)
+    rows = events(spark, sf_dir).select("user_id", "event_type", "ts", "event_id", "value")
+    sinks.upsert_stream(rows, table, ["ts", "event_id"], f"{at}/checkpoint").awaitTermination()
+    good = table.read().select("user_id", "event_type", "event_id", F.lit("stored").alias("at"))
+    return good.unionByName(table.rejected().select("user_id", "event_type", "event_id", F.lit("rejected").alias("at")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"stream_frame_numbering": stream_frame_numbering, "stream_debounce": stream_debounce, "stream_dedupe": stream_dedupe}
+    return {"stream_frame_numbering": stream_frame_numbering, "stream_debounce": stream_debounce, "stream_dedupe": stream_dedupe} | {f.__name__: f for f in (stream_cuts, stream_cuts_strict, stream_new_segments, csv_append, upsert_detections)}

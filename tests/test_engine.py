@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from reelspark import analyzers
+from reelspark import analyzers, folders
 from reelspark.functions import arrays as A
 from reelspark.functions import numeric as N
 from reelspark.functions import text as T
@@ -30,7 +30,7 @@ def test_text(spark):
     assert values(spark, T.base_url, ["http://h/a/b.m3u8", "b", ""], "string") == ["http://h/a", "b", ""]
     assert values(spark, T.resolution, ["#X:RESOLUTION=854x480", "#X", None], "string") == [854 * 480, None, None]
     join = lambda x: T.url_join(F.lit("https://h.tv/a/b.m3u8?t=1/2"), x)
-    assert values(spark, join, ["c.ts", "/c.ts", "http://x/c.ts", "//x/c.ts", ""], "string") == ["https://h.tv/a/c.ts", "https://h.tv/c.ts", "http://x/c.ts", "https://x/c.ts", "https://h.tv/a/b.m3u8?t=1/2"]
+    assert values(spark, join, ["c.ts", "/c.ts", "http://x/c.ts", "//x/c.ts", "", "../d/./c.ts", "../../..", None], "string") == ["https://h.tv/a/c.ts", "https://h.tv/c.ts", "http://x/c.ts", "https://x/c.ts", "https://h.tv/a/b.m3u8?t=1/2", "https://h.tv/d/c.ts", "https://h.tv/", None]
     assert values(spark, lambda x: T.naive_join(F.lit("b"), x), ["c", "http://d"], "string") == ["b/c", "http://d"]
     assert values(spark, T.queue_region, ["https://sqs.eu-west-1.example.com/q", "x"], "string") == ["eu-west-1", None]
 
@@ -161,10 +161,76 @@ def test_growing_playlist(spark, tmp_path):
 
     path.write_text("#EXTINF:1,\na.ts\nb.ts\n")
     step()
-    path.write_text("#EXTINF:1,\na.ts\nb.ts\nc.ts\n#EXT-X-ENDLIST\nd.ts\n")
+    path.write_text("#EXTINF:1,\nb.ts\nc.ts\n")  # a has left the top of the list
     step()
+    path.write_text("#EXTINF:1,\nb.ts\nc.ts\nd.ts\n#EXT-X-ENDLIST\ne.ts\n")
     step()
-    assert [r.segment for r in spark.read.parquet(str(tmp_path / "out")).orderBy("position").collect()] == ["a.ts", "b.ts", "c.ts"]
+    step()
+    got = spark.read.parquet(str(tmp_path / "out")).orderBy("position").collect()
+    assert [(r.position, r.segment) for r in got] == list(enumerate(["a.ts", "b.ts", "c.ts", "d.ts"])) and got[0].url == str(tmp_path / "a.ts")
+
+
+def test_playlist_offsets_and_idle_timeout(tmp_path):
+    path = tmp_path / "list.m3u8"
+    path.write_text("a.ts\nhttp://x/b.ts\n")
+    reader = playlists.PlaylistReader(str(path), "http://h/live/list.m3u8", idle=1000)
+    rows, end = reader.read(reader.initialOffset())
+    assert [r[3] for r in rows] == ["http://h/live/a.ts", "http://x/b.ts"]
+    path.write_text("")
+    assert [r[1:3] for r in reader.readBetweenOffsets(reader.initialOffset(), end)] == [(0, "a.ts"), (1, "http://x/b.ts")]  # run again after the list has gone
+    assert list(reader.read(end)[0]) == [] and reader.read(end)[1] == end
+    reader.latest -= 1001
+    with pytest.raises(TimeoutError):
+        reader.read(end)
+    path.write_text("c.ts")
+    assert [r[2] for r in reader.read(end)[0]] == ["c.ts"]
+
+
+def test_json_messages(spark, tmp_path):
+    (tmp_path / "m.json").write_text('{"matchId": "1", "streamUrl": "u", "streamStatus": "started",\n "game": {"id": "g"}}')
+    row = messages.from_json(spark, str(tmp_path / "m.json")).first()
+    assert row.matchId == "1" and row.game.id == "g" and row.league is None
+    (tmp_path / "bad.json").write_text("{")
+    for bad in ("bad.json", "gone.json"):
+        with pytest.raises(Exception):
+            messages.from_json(spark, str(tmp_path / bad)).collect()
+
+
+def test_camera_cuts_carry_their_state(spark, tmp_path):
+    rows = [("ab"[i % 2], i, None if i % 11 == 5 else (-1 if i // 6 % 2 else 0), [float(i % 5), 1.0, float(i // 6 % 2)]) for i in range(96)]
+    schema = "k string, at long, bits long, vector array<double>"
+    got = []
+    for n in (1, 4):
+        (tmp_path / str(n)).mkdir()
+        stream = batches(spark, tmp_path / str(n), rows, schema, n)
+        got.append(sorted(map(tuple, sinks.collected(state.camera_cuts(stream, "k", "at", 4), spark).collect())))
+    frames_ = spark.createDataFrame([r for r in rows if r[2] is not None], schema)
+    numbered = frames.number_frames(frames_.withColumn("s", F.lit(1)), "k", "s", ["at"], F.lit(True))
+    kept = cuts.debounce(cuts.compared(numbered, "k").where(cuts.is_cut()), "k", "frame_number", 4)
+    assert got[0] == got[1] == sorted((r.k, r.frame_number - 1, r.frame_number) for r in kept.collect()) and got[0]
+
+
+def test_batches_keep_their_size():
+    made = [pd.DataFrame({"x": range(a, b)}) for a, b in ((0, 3), (3, 4), (4, 13), (13, 13))]
+    got = [b.x.tolist() for b in analyzers.of_size(iter(made), 5)]
+    assert [len(b) for b in got] == [5, 5, 3] and sum(got, []) == list(range(13))
+
+
+def test_folders_need_the_setting_on_a_cluster(spark):
+    class Conf:
+        def __init__(self, **values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class Session:
+        def __init__(self, **values):
+            self.conf = Conf(**{k.replace("_", "."): v for k, v in values.items()})
+
+    with pytest.raises(ValueError):
+        folders.shared_root(Session(spark_master="yarn"))
+    assert folders.shared_root(Session(spark_master="local[2]")) and folders.shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
 def test_messages(spark):
