@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelspark.llm.shared import saved
+from reelspark.llm.shared import discarded, saved
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,8 +13,9 @@ def components(edges: DataFrame) -> DataFrame:
     now = saved(_tidy(edges.select("a", "b")))
     before = None
     while (mark := _mark(now)) != before:
-        before = mark
-        now = saved(_star(_star(now, large=True), large=False))
+        before, last = mark, now
+        now = saved(_star(_star(last, large=True), large=False))
+        discarded(last)
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 

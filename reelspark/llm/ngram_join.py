@@ -2,10 +2,13 @@
 
 Documents with one n-gram set are one node. A node's n-grams are put in one global order, rarest first by counters of fixed size over all documents;
 two sets that reach the threshold share one of each set's first n - ceil(t n) + 1 (a bound that its size gives). Nodes that share such an n-gram and are
-near in size are in one group, named by its least node. A group is dealt by hash into blocks of about ``block`` nodes; for each pair of blocks one task
-multiplies the rows of one by the columns of the other: it accumulates the overlap counts of the incidence lists and discards pairs below
-ceil(t (|a| + |b|) / (1 + t)), the size-derived bound, which decides exactly. From each product come links that span what it found connected, so that a
-group of copies gives rows in proportion to its nodes and blocks and not to its pairs.
+near in size are in one group, named by its least node. A group is dealt by hash into blocks of about ``block`` nodes. A product of two blocks multiplies
+the rows of one by the columns of the other: it accumulates the overlap counts of the incidence lists and discards pairs below
+ceil(t (|a| + |b|) / (1 + t)), the size-derived bound, which decides exactly. From each product come links that span what it found connected.
+
+1. Each block is multiplied by itself and the group's least node: as many products as blocks, so a group of near copies, however large, costs in proportion to its nodes.
+2. What the links connect so far needs no further product among itself. In groups of several blocks, the nodes outside the largest connected part (blocks of them) are
+   multiplied by all blocks, so that no link between different parts is lost.
 
 Nodes are known by a 64-bit hash of the set. Null text, empty text and text without words have an empty set, linked with nothing. A text of fewer than
 ``words`` words has one n-gram, the whole sequence. Repeated rows and repeated ids are linked as their texts are; null ids stay rows and never name a component
@@ -23,14 +26,20 @@ from pyspark.sql import functions as F
 
 from reelspark.llm.arrow import mix, steps
 from reelspark.llm.components import components
-from reelspark.llm.shared import saved, tidied
+from reelspark.llm.shared import discarded, saved, unused
 from reelspark.llm.shingles import set_signature, shingle_sets
 
-COUNTER_BITS, COUNTER_PARTS, FILTER_BITS, BLOCK = 22, 64, 24, 1024
+COUNTER_BITS, COUNTER_PARTS, BLOCK = 22, 64, 1024
+#: Bits of the filter for each node, and the fewest and the most (32 MB) of it: 2 to some power.
+BITS_A_NODE, LEAST_BITS, MOST_BITS = 16, 20, 28
+BAND = 8  # size classes that one task handles together
 
 
 def n_gram_counters(docs: DataFrame, words: int) -> np.ndarray:
-    """In how many documents n-grams of each of 2^22 hash slots are: 16 MB to the driver, whatever the input. A task counts to 255, which is enough for an order."""
+    """In how many documents n-grams of each of 2^22 hash slots are: 16 MB to the driver, whatever the input. A task counts to 255, which is enough for an order.
+
+    An n-gram is told from its slot's others once it is in more documents than they are together, so with any input the prefixes avoid the n-grams that would make large groups.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNTER_BITS, np.int64)
@@ -55,9 +64,11 @@ def n_gram_counters(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def keyed(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n, node, and prefix: the node's rarest n-grams, one of which it shares with any set that reaches the threshold."""
+    """doc_id, n, node, class (of size), and prefix: the node's rarest n-grams, one of which it shares with any set that reaches the threshold."""
     counters = docs.sparkSession.sparkContext.broadcast(n_gram_counters(docs, words))
 
+    width = class_width(percent)
+
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = counters.value
         for batch, raw in steps(batches, "text"):
@@ -70,33 +81,39 @@ def keyed(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 prefix.append(x[np.lexsort((x, common[(x >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]))[:first]].view(np.int64))
             flat = np.concatenate(prefix)
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, prefix)]), pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(node, pa.int64()), lists], names=["doc_id", "n", "node", "prefix"])
+            kinds = np.floor(np.log(np.maximum(size, 1)) / width).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(kinds), lists], names=["doc_id", "n", "node", "class", "prefix"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(key, f"doc_id {kind}, n long, node long, prefix array<long>")
+    return docs.mapInArrow(key, f"doc_id {kind}, n long, node long, class int, prefix array<long>")
+
+
+def class_width(percent: int) -> float:
+    """Of size classes, in the logarithm: sizes of linked sets differ by a class at most."""
+    return float(np.log(100 / percent) * 1.001) if percent < 100 else 1e-9
 
 
 def stars(nodes: DataFrame, partitions: int, percent: int) -> DataFrame:
     """(pivot, node): the nodes of each cell, under the least of them. A cell has the nodes with one prefix n-gram and of one or the next smaller
     size class; sizes of linked sets differ by a class at most. A cell counts if one of its nodes has the n-gram in the shorter prefix that the smaller of two linked sets needs.
-    Cells of one class with the same least node make one group."""
-    width = np.log(100 / percent) * 1.001 if percent < 100 else 1e-9
+    Cells of one class with the same least node make one group. Tasks get an n-gram's nodes by bands of classes; a class at a band's end goes to the next band too.
+    """
 
     def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if len(b)]
         if not got:
             return
-        gram, node, n, at = (np.concatenate([b.column(k).to_numpy() for b in got]) for k in ("gram", "node", "n", "at"))
+        gram, node, n, at, size_class, band = (np.concatenate([b.column(k).to_numpy() for b in got]) for k in ("gram", "node", "n", "at", "class", "band"))
         order = np.argsort(gram, kind="stable")
         again = gram[order][1:] == gram[order][:-1]
         order = order[np.concatenate((again, [False])) | np.concatenate(([False], again))]
-        gram, node, n, at = gram[order], node[order], n[order], at[order]
+        gram, node, n, at, size_class, band = (x[order] for x in (gram, node, n, at, size_class.astype(np.int64), band))
         short = at < n - -(-2 * percent * n // (100 + percent)) + 1
-        size_class = np.floor(np.log(n) / width).astype(np.int64)
-        gram, node, short, n, at = (np.concatenate((x, x)) for x in (gram, node, short, n.astype(np.int64), at.astype(np.int64)))
+        gram, node, short, n, at, band = (np.concatenate((x, x)) for x in (gram, node, short, n.astype(np.int64), at.astype(np.int64), band))
         own = np.arange(len(gram)) < len(size_class)
         cell = np.concatenate((size_class, size_class + 1))
         order = np.lexsort((node, cell, gram))
+        order = order[cell[order] // BAND == band[order]]
         gram, node, short, own, cell, n, at = (x[order] for x in (gram, node, short, own, cell, n, at))
         start = np.flatnonzero(np.concatenate((np.ones(min(1, len(gram)), bool), (gram[1:] != gram[:-1]) | (cell[1:] != cell[:-1]))))
         if not len(start):
@@ -116,60 +133,79 @@ def stars(nodes: DataFrame, partitions: int, percent: int) -> DataFrame:
         for k in range(0, len(tied), 100_000):
             yield pa.RecordBatch.from_pydict({c: pa.array(tied[k : k + 100_000, i]) for i, c in enumerate(("pivot", "node"))})
 
-    rows = nodes.select("node", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("at", "gram"))
-    return rows.select("gram", "node", "n", "at").repartition(partitions, "gram").mapInArrow(tie, "pivot long, node long").distinct()
+    band = F.floor(F.col("class") / BAND).cast("int")
+    bands = F.when(F.col("class") % BAND == BAND - 1, F.array(band, band + 1)).otherwise(F.array(band))
+    rows = nodes.select("node", F.col("n").cast("int").alias("n"), "class", bands.alias("bands"), F.posexplode("prefix").alias("at", "gram"))
+    rows = rows.select("gram", "node", "n", "at", "class", F.explode("bands").alias("band"))
+    return rows.repartition(partitions, "gram", "band").mapInArrow(tie, "pivot long, node long").distinct()
 
 
 def membership_filter(nodes: DataFrame) -> np.ndarray:
-    """A Bloom filter of 2^24 bits: 2 MB to the driver, whatever the input. It only spares work; joins decide."""
+    """A Bloom filter of (node, of), of 16 bits or more for each of them and 2^28 bits (32 MB) at most. It only spares work; joins decide.
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << FILTER_BITS, bool)
+    Its spots go, 4 bytes each, to the tasks that make its parts.
+    """
+    bits = int(np.clip(np.ceil(np.log2(1 + BITS_A_NODE * nodes.count())), LEAST_BITS, MOST_BITS))
+    each = (1 << bits) // COUNTER_PARTS
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for spot in filter_spots(batch.column("node").to_numpy(), batch.column("of").to_numpy()):
-                bits[spot] = True
-        if bits.any():
-            yield pa.RecordBatch.from_pydict({"part": pa.array(range(COUNTER_PARTS), pa.int32()), "bits": pa.array([np.packbits(x).tobytes() for x in np.split(bits, COUNTER_PARTS)], pa.binary())})
+            spots = np.unique(np.concatenate(filter_spots(batch.column("node").to_numpy(), batch.column("of").to_numpy(), bits)))
+            cuts = np.searchsorted(spots, np.arange(COUNTER_PARTS + 1) * each)
+            rows = [(k, (spots[x:y] - k * each).astype("<u4").tobytes()) for k, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if x < y]
+            yield pa.RecordBatch.from_pydict({"part": pa.array([k for k, _ in rows], pa.int32()), "bits": pa.array([x for _, x in rows], pa.binary())})
 
-    def union(table: pa.Table) -> pa.Table:
-        total = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in table.column("bits").to_pylist()])
-        return pa.table({"part": table.column("part")[:1], "bits": pa.array([total.tobytes()], pa.binary())}, schema=table.schema)
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, x in zip(batch.column("part").to_pylist(), batch.column("bits").to_pylist(), strict=True):
+                made.setdefault(k, np.zeros(each, bool))[np.frombuffer(x, "<u4")] = True
+        yield pa.RecordBatch.from_pydict({"part": pa.array(list(made), pa.int32()), "bits": pa.array([np.packbits(x).tobytes() for x in made.values()], pa.binary())})
 
     kind = "part int, bits binary"
-    out = np.zeros((COUNTER_PARTS, (1 << FILTER_BITS) // COUNTER_PARTS), bool)
-    for r in nodes.select("node", "of").coalesce(16).mapInArrow(mark, kind).groupBy("part").applyInArrow(union, kind).collect():
-        out[r.part] = np.unpackbits(np.frombuffer(r.bits, np.uint8)).astype(bool)
+    out = np.zeros((COUNTER_PARTS, each // 8), np.uint8)
+    for r in nodes.select("node", "of").mapInArrow(spread, kind).repartition(COUNTER_PARTS, "part").mapInArrow(mark, kind).collect():
+        out[r.part] = np.frombuffer(r.bits, np.uint8)
     return out.ravel()
 
 
-def filter_spots(node: np.ndarray, of: np.ndarray) -> list[np.ndarray]:
+def filter_spots(node: np.ndarray, of: np.ndarray, bits: int) -> list[np.ndarray]:
     h = mix(node.view(np.uint64) ^ mix(of.view(np.uint64) + np.uint64(1)))
-    return [((h >> np.uint64(k)) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64) for k in (0, 20, 40)]
+    return [((h >> np.uint64(k)) & np.uint64((1 << bits) - 1)).astype(np.int64) for k in (0, 18, 36)]
+
+
+def passing(packed: np.ndarray, node: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Which of (node, of) the filter lets through."""
+    spots = filter_spots(node, of, int(len(packed) * 8).bit_length() - 1)
+    return np.logical_and.reduce([(packed[s >> 3] >> (7 - (s & 7)).astype(np.uint8)) & 1 == 1 for s in spots])
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """node, of and n-grams (sorted 64-bit numbers) of ``nodes`` (node long, of long: the hash of the id of the document to take them from), and of a few others."""
+    """node and n-grams (sorted 64-bit numbers) of ``nodes`` (node long, of long: the hash of the id of the document to take them from), a row for each."""
     wanted = docs.sparkSession.sparkContext.broadcast(membership_filter(nodes))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen = wanted.value, set()
+        seen = set()
         for batch, raw in steps(batches, "text"):
             node, of, grams = [], [], []
-            for h, x in zip(batch.column("of").to_numpy(), shingle_sets(raw, words), strict=True):
-                if len(x):
-                    at = set_signature(x)
-                    if (at, h) not in seen and all(bits[s][0] for s in filter_spots(np.array([at], np.int64), np.array([h], np.int64))):
-                        seen.add((at, h))  # not the node alone: a copy with another id may pass the filter falsely
-                        node.append(at)
-                        of.append(h)
-                        grams.append(x.tobytes())
+            sets = shingle_sets(raw, words)
+            known = np.array([set_signature(x) if len(x) else 0 for x in sets], np.int64)
+            ids = batch.column("of").to_numpy()
+            through = passing(wanted.value, known, ids)
+            for k, x in enumerate(sets):
+                if len(x) and through[k] and (key := (int(known[k]), int(ids[k]))) not in seen:
+                    seen.add(key)  # not the node alone: a copy with another id may pass the filter falsely
+                    node.append(key[0])
+                    of.append(key[1])
+                    grams.append(x.tobytes())
             yield pa.RecordBatch.from_pydict({"node": pa.array(node, pa.int64()), "of": pa.array(of, pa.int64()), "grams": pa.array(grams, pa.binary())})
 
-    return docs.select(F.xxhash64("doc_id").alias("of"), "text").mapInArrow(emit, "node long, of long, grams binary")
+    found = docs.select(F.xxhash64("doc_id").alias("of"), "text").mapInArrow(emit, "node long, of long, grams binary")
+    return found.join(nodes, ["node", "of"], "left_semi").select("node", "grams")
 
 
-def block_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> list[tuple[int, int]]:
-    """Spanning links between positions of left and of right (counted on after left's); right None: within left.
+def block_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int, parts: list[int] | None = None) -> list[tuple[int, int]]:
+    """Spanning links between positions of left and of right (counted on after left's); right None: within left. parts: of each position, what is connected already.
 
     The product of left's rows with right's columns: a row's n-grams pick the lists of right's documents that have them, and the lists' counts are the overlaps.
     """
@@ -179,7 +215,8 @@ def block_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent:
     grams = np.concatenate(cols)
     order = np.argsort(grams, kind="stable")
     grams, owner = grams[order], np.repeat(np.arange(len(cols)), sizes)[order]
-    parent = list(range(base + len(cols)))
+    first: dict[int, int] = {}
+    parent = list(range(base + len(cols))) if parts is None else [first.setdefault(x, k) for k, x in enumerate(parts)]
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -187,7 +224,7 @@ def block_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent:
             x = parent[x]
         return x
 
-    out, apart = [], len(parent) - 1
+    out, apart = [], len(set(parent)) - 1
     for i, row in enumerate(left):
         if not apart:  # all are connected: no further link tells more
             break
@@ -205,49 +242,70 @@ def block_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent:
     return out
 
 
-def links(docs: DataFrame, nodes: DataFrame, groups: DataFrame, words: int, percent: int, block: int) -> DataFrame:
-    """Links (a, b) between nodes that span what the links of each group connect."""
-    sized = groups.groupBy("pivot").agg(F.count("*").alias("size")).where("size > 1").select("pivot", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
-    at = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    placed = groups.join(sized, "pivot").select("node", "pivot", "blocks", at.alias("at"))
-    wanted = nodes.join(groups, "node", "left_semi")
-    placed = placed.join(wanted.select("node", F.col("of").alias("from")), "node")
-    sets = sets_of(docs, wanted, words).join(placed, "node").where(F.col("of") == F.col("from"))
-    each = sets.select("node", "grams", "pivot", "at", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    pairs = each.select("node", "grams", "pivot", "at", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"))
+def arrays(table: pa.Table, rows: np.ndarray) -> list[np.ndarray]:
+    grams = table.column("grams")
+    return [np.frombuffer(grams[k].as_py(), np.uint64) for k in rows.tolist()]
+
+
+def linked_rows(found: list[tuple[int, int]], node: np.ndarray) -> pa.Table:
+    return pa.table({"a": pa.array([node[x] for x, _ in found], pa.int64()), "b": pa.array([node[y] for _, y in found], pa.int64())})
+
+
+def links_to_the_least(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that span what is connected within each block, the group's least node included. members: pivot, node, at, blocks."""
+    leads = members.where("node = pivot").select("pivot", "node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("at"))
+    asked = members.where("node <> pivot").select("pivot", "node", "at").unionByName(leads)
 
     def multiply(key: tuple, table: pa.Table) -> pa.Table:
-        i, j = key[1].as_py(), key[2].as_py()
-        at = table.column("at").to_numpy()
-        grams = [np.frombuffer(x, np.uint64) for x in table.column("grams").to_pylist()]
         node = table.column("node").to_numpy()
-        once = np.zeros(len(node), bool)  # repeated rows of a document give its set twice
-        once[np.unique(node, return_index=True)[1]] = True
-        at = np.where(once, at, -1)
-        rows, cols = np.flatnonzero(at == i), np.flatnonzero(at == j)
-        if i == j:
-            found, ids = block_links([grams[k] for k in rows], None, percent), node[rows]
-        elif len(rows) and len(cols):
-            found, ids = block_links([grams[k] for k in rows], [grams[k] for k in cols], percent), node[np.concatenate((rows, cols))]
-        else:
-            found, ids = [], node
-        return pa.table({"a": pa.array([ids[x] for x, _ in found], pa.int64()), "b": pa.array([ids[y] for _, y in found], pa.int64())})
+        order = np.argsort(node != key[0].as_py(), kind="stable")  # the least node first: near copies are connected after one row
+        return linked_rows(block_links(arrays(table, order), None, percent), node[order])
+
+    return asked.join(sets, "node").groupBy("pivot", "at").applyInArrow(multiply, "a long, b long")
 
-    return pairs.groupBy("pivot", "i", "j").applyInArrow(multiply, "a long, b long")
+
+def links_of_the_rest(members: DataFrame, sets: DataFrame, parts: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links (a, b) between the connected parts (node, root) of groups of several blocks: nodes outside a group's largest part against all its nodes of other parts."""
+    named = members.where("blocks > 1").join(parts, "node", "left").select("pivot", "node", "at", "blocks", F.coalesce("root", "node").alias("root"))
+    sizes = named.groupBy("pivot", "root").agg(F.count("*").alias("c"))
+    largest = sizes.groupBy("pivot").agg(F.max(F.struct("c", "root"))["root"].alias("main"), F.sum("c").alias("all"), F.max("c").alias("most")).where(F.col("all") > F.col("most"))
+    still_open = named.join(largest.select("pivot", "main", F.ceil((F.col("all") - F.col("most")) / block).cast("int").alias("rests")), "pivot")
+    rest = F.pmod(F.xxhash64(F.lit(1), "node"), "rests").cast("int")
+    rows = still_open.where("root <> main").select("pivot", "node", "root", F.lit(True).alias("row"), rest.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
+    cols = still_open.select("pivot", "node", "root", F.lit(False).alias("row"), F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("i"), F.col("at").alias("j"))
+
+    def multiply(table: pa.Table) -> pa.Table:
+        row = table.column("row").to_numpy(zero_copy_only=False)
+        rows, cols = np.flatnonzero(row), np.flatnonzero(~row)
+        if not len(rows) or not len(cols):
+            return linked_rows([], np.empty(0, np.int64))
+        order = np.concatenate((rows, cols))
+        return linked_rows(block_links(arrays(table, rows), arrays(table, cols), percent, table.column("root").to_numpy()[order].tolist()), table.column("node").to_numpy()[order])
+
+    return rows.unionByName(cols).join(sets, "node").groupBy("pivot", "i", "j").applyInArrow(multiply, "a long, b long")
+
+
+def connected(docs: DataFrame, nodes: DataFrame, groups: DataFrame, words: int, percent: int, block: int) -> DataFrame:
+    """(node, root) of the nodes that links connect. nodes: node, of (the hash of the id of a document that has the set)."""
+    sized = groups.groupBy("pivot").agg(F.count("*").alias("size")).where("size > 1").select("pivot", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
+    members = saved(groups.join(sized, "pivot").select("pivot", "node", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("at")))
+    sets = saved(sets_of(docs, nodes.join(members, "node", "left_semi"), words).dropDuplicates(["node"]))
+    first = saved(links_to_the_least(members, sets, percent))
+    parts = components(first)
+    more = saved(links_of_the_rest(members, sets, parts, percent, block))
+    discarded(sets)
+    return parts if more.isEmpty() else components(parts.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, percent: int = 85, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id of every document: the smallest doc_id that its links reach."""
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     keys = saved(keyed(base, words, percent))
-    nodes = keys.where("node is not null").groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"))
+    nodes = keys.where("node is not null").groupBy("node").agg(*[F.any_value(c).alias(c) for c in ("n", "class", "prefix")])
     partitions = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     groups = saved(stars(nodes, partitions, percent))
-    del nodes
-    groups = tidied(groups)
     least = keys.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
-    linked = saved(links(base, least.select("node", F.xxhash64("least").alias("of")), groups, words, percent, block))
-    joined = components(tidied(linked))
+    joined = connected(base, least.select("node", F.xxhash64("least").alias("of")), groups, words, percent, block)
     named = least.join(joined, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     named = saved(named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id"))
     rows = keys.select("doc_id", F.col("n").alias("n_shingles"), "node")
@@ -256,6 +314,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", words: int = 5, percent: int = 80, block: int = BLOCK, **how) -> DataFrame:
     """One document of each component, the one with the smallest id (of repeated rows, one), with its own columns. Documents with null ids stay."""
-    kept = classes(docs, doc_id, words=words, percent=percent, block=block, **how).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    known = docs.where(F.col(doc_id).isNotNull()).join(kept, F.col(doc_id) == F.col("_kept"), "left_semi").dropDuplicates([doc_id])
+    (name,) = unused(docs, "kept")
+    kept = classes(docs, doc_id, words=words, percent=percent, block=block, **how).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(name)).distinct()
+    known = docs.where(F.col(doc_id).isNotNull()).join(kept, F.col(doc_id) == F.col(name), "left_semi").dropDuplicates([doc_id])
     return known.unionByName(docs.where(F.col(doc_id).isNull()))

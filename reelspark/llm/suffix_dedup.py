@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from reelspark.llm.arrow import mix, steps, sub_hash
-from reelspark.llm.shared import saved, tidied
+from reelspark.llm.shared import discarded, saved
 
 LENGTH = 400
 PERIOD = 91
@@ -274,15 +274,14 @@ def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), text_hash(F.col(text)).alias("h"))
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # several for each task, to even them out
     firsts = base.where(F.octet_length("text") >= LENGTH).groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
-    cuts = tidied(saved(slices(base, firsts, common_minima(base, parts))))
-    sampled = tidied(saved(triples(cuts, parts)))
+    cuts = saved(slices(base, firsts, common_minima(base, parts)))
+    sampled = saved(triples(cuts, parts))
     settled = sampled.where("whole").select("h", (F.col("start") + F.col("at") - (PERIOD - 1)).alias("a"), (F.col("start") + F.col("at") + LENGTH).alias("b"))
     others = merged_suffixes(cuts, sampled, parts).select("h", (F.col("start") + F.col("at")).alias("a"), (F.col("start") + F.col("at") + LENGTH).alias("b"))
     # Strings that start within fewer bytes than each has overlap: their union is from the first to the last.
     joined = settled.unionByName(others).groupBy("h", F.expr(f"a div {LENGTH // 2}").alias("near")).agg(F.min("a").alias("a"), F.max("b").alias("b"))
     spans = saved(joined.groupBy("h").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans")))
     del settled, others, joined
-    spans = tidied(spans)
     return firsts.select("h", "copies").where("copies > 1").join(spans, "h", "full_outer").select("h", F.coalesce("copies", F.lit(1)).alias("copies"), "spans")
 
 

@@ -28,6 +28,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from reelspark.llm.arrow import steps
 from reelspark.llm.labelled import thinned
+from reelspark.llm.shared import unused
 
 SAMPLE, SAMPLE_CHARS, CACHE_ENTRIES, DICTIONARY_BYTES, THRESHOLD = 1500, 12_000, 250_000, 4096, 0.3
 GRAMS = (5, 8)
@@ -189,7 +190,7 @@ def train(rows: list[tuple[bytes, int]]) -> Model:
 
 def drop_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score below the threshold, with their own columns."""
-    column = "_toxicity"
+    (column,) = unused(docs, "_toxicity")
     return score(docs, model, text, column).where(F.col(column) < threshold).select(*docs.columns)
 
 
