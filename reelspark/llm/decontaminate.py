@@ -2,8 +2,10 @@
 
 Every run of ``window`` words of a benchmark item is a pattern (an item of fewer words, but not none,
 is one pattern). A block shift table skips positions at which no pattern can end; at the others, the hashes of
-the pattern's suffix block and prefix block choose the patterns that are compared byte by byte. Documents are
-read once for each benchmark block of at most ``block_bytes`` of text, so that what is broadcast is bounded; nothing is shuffled.
+the pattern's suffix block and prefix block choose the patterns that are compared byte by byte. The benchmark is searched for in blocks of about ``block_bytes``
+of text. One block's items are broadcast as they are, and a worker builds the tables of one block at a time. With one block, documents are read once and
+nothing is shuffled. With more, each block is a job of its own, which writes what it hits by text (128 bits of hash), and the hits of all
+blocks are joined with the documents at the end: no task, and not the driver, holds more than one block, whatever the benchmark's size.
 
 Null or empty text has no words; a null item text gives no pattern; an item whose id is null marks words as hit but is not listed.
 Repeated rows are handled row by row; items that share an id count once. Input columns that are not asked for are ignored.
@@ -13,14 +15,18 @@ from __future__ import annotations
 
 import hashlib
 import math
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelspark.llm.arrow import steps
+from reelspark.llm.shared import saved, unused
 
 #: A-Z in lower case, digits, a-z and bytes from 0x80 as they are, all else a space.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -28,6 +34,7 @@ END = 0xFF  # never in UTF-8: a word of its own between documents
 TABLE_BITS = 20
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 CHUNK = 2048
+BLOCK_BYTES = 4 << 20
 SHORT = 24  # patterns below this many bytes are searched apart, or they'd keep all shifts small
 
 
@@ -140,32 +147,69 @@ def prepared(rows: list[tuple[str | None, bytes]], window: int) -> tuple[list[Wu
     return [WuManber(x) for x in sides if x], [[sorted(owners[p]) for p in x] for x in sides if x], [i for i, _ in rows]
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = 16 << 20) -> DataFrame:
-    """docs with ``n_words`` long, ``hit_runs`` array of [first word, past the last] and ``hit_items`` array of sorted item ids as strings.
+_searches: dict[str, tuple] = {}
 
-    docs must not have these three columns.
+
+def searches_of(key: str, block: Broadcast, window: int) -> tuple[list[WuManber], list[list[list[int]]], list[str | None]]:
+    """The tables of a block, kept by the worker process for its later tasks; those of another block go."""
+    if key not in _searches:
+        _searches.clear()
+        _searches[key] = prepared(block.value, window)
+    return _searches[key]
+
+
+HIT = "array<struct<a:bigint,b:bigint>>"
+NAMES = ("n_words", "hit_runs", "hit_items")
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES, names: tuple[str, str, str] = NAMES) -> DataFrame:
+    """docs with three columns more: the number of words long, the hit runs array of [first word, past the last], and the ids of the items with hits, an array of sorted strings.
+
+    ``names`` are their names, which docs must not have (an error tells so).
     """
-    spark = docs.sparkSession
+    if unused(docs, *names) != tuple(names):
+        raise ValueError(f"the documents have a column named like one of {names}")
     bench = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).cast("binary").alias("t")).where("t is not null")
     blocks = max(1, math.ceil((bench.agg(F.sum(F.length("t"))).first()[0] or 0) / block_bytes))
-    out = docs.withColumns({"n_words": F.lit(0).cast("long"), "hit_runs": F.array().cast("array<struct<a:bigint,b:bigint>>"), "hit_items": F.array().cast("array<string>")})
-    schema = out.schema
+    part = lambda k: [(r.i, bytes(r.t)) for r in bench.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).collect()]
+    if blocks == 1:
+        return searched(docs, part(0), text, window, names)
+    h, g, n, runs, items = unused(docs, "h", "g", "n", "runs", "items")
+    keys = [F.xxhash64(text).alias(h), F.xxhash64(F.lit(1), text).alias(g)]
+    found = []
     for k in range(blocks):
-        rows = [(r.i, bytes(r.t)) for r in bench.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).collect()]
-        ready = spark.sparkContext.broadcast(prepared(rows, window))
-
-        def each(batches: Iterator[pa.RecordBatch], ready=ready) -> Iterator[pa.RecordBatch]:
-            searches, owners, ids = ready.value
-            for batch, raw in steps(batches, text):
-                n, runs, found = scan(raw, searches, owners)
-                old = batch.select(["hit_runs", "hit_items"]).to_pylist()
-                new_runs = [[{"a": a, "b": b} for a, b in merged(r + [(y["a"], y["b"]) for y in o["hit_runs"]])] for r, o in zip(runs, old, strict=True)]
-                new_items = [sorted({ids[i] for i in f if ids[i] is not None} | set(o["hit_items"])) for f, o in zip(found, old, strict=True)]
-                fresh = {"n_words": n, "hit_runs": new_runs, "hit_items": new_items}
-                yield pa.RecordBatch.from_arrays([pa.array(fresh[f.name], f.type) if f.name in fresh else batch.column(f.name) for f in batch.schema], schema=batch.schema)
-
-        out = out.mapInArrow(each, schema)
-    return out
+        one = searched(docs.where(F.col(text).isNotNull()).select(text), part(k), text, window, (n, runs, items))
+        found.append(saved(one.where(F.size(runs) > 0).select(*keys, runs, items).distinct()))
+    every = reduce(DataFrame.unionByName, found).groupBy(h, g).agg(F.flatten(F.collect_list(runs)).alias(runs), F.array_sort(F.array_distinct(F.flatten(F.collect_list(items)))).alias(items))
+    counted = searched(docs, [], text, window, names).drop(*names[1:]).withColumns({h: F.xxhash64(text), g: F.xxhash64(F.lit(1), text)})
+    joined = counted.join(every, [h, g], "left")
+    return joined.select(*docs.columns, names[0], F.coalesce(union_of(F.col(runs)), F.array().cast(HIT)).alias(names[1]), F.coalesce(items, F.array().cast("array<string>")).alias(names[2]))
+
+
+def union_of(runs: Column) -> Column:
+    """Runs that don't touch, from any runs."""
+    fold = lambda s, r: F.when((F.size(s) > 0) & (r["a"] <= F.element_at(s, -1)["b"]), F.array_append(F.slice(s, 1, F.size(s) - 1), F.struct(F.element_at(s, -1)["a"].alias("a"), F.greatest(F.element_at(s, -1)["b"], r["b"]).alias("b")))).otherwise(F.array_append(s, r))
+    return F.aggregate(F.sort_array(runs), F.array().cast(HIT), fold)
+
+
+def searched(docs: DataFrame, rows: list[tuple[str | None, bytes]], text: str, window: int, names: tuple[str, str, str]) -> DataFrame:
+    """docs with the three columns for one block of items. In one pass, in place."""
+    block = docs.sparkSession.sparkContext.broadcast(rows)
+    key = uuid.uuid4().hex
+    schema = docs.withColumns({names[0]: F.lit(0).cast("long"), names[1]: F.array().cast(HIT), names[2]: F.array().cast("array<string>")}).schema
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        searches, owners, ids = searches_of(key, block, window)
+        for batch, raw in steps(batches, text):
+            n, runs, found = scan(raw, searches, owners)
+            made = {
+                names[0]: pa.array(n, pa.int64()),
+                names[1]: pa.array([[{"a": a, "b": b} for a, b in merged(r)] for r in runs], pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))),
+                names[2]: pa.array([sorted({ids[i] for i in f if ids[i] is not None}) for f in found], pa.list_(pa.string())),
+            }
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made.values()], names=[*batch.schema.names, *made])
+
+    return docs.mapInArrow(each, schema)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
@@ -176,8 +220,9 @@ def report(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """The documents in which no benchmark window occurs, with their own columns."""
-    return hits(docs, benchmark, **how).where(F.size("hit_runs") == 0).select(*docs.columns)
+    """The documents in which no benchmark window occurs, with their own columns, whatever their names."""
+    names = unused(docs, *NAMES)
+    return hits(docs, benchmark, names=names, **how).where(F.size(names[1]) == 0).select(*docs.columns)
 
 
 def sha256_of(ids: list[str]) -> str:
