@@ -152,16 +152,18 @@ FROM lowered d JOIN reached r ON r.x = d.doc_id LEFT JOIN sizes s USING (doc_id)
 
 
 OP7_SQL = r"""
-WITH base AS (SELECT conv_id, turn, role, replace(coalesce(text, ''), '<|', '< |') AS body FROM conversations),
+WITH base AS (
+  SELECT conv_id, turn, role, replace(coalesce(text, ''), '<|', '< |') AS body,
+    row_number() OVER (PARTITION BY conv_id, turn ORDER BY role NULLS FIRST, encode(coalesce(text, ''))) - 1 AS tie FROM conversations),
 speakers AS (SELECT DISTINCT conv_id, role AS perspective FROM conversations WHERE role IS NOT NULL AND role <> 'system'),
 seen AS (
-  SELECT b.conv_id, s.perspective, b.turn, b.role, b.body, b.role IS NOT DISTINCT FROM s.perspective AS own
+  SELECT b.conv_id, s.perspective, b.turn, b.tie, b.role, b.body, b.role IS NOT DISTINCT FROM s.perspective AS own
   FROM base b JOIN speakers s ON b.conv_id IS NOT DISTINCT FROM s.conv_id),
 headed AS (
   SELECT *, CASE WHEN own THEN '<|assistant|>' WHEN role = 'system' THEN '<|system|>' WHEN role IS NULL THEN '<|user|>'
     ELSE '<|user name=' || replace(role, '<|', '< |') || '|>' END || chr(10) AS head
   FROM seen)
-SELECT conv_id, perspective, turn, role, head || body || '<|end|>' || chr(10) AS segment,
+SELECT conv_id, perspective, turn, tie, role, head || body || '<|end|>' || chr(10) AS segment,
   CASE WHEN own THEN length(head) ELSE 0 END::BIGINT AS mask_start, CASE WHEN own THEN length(head) + length(body) + 8 ELSE 0 END::BIGINT AS mask_end
 FROM headed
 """
