@@ -6,15 +6,16 @@ merge; the share of those that both sketches hold estimates resemblance; the k-t
 together, containment. A sketch shorter than k is the whole set, and its estimates are exact.
 
 Null text is empty: its sketch is empty and its fingerprint ''. Two empty sketches are alike (1.0), an empty and another one not (0.0). In document order, null ids come
-first, ties go by text; repeated rows follow each other. Other columns are ignored. An empty table gives no row.
+first, ties go by text; repeated rows follow each other. Ids that are texts are ordered as texts. Other columns are ignored. An empty table gives no row.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, LongType, NumericType
 
-WORDS, K, ROWS = 5, 128, 2000
+WORDS, K, ROWS, MOST_RANGES = 5, 128, 2000, 20_000
 
 
 def sketch(text: Column, words: int = WORDS, k: int = K) -> Column:
@@ -60,29 +61,41 @@ def from_text(fingerprint: Column) -> Column:
     return F.transform(parts, lambda x: F.conv(x, 16, -10).cast("long"))
 
 
+def place(doc_id: Column, kind: DataType) -> Column:
+    """A long of less than 53 bits, which a double holds exactly, that does not descend as ids ascend: the upper bits of a long, of a fraction what is before the point, of a text its first six bytes."""
+    if isinstance(kind, LongType):
+        return F.when(doc_id.between(-(1 << 51), 1 << 51), doc_id).otherwise(F.when(doc_id > 0, F.lit(1 << 51)).otherwise(F.lit(-(1 << 51))) + F.shiftright(doc_id, 12))
+    if isinstance(kind, NumericType):
+        return F.floor(F.greatest(F.least(doc_id.cast("double"), F.lit(2.0**51)), F.lit(-(2.0**51)))).cast("long")
+    return F.conv(F.rpad(F.hex(F.substring(doc_id.cast("string").cast("binary"), F.lit(1), F.lit(6))), 12, "0"), 16, 10).cast("long")
+
+
 def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows: int = ROWS, what=None) -> DataFrame:
     """doc_id, text, made, next_text, next_made: each document and the next in the order of ids (after the last, the first). ``made``: what(text).
 
-    Ids are cut, at quantiles of one in rows / 50 of them, into ranges of about ``rows`` documents, each of which one task sorts; a range's first documents are also sent to the
-    range before, so that one shuffle serves all.
+    Ids (numbers or texts) are cut, at quantiles of one in rows / 50 of them, into ranges of about ``rows`` documents, each of which one task sorts; a range's first documents are
+    also sent to the range before, so that one shuffle serves all. There are at most MOST_RANGES ranges: the cuts that the plan holds do not grow beyond that, the ranges then do, and sorting spills.
     """
-    base = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    ids = base.agg(F.count("*").alias("n"), F.count("doc_id").alias("known"), F.min("doc_id").alias("first")).first()
-    parts = max(1, -(-ids.n // rows))
-    some = base.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, rows // 50))) == 0)  # as Spark's own ranges are cut: results do not depend on where
-    cuts = some.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10 * parts).alias("q")).first().q if parts > 1 and ids.known else []
-    cuts = sorted(set(cuts or []) - {ids.first})
+    kind = docs.schema[doc_id].dataType
+    base = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("place", place(F.col("doc_id"), kind))
+    ids = base.agg(F.count("*").alias("n"), F.count("doc_id").alias("known"), F.min("doc_id").alias("first"), F.min("place").alias("start")).first()
+    parts = min(MOST_RANGES, max(1, -(-ids.n // rows)))
+    some = base.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, ids.n // (50 * parts)))) == 0)  # as Spark's own ranges are cut: results do not depend on where
+    cuts = some.agg(F.percentile_approx("place", [i / parts for i in range(1, parts)], 10 * parts).alias("q")).first().q if parts > 1 and ids.known else []
+    cuts = sorted(set(cuts or []) - {ids.start})
     step = max(1, int(len(cuts) ** 0.5))
     coarse = F.lit(cuts[::step] or [None]).cast("array<long>")
     fine = F.lit([cuts[i : i + step] for i in range(0, len(cuts), step)] or [[None]]).cast("array<array<long>>")
-    upto = lambda array: F.size(F.filter(array, lambda c: F.coalesce(c <= F.col("doc_id"), F.lit(False))))
+    upto = lambda array: F.size(F.filter(array, lambda c: F.coalesce(c <= F.col("place"), F.lit(False))))
     block = upto(coarse)
     at = F.when(block == 0, 0).otherwise((block - 1) * step + upto(F.get(fine, F.greatest(block, F.lit(1)) - 1)))
-    first = F.lit(None if ids.n > ids.known else ids.first).cast(base.schema["doc_id"].dataType)
-    starts = F.col("doc_id").eqNullSafe(first) | ((F.col("at") > 0) & F.array_contains(F.get(fine, F.floor((F.col("at") - 1) / step).cast("int")), F.col("doc_id").cast("long")))
+    first = F.lit(None if ids.n > ids.known else ids.first).cast(kind)
+    begins = (F.col("at") > 0) & F.array_contains(F.get(fine, F.floor((F.col("at") - 1) / step).cast("int")), F.col("place"))
+    starts = F.coalesce(F.col("doc_id").eqNullSafe(first) | begins, F.lit(False))
     before = F.when(F.col("doc_id").eqNullSafe(first), F.lit(len(cuts))).otherwise(F.col("at") - 1)
-    placed = base.withColumn("at", at).withColumn("to", F.explode(F.when(starts, F.array(F.struct(F.col("at"), F.lit(True).alias("own")), F.struct(before.alias("at"), F.lit(False).alias("own")))).otherwise(F.array(F.struct(F.col("at"), F.lit(True).alias("own"))))))
-    sent = placed.select("to.at", "to.own", "doc_id", "text").repartition(2 * len(cuts) + 2, "at")
+    own = F.struct(F.col("at"), F.lit(True).alias("own"))
+    placed = base.withColumn("at", at).withColumn("to", F.explode(F.when(starts, F.array(own, F.struct(before.alias("at"), F.lit(False).alias("own")))).otherwise(F.array(own))))
+    sent = placed.select("to.at", "to.own", "doc_id", "text").repartitionById(len(cuts) + 1, "at")
     full = sent.withColumn("made", what(F.col("text"))) if what else sent.withColumn("made", F.lit(None))
     order = Window.partitionBy("at").orderBy(F.col("own").desc(), F.asc_nulls_first("doc_id"), "text")
     return full.withColumns({"next_text": F.lead("text").over(order), "next_made": F.lead("made").over(order)}).where("own").select("doc_id", "text", "made", "next_text", "next_made")
