@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from reelspark.llm import chat, components, decontaminate, fingerprint, language, ngram_join, pack, quality, queries, suffix_dedup, toxicity
@@ -35,7 +36,7 @@ def corpus():
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    return spark.createDataFrame(corpus(), SCHEMA).withColumns({"h": __import__("pyspark").sql.functions.lit(1), "node": __import__("pyspark").sql.functions.lit("clash")}).repartition(3)
+    return spark.createDataFrame(corpus(), SCHEMA).withColumns({"h": F.lit(1), "node": F.lit("clash"), "_copies": F.lit(1), "_spans": F.lit("s"), "_toxicity": F.lit(2), "kept": F.lit(3)}).repartition(3)
 
 
 @pytest.fixture(scope="module")
@@ -122,6 +123,22 @@ def test_ngram_join(docs, empty, n, percent, block):
     assert ngram_join.classes(empty, words=n, percent=percent).count() == 0
 
 
+@pytest.mark.parametrize("block", [2, 5, 64])
+def test_ngram_join_of_groups_of_several_blocks(spark, block):
+    """Chains of near copies of which the ends aren't alike, and of which most aren't like the group's least node."""
+    r = random.Random(21)
+    rows = []
+    for k in range(6):
+        text = words(r, 60, 4000).split()
+        for step in range(9):
+            rows.append((len(rows), " ".join(text)))
+            for _ in range(r.randrange(1, 3)):
+                text[r.randrange(60)] = f"new{len(rows)}x{r.random()}"
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = Counter(tuple(x) for x in ngram_join.classes(df, words=1, percent=85, block=block).collect())
+    assert got == classes_by_force(rows, 1, 85)
+
+
 def test_deduplicate(docs):
     out = ngram_join.deduplicate(docs)
     assert out.columns == docs.columns
@@ -179,6 +196,11 @@ def test_decontamination(spark, empty, block_bytes):
     assert got == {i: hits_by_force(t) for i, t in enumerate(texts)}
     kept = decontaminate.clean(df, bench, block_bytes=block_bytes)
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {i for i, t in enumerate(texts) if not hits_by_force(t)[4]}
+    clash = df.withColumns({"n_words": F.lit("mine"), "hit_runs": F.lit(1), "hit_items": F.lit(None).cast("string"), "h": F.lit("h"), "runs": F.lit("r")})
+    cleaned = decontaminate.clean(clash, bench, block_bytes=block_bytes)
+    assert cleaned.columns == clash.columns and {(r.doc_id, r.n_words, r.hit_runs, r.h) for r in cleaned.collect()} == {(r.doc_id, "mine", 1, "h") for r in kept.collect()}
+    with pytest.raises(ValueError):
+        decontaminate.hits(clash, bench)
     none = spark.createDataFrame([], "item_id string, text string")
     assert decontaminate.clean(df, none).count() == len(texts)
     assert decontaminate.report(empty, bench).count() == 0
@@ -242,6 +264,11 @@ def test_chat(spark):
     assert got[(1, "ann", 1)] == ("<|assistant|>\nhi<|end|>\n", 14, 24) and got[(1, "bob", 1)] == ("<|user name=ann|>\nhi<|end|>\n", 0, 0)
     assert got[(1, "ann", 0)][0] == "<|system|>\nbe kind<|end|>\n" and got[(1, "ann", 3)][0] == "<|user|>\nwho<|end|>\n"
     assert got[(2, "ann", 0)][0] == "<|assistant|>\n< |end|><|end|>\n"
+    tied = spark.createDataFrame([(1, 1, "bob", "b"), (1, 1, "ann", "z"), (1, 1, "ann", "a"), (1, 1, None, None), (1, 0, "bob", "first"), (1, 1, "ann", "a")], "conv_id long, turn long, role string, text string")
+    one = {r.perspective: r for r in chat.dialogues(chat.rotate(tied)).collect()}
+    say = lambda who, what: f"<|{who}|>\n{what}<|end|>\n"
+    want = say("user name=bob", "first") + say("user", "") + say("assistant", "a") * 2 + say("assistant", "z") + say("user name=bob", "b")
+    assert one["ann"].text == want and "".join(want[m.start : m.past] for m in one["ann"].masks) == "a<|end|>\na<|end|>\nz<|end|>\n" and len(one) == 2
     assert chat.rotate(df.limit(0)).count() == 0
 
 
@@ -271,9 +298,40 @@ def test_fingerprints(docs, empty):
     assert fingerprint.report(empty).count() == 0
 
 
-def test_sketches_merge(spark):
-    from pyspark.sql import functions as F
+def test_sketches_are_the_smallest_hashes(spark):
+    """The k smallest of all distinct shingle hashes, one by one through Spark's xxhash64; resemblance from them, exactly."""
+    r = random.Random(14)
+    texts = [words(r, n, 300) for n in (4, 5, 6, 300, 2000)] + ["", "one", "A a  A\ta\na a a", "é" * 70 + " b c d e f"]
+    texts += [texts[3].replace("w7", "x")]
+    long = lambda t: [tuple(w[i : i + 5]) for w in [t.lower().split()] for i in range(max(1, len(w) - 4)) if w]
+    every = sorted({s for t in texts for s in long(t)})
+    one = spark.createDataFrame([(list(s),) for s in every], "s array<string>")
+    each = one.select("s", F.xxhash64(*[F.xxhash64(F.get("s", i)) for i in range(5)]).alias("h"), F.xxhash64(F.transform("s", lambda w: F.xxhash64(w))).alias("short")).collect()
+    hashed = {tuple(x.s): x.h if len(x.s) == 5 else x.short for x in each}
+    want = [sorted({hashed[s] for s in long(t)})[:64] for t in texts]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", fingerprint.sketch(F.col("t"), 5, 64).alias("s")).orderBy("i").collect()
+    assert [x.s for x in got] == want
+    pairs = spark.createDataFrame([(a, b) for a in want for b in want], "a array<bigint>, b array<bigint>").select("a", "b", fingerprint.resemblance(F.col("a"), F.col("b"), 64).alias("x")).collect()
+    for p in pairs:
+        both = sorted({*p.a, *p.b})[:64]
+        assert p.x == (len({*both} & {*p.a} & {*p.b}) / len(both) if both else 1.0)
+
+
+def test_fingerprints_of_text_ids(spark):
+    rows = [(k, f"t {k}") for k in ("b", "a", "zebra-10", "zebra-2", "", "é", "aa", "zebra-10-and-more")] + [(None, "none")]
+    df = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    order = sorted(rows, key=lambda r: (r[0] is not None, (r[0] or "").encode()))
+    for size in (2, 2000):
+        got = {r.doc_id: r.next_text for r in fingerprint.neighbours(df, rows=size).collect()}
+        assert got == {a[0]: b[1] for a, b in zip(order, [*order[1:], order[0]], strict=True)}
+    numbers = [-(1 << 63), -(1 << 60), -5, 0, 3, 1 << 51, (1 << 53) + 1, (1 << 62) + 1, (1 << 62) + 2, (1 << 63) - 1]
+    for schema, ids in (("doc_id long, text string", numbers), ("doc_id double, text string", [-1e300, -2.5, 0.1, 0.2, 7.0, 1e18, 1e19])):
+        df = spark.createDataFrame([(k, f"t {k}") for k in ids], schema).repartition(3)
+        got = {r.doc_id: r.next_text for r in fingerprint.neighbours(df, rows=2).collect()}
+        assert got == {a: f"t {b}" for a, b in zip(ids, [*ids[1:], ids[0]], strict=True)}
 
+
+def test_sketches_merge(spark):
     r = random.Random(4)
     a, b = [f"{i}x{r.random()}" for i in range(900)], [f"{i}y{r.random()}" for i in range(600)]
     one = spark.createDataFrame([(" ".join(a), " ".join(b), " ".join(a + ["|"] + b))], "a string, b string, c string")
@@ -323,6 +381,7 @@ def test_quality(spark, empty):
     assert n == len(rows) and total.max() <= n
     assert quality.fit(df.limit(0), empty) is None and quality.score(df.limit(0), model).count() == 0
     assert quality.score(df, None).where("score = 0.5").count() == len(rows)
+    assert [quality.vote(model, [t.encode()])[0] for _, t, _ in rows[:240]] == pytest.approx([got[i] for i, _, _ in rows[:240]], abs=1e-5)
     x = quality.unit(quality.weighted(quality.term_counts([b"some text."]), model.idf) @ model.axes)
     near = (model.vectors @ x[0]).astype(float)
     last = np.sort(near)[-quality.NEIGHBOURS]

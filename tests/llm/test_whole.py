@@ -12,7 +12,7 @@ def words(r, n):
 
 
 def test_ngram_join_with_a_saturated_filter(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "membership_filter", lambda nodes: np.ones(1 << ngram_join.FILTER_BITS, bool))
+    monkeypatch.setattr(ngram_join, "membership_filter", lambda nodes: np.full(1 << 17, 255, np.uint8))
     r = random.Random(5)
     one = words(r, 200)
     other = one + " end"
@@ -21,7 +21,7 @@ def test_ngram_join_with_a_saturated_filter(spark, monkeypatch):
 
 
 def test_passages_with_a_saturated_filter(spark, monkeypatch):
-    monkeypatch.setattr(passages, "membership_filter", lambda nodes: np.ones(1 << ngram_join.FILTER_BITS, bool))
+    monkeypatch.setattr(passages, "membership_filter", lambda nodes: np.full(1 << 17, 255, np.uint8))
     r = random.Random(6)
     shared = words(r, 60)
     one, other = shared + " " + words(r, 40), words(r, 40) + " " + shared
