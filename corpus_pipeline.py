@@ -5,12 +5,10 @@ Each stage takes what its predecessor kept, written as Parquet and read again. `
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelspark.folders import fresh_folder
 from reelspark.llm import decontaminate, ngram_join, pack, suffix_dedup, toxicity
 from reelspark.llm.labelled import labelled_documents
 
@@ -57,7 +55,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='pipeline-')}/pipeline-{uuid.uuid4().hex}"
+    folder = fresh_folder(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
