@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from reelspark.llm.arrow import mix, steps
 from reelspark.llm.components import components
-from reelspark.llm.shared import discarded, saved, unused
+from reelspark.llm.shared import saved, unused
 from reelspark.llm.shingles import set_signature, shingle_sets
 
 COUNTER_BITS, COUNTER_PARTS, BLOCK = 22, 64, 1024
@@ -201,7 +201,8 @@ def sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"node": pa.array(node, pa.int64()), "of": pa.array(of, pa.int64()), "grams": pa.array(grams, pa.binary())})
 
     found = docs.select(F.xxhash64("doc_id").alias("of"), "text").mapInArrow(emit, "node long, of long, grams binary")
-    return found.join(nodes, ["node", "of"], "left_semi").select("node", "grams")
+    right = found.join(nodes.select("node", F.col("of").alias("from")), "node").where(F.col("of") == F.col("from"))
+    return right.groupBy("node").agg(F.first("grams").alias("grams"))  # repeated rows of a document give its set twice
 
 
 def block_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int, parts: list[int] | None = None) -> list[tuple[int, int]]:
@@ -264,12 +265,16 @@ def links_to_the_least(members: DataFrame, sets: DataFrame, percent: int) -> Dat
     return asked.join(sets, "node").groupBy("pivot", "at").applyInArrow(multiply, "a long, b long")
 
 
-def links_of_the_rest(members: DataFrame, sets: DataFrame, parts: DataFrame, percent: int, block: int) -> DataFrame:
-    """Links (a, b) between the connected parts (node, root) of groups of several blocks: nodes outside a group's largest part against all its nodes of other parts."""
+def open_groups(members: DataFrame, parts: DataFrame, block: int) -> DataFrame:
+    """pivot, node, at, blocks, root, main, rests: the members of groups of several blocks that parts (node, root) leave in more than one part. main: the root of the largest; the others make ``rests`` blocks."""
     named = members.where("blocks > 1").join(parts, "node", "left").select("pivot", "node", "at", "blocks", F.coalesce("root", "node").alias("root"))
     sizes = named.groupBy("pivot", "root").agg(F.count("*").alias("c"))
     largest = sizes.groupBy("pivot").agg(F.max(F.struct("c", "root"))["root"].alias("main"), F.sum("c").alias("all"), F.max("c").alias("most")).where(F.col("all") > F.col("most"))
-    still_open = named.join(largest.select("pivot", "main", F.ceil((F.col("all") - F.col("most")) / block).cast("int").alias("rests")), "pivot")
+    return named.join(largest.select("pivot", "main", F.ceil((F.col("all") - F.col("most")) / block).cast("int").alias("rests")), "pivot")
+
+
+def links_of_the_rest(still_open: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the parts of open groups: nodes outside a group's largest part against all its nodes of other parts."""
     rest = F.pmod(F.xxhash64(F.lit(1), "node"), "rests").cast("int")
     rows = still_open.where("root <> main").select("pivot", "node", "root", F.lit(True).alias("row"), rest.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
     cols = still_open.select("pivot", "node", "root", F.lit(False).alias("row"), F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("i"), F.col("at").alias("j"))
@@ -289,11 +294,11 @@ def connected(docs: DataFrame, nodes: DataFrame, groups: DataFrame, words: int,
     """(node, root) of the nodes that links connect. nodes: node, of (the hash of the id of a document that has the set)."""
     sized = groups.groupBy("pivot").agg(F.count("*").alias("size")).where("size > 1").select("pivot", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
     members = saved(groups.join(sized, "pivot").select("pivot", "node", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("at")))
-    sets = saved(sets_of(docs, nodes.join(members, "node", "left_semi"), words).dropDuplicates(["node"]))
-    first = saved(links_to_the_least(members, sets, percent))
-    parts = components(first)
-    more = saved(links_of_the_rest(members, sets, parts, percent, block))
-    discarded(sets)
+    sets = lambda of: sets_of(docs, nodes.join(of.select("node").distinct(), "node", "left_semi"), words)
+    parts = components(saved(links_to_the_least(members, sets(members), percent)))
+    if (rest := saved(open_groups(members, parts, block))).isEmpty():
+        return parts
+    more = saved(links_of_the_rest(rest, sets(rest), percent))
     return parts if more.isEmpty() else components(parts.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
 
