@@ -10,10 +10,12 @@ in D modulo v, whatever i and j are. So only sampled positions are compared firs
    neighbours. A repeated context settles all its strings at once; a repeated triple alone leaves v strings open.
 3. These remaining suffixes are merged: their prefixes of ``length`` bytes are named, sorted, and compared with their neighbours.
 
-Sorting is by 64-bit names dealt to tasks by their value, so that a task holds a range of the sorted order and equal names meet; only equality of prefixes is asked
-for, so names are hashes and no ranks are passed on, and ``length`` bounds the recursion to one level. A name of a large group takes 16 bytes a member and is never paired.
+Sorting is by names dealt to tasks by their value, so that a task holds a range of the sorted order and equal names meet; only equality of prefixes is asked
+for, so names are hashes and no ranks are passed on, and ``length`` bounds the recursion to one level. What is removed rests on 128 bits of hash: those of a triple and of its context,
+or two of a string. Before items are dealt, those of one outbox that have equal names are settled there, and one goes on for all: a name that is in very many texts costs a task that sorts
+it some rows for each outbox and not one for each text.
 
-Texts are known by their 64-bit hash; copies of a text count, but only one of them is compared. A text that another row has too is removed whole if it has ``length``
+Texts are known by 128 bits of hash; copies of a text count, but only one of them is compared. A text that another row has too is removed whole if it has ``length``
 bytes. Null text is empty: nothing is removed. Null ids and repeated ids are kept as rows. An empty table gives no row.
 """
 
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from reelspark.llm.arrow import mix, steps, sub_hash
-from reelspark.llm.shared import discarded, saved
+from reelspark.llm.shared import discarded, saved, unused
 
 LENGTH = 400
 PERIOD = 91
@@ -66,17 +69,16 @@ def window_minima(h: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(h == high[: len(h)])
 
 
-def byte_hashes(data: bytes, width: int) -> np.ndarray:
-    return mix(sub_hash(np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1), width)) if len(data) >= width else np.empty(0, np.uint64)
+def byte_hashes(data: bytes, width: int, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
+    return mix(sub_hash(np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1), width, base)) if len(data) >= width else np.empty(0, np.uint64)
 
 
-def dealt(names: np.ndarray, parts: int, which: np.ndarray, table: np.ndarray, *more: np.ndarray) -> pa.RecordBatch:
-    """One row for each part of the range of names: the items whose names fall there. ``which`` points into ``table``."""
-    part = ((names >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
+def dealt(part: np.ndarray, names: np.ndarray, which: np.ndarray, table: np.ndarray, sure: bool, *more: np.ndarray) -> pa.RecordBatch:
+    """One row for each part and its items. ``which`` points into ``table``. Of sure items nothing is to be compared any more."""
     order = np.argsort(part, kind="stable")
-    cuts = np.searchsorted(part[order], np.arange(parts + 1))
-    rows = [(k, order[a:b]) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
-    out = {"part": pa.array([k for k, _ in rows], pa.int32()), "names": pa.array([names[o].tobytes() for _, o in rows], pa.binary())}
+    values, cuts = np.unique(part[order], return_index=True)
+    rows = [(int(k), order[a:b]) for k, a, b in zip(values, cuts, [*cuts[1:], len(order)], strict=True)]
+    out = {"part": pa.array([k for k, _ in rows], pa.int32()), "sure": pa.array([sure] * len(rows)), "names": pa.array([names[o].tobytes() for _, o in rows], pa.binary())}
     tables, points = [], []
     for _, o in rows:
         used, at = np.unique(which[o], return_inverse=True)
@@ -87,21 +89,28 @@ def dealt(names: np.ndarray, parts: int, which: np.ndarray, table: np.ndarray, *
     return pa.RecordBatch.from_pydict(out)
 
 
+def range_of(names: np.ndarray, parts: int) -> np.ndarray:
+    return ((names >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
+
+
 class Outbox:
-    """Items of several steps, dealt together, so that a part's share of them is worth a row."""
+    """Items of several steps, dealt together, so that a part's share of them is worth a row.
+
+    settle(names, more): positions of the items to compare elsewhere, a flag byte for each of them, positions of those that are sure, and a status byte for each. None: all are to be compared.
+    """
 
-    def __init__(self, parts: int, most: int = 500_000):
-        self.parts, self.most = parts, most
+    def __init__(self, parts: int, settle=None, most: int = 500_000):
+        self.parts, self.settle, self.most = parts, settle, most
         self.clear()
 
     def clear(self) -> None:
-        self.table: list[tuple[int, int]] = []
+        self.table: list[tuple[int, ...]] = []
         self.names: list[np.ndarray] = []
         self.which: list[np.ndarray] = []
         self.more: list[tuple[np.ndarray, ...]] = []
         self.size = 0
 
-    def put(self, document: tuple[int, int], names: np.ndarray, *more: np.ndarray) -> None:
+    def put(self, document: tuple[int, ...], names: np.ndarray, *more: np.ndarray) -> None:
         if len(names):
             self.names.append(names)
             self.which.append(np.full(len(names), len(self.table)))
@@ -110,78 +119,133 @@ class Outbox:
             self.size += len(names)
 
     def taken(self, last: bool = False) -> Iterator[pa.RecordBatch]:
-        """A batch when there is enough, or what is left."""
+        """Batches when there is enough, or what is left."""
         if self.size >= self.most or last and self.size:
-            out = dealt(np.concatenate(self.names), self.parts, np.concatenate(self.which), np.array(self.table, np.int64), *map(np.concatenate, zip(*self.more, strict=True)))
+            names, which, table = np.concatenate(self.names), np.concatenate(self.which), np.array(self.table, np.int64)
+            more = [np.concatenate(x) for x in zip(*self.more, strict=True)]
             self.clear()
-            yield out
+            if self.settle is None:
+                yield dealt(range_of(names, self.parts), names, which, table, False, *more)
+                return
+            out, flags, sure, status = self.settle(names, more)
+            yield dealt(range_of(names[out], self.parts), names[out], which[out], table, False, *[x[out] for x in more], flags)
+            if len(sure):
+                spread = (np.arange(len(sure)) // 20_000 + int(names[0] >> np.uint64(33))) % self.parts
+                yield dealt(spread, np.zeros(len(sure), np.uint64), which[sure], table, True, *[x[sure] for x in more], status)
+
+
+MOST_ITEMS, CONTEXTS = 500_000, 4
+
+
+def settled_names(names: np.ndarray, more: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """Of equal names (and equal 64-bit ``more[0]``, if it has that type), one goes on, flagged if there are others; the others are sure."""
+    second = more[0] if more[0].dtype == np.uint64 else np.zeros(len(names), np.uint64)
+    order = np.lexsort((second, names))
+    again = (names[order][1:] == names[order][:-1]) & (second[order][1:] == second[order][:-1])
+    fresh, same = np.concatenate(([True], ~again)), np.concatenate((again, [False])) | np.concatenate(([False], again))
+    sure = order[~fresh]
+    return order[fresh], same[fresh].astype("u1"), sure, np.ones(len(sure), "u1")
+
+
+WHOLE, TRIED, TWICE, MIXED = 1, 2, 4, 8
+
+
+def settled_triples(names: np.ndarray, more: list[np.ndarray], contexts: int = CONTEXTS) -> tuple[np.ndarray, ...]:
+    """Of a triple in several places, one goes on for each context, of ``contexts`` contexts at most. The others of a context are whole; the first of a further context is to be tried."""
+    full = more[0]
+    order = np.lexsort((full, names))
+    n, f = names[order], full[order]
+    new_name = np.concatenate(([True], n[1:] != n[:-1]))
+    fresh = new_name | np.concatenate(([True], f[1:] != f[:-1])) | (f == 0)
+    start = np.flatnonzero(new_name)
+    of = np.cumsum(new_name) - 1  # the item's triple
+    rank = np.cumsum(fresh) - 1
+    rank = rank - rank[start][of]
+    begins = np.flatnonzero(fresh)
+    shared = (np.diff(np.append(begins, len(n))) > 1)[np.cumsum(fresh) - 1]  # contexts that are there twice
+    twice = (np.diff(np.append(start, len(n))) > 1)[of]
+    mixed = np.logical_or.reduceat(fresh & (rank >= contexts), start)[of]
+    out = fresh & (rank < contexts)
+    flags = WHOLE * shared + TWICE * twice + MIXED * mixed
+    status = np.where(fresh, TRIED + WHOLE * shared, WHOLE)
+    return order[out], flags[out].astype("u1"), order[~out], status[~out].astype("u1")
 
 
 def kind_of(more: int) -> str:
-    return "part int, names binary, docs binary, which binary" + "".join(f", x{i} binary" for i in range(more))
+    return "part int, sure boolean, names binary, docs binary, which binary" + "".join(f", x{i} binary" for i in range(more))
 
 
-def gathered(batches: Iterator[pa.RecordBatch], *types: str) -> list[np.ndarray] | None:
-    """All items of a task: names, documents (two longs each: text hash and slice start), and the other columns."""
-    names, docs, more = [], [], [[] for _ in types]
+def gathered(batches: Iterator[pa.RecordBatch], width: int, *types: str) -> tuple[list[np.ndarray] | None, list[np.ndarray] | None]:
+    """All items of a task, those to compare and those that are sure: names, documents (``width`` longs each), and the other columns."""
+    out = []
+    kept: tuple[list, list] = ([], [])
     for b in batches:
         for r in b.to_pylist():
-            names.append(np.frombuffer(r["names"], np.uint64))
-            table = np.frombuffer(r["docs"], np.int64).reshape(-1, 2)
-            docs.append(table[np.frombuffer(r["which"], "<u2" if len(table) < 65_536 else "<u4")])
-            for i, t in enumerate(types):
-                more[i].append(np.frombuffer(r[f"x{i}"], t))
-    return [np.concatenate(names), np.concatenate(docs), *map(np.concatenate, more)] if names else None
+            table = np.frombuffer(r["docs"], np.int64).reshape(-1, width)
+            docs = table[np.frombuffer(r["which"], "<u2" if len(table) < 65_536 else "<u4")]
+            kept[r["sure"]].append([np.frombuffer(r["names"], np.uint64), docs, *[np.frombuffer(r[f"x{i}"], t) for i, t in enumerate(types)]])
+    for rows in kept:
+        out.append([np.concatenate(x) for x in zip(*rows, strict=True)] if rows else None)
+    return tuple(out)
 
 
-def repeated(sorted_names: np.ndarray) -> np.ndarray:
-    """Which of sorted names equal a neighbour."""
-    same = sorted_names[1:] == sorted_names[:-1]
+def repeated(*sorted_names: np.ndarray) -> np.ndarray:
+    """Which of sorted names (equal in all arrays) equal a neighbour."""
+    same = np.logical_and.reduce([x[1:] == x[:-1] for x in sorted_names])
     return np.concatenate((same, [False])) | np.concatenate(([False], same))
 
 
 def found(docs: np.ndarray, **columns: np.ndarray) -> Iterator[pa.RecordBatch]:
     for a in range(0, len(docs), 200_000):
-        yield pa.RecordBatch.from_pydict({"h": pa.array(docs[a : a + 200_000, 0]), "start": pa.array(docs[a : a + 200_000, 1])} | {k: pa.array(x[a : a + 200_000]) for k, x in columns.items()})
+        yield pa.RecordBatch.from_pydict({k: pa.array(docs[a : a + 200_000, i]) for i, k in enumerate(("h", "g", "start"))} | {k: pa.array(x[a : a + 200_000]) for k, x in columns.items()})
 
 
-def common_minima(texts: DataFrame, parts: int) -> DataFrame:
-    """(h, start = 0, at) of window minima whose hash is found twice or more."""
+def regrouped(items: DataFrame, parts: int) -> DataFrame:
+    """Each part's rows in one task, a few parts for each."""
+    return items.repartition(max(1, parts // 4), "part")
+
+
+def common_minima(texts: DataFrame, parts: int, length: int) -> DataFrame:
+    """(h, g, start = 0, at) of window minima whose hash is found twice or more."""
+    most = MOST_ITEMS
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        out = Outbox(parts)
+        seen: set[tuple[int, int]] = set()
+        out = Outbox(parts, settled_names, most)
         for batch, raw in steps(batches, "text"):
-            for h, x in zip(batch.column("h").to_pylist(), raw, strict=True):
-                if len(x) >= LENGTH and h not in seen:
-                    seen.add(h)
+            for h, g, x in zip(batch.column("h").to_pylist(), batch.column("g").to_pylist(), raw, strict=True):
+                if len(x) >= length and (h, g) not in seen:
+                    seen.add((h, g))
                     hashes = byte_hashes(x, GRAM)
                     spots = window_minima(hashes, WINDOW)
-                    out.put((h, 0), mix(hashes[spots] + np.uint64(1)), spots.astype("<u4"))  # minima are small; spread them over the range
+                    out.put((h, g, 0), mix(hashes[spots] + np.uint64(1)), spots.astype("<u4"))  # minima are small; spread them over the range
                     yield from out.taken()
         yield from out.taken(True)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (got := gathered(batches, "<u4")) is not None:
-            names, docs, at = got
+        got, sure = gathered(batches, 3, "<u4", "u1")
+        if got is not None:
+            names, docs, at, flags = got
             order = np.argsort(names, kind="stable")
-            kept = order[repeated(names[order])]
+            kept = order[repeated(names[order]) | (flags[order] > 0)]
             yield from found(docs[kept], at=at[kept].astype(np.int64))
+        if sure is not None:
+            yield from found(sure[1], at=sure[2].astype(np.int64))
 
-    return texts.select("h", "text").mapInArrow(emit, kind_of(1)).repartition(max(1, parts // 4), "part").mapInArrow(compare, "h long, start long, at long")
+    return regrouped(texts.select("h", "g", "text").mapInArrow(emit, kind_of(2)), parts).mapInArrow(compare, "h long, g long, start long, at long")
 
 
-def slices(texts: DataFrame, firsts: DataFrame, minima: DataFrame) -> DataFrame:
-    """(h, start, bytes) of the stretches that may hold repeated strings."""
-    chosen = minima.groupBy("h").agg(F.collect_list("at").alias("at")).join(firsts, "h").select("h", F.col("doc_id").alias("first"), "at")
-    joined = texts.join(chosen.withColumnRenamed("h", "k"), (F.col("h") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("first"))).select("h", "doc_id", "text", "at")
-    once = joined.dropDuplicates(["h", "doc_id"]).select("h", "text", "at")
-    # A string of LENGTH bytes holds minima up to WINDOW - 1 behind its start and LENGTH - GRAM - WINDOW + 1 or more behind it, and gaps of WINDOW at most between.
-    tail, reach = LENGTH - GRAM - WINDOW + 1, WINDOW - 1
+def slices(texts: DataFrame, firsts: DataFrame, minima: DataFrame, length: int) -> DataFrame:
+    """(h, g, start, bytes) of the stretches that may hold repeated strings."""
+    chosen = minima.groupBy("h", "g").agg(F.collect_list("at").alias("at")).join(firsts, ["h", "g"]).select("h", "g", F.col("doc_id").alias("first"), "at")
+    joined = texts.join(chosen, ["h", "g"]).where(F.col("doc_id").eqNullSafe(F.col("first"))).select("h", "g", "doc_id", "text", "at")
+    once = joined.dropDuplicates(["h", "g", "doc_id"]).select("h", "g", "text", "at")
+    # A string of length bytes holds minima up to WINDOW - 1 behind its start and length - GRAM - WINDOW + 1 or more behind it, and gaps of WINDOW at most between.
+    tail, reach = length - GRAM - WINDOW + 1, WINDOW - 1
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw in steps(batches, "text"):
-            h, start, data = [], [], []
+            h, g, start, data = [], [], [], []
             lists = batch.column("at")
             for k, x in enumerate(raw):
                 at = np.unique(np.array(lists[k].values.to_numpy(zero_copy_only=False)))
@@ -190,24 +254,26 @@ def slices(texts: DataFrame, firsts: DataFrame, minima: DataFrame) -> DataFrame:
                     if run[-1] - run[0] >= tail - reach:
                         a = max(0, int(run[0]) - reach)
                         h.append(batch.column("h")[k].as_py())
+                        g.append(batch.column("g")[k].as_py())
                         start.append(a)
-                        data.append(x[a : int(run[-1]) - tail + LENGTH])
-            yield pa.RecordBatch.from_pydict({"h": pa.array(h, pa.int64()), "start": pa.array(start, pa.int64()), "data": pa.array(data, pa.binary())})
+                        data.append(x[a : int(run[-1]) - tail + length])
+            yield pa.RecordBatch.from_pydict({"h": pa.array(h, pa.int64()), "g": pa.array(g, pa.int64()), "start": pa.array(start, pa.int64()), "data": pa.array(data, pa.binary())})
 
-    return once.mapInArrow(cut, "h long, start long, data binary")
+    return once.mapInArrow(cut, "h long, g long, start long, data binary")
 
 
-def triples(cuts: DataFrame, parts: int) -> DataFrame:
-    """(h, start, at, whole, tried) of sampled positions whose triple is found again. whole: the context too, which settles the strings around it. tried: their strings
+def triples(cuts: DataFrame, parts: int, length: int) -> DataFrame:
+    """(h, g, start, at, whole, tried) of sampled positions whose triple is found again. whole: the context too, which settles the strings around it. tried: their strings
     are to be compared: those of positions that aren't whole and, where a triple has such, of one position for each repeated context, for the others to be found by."""
-    least = LENGTH - PERIOD + 1
+    most, contexts = MOST_ITEMS, CONTEXTS
+    least = length - PERIOD + 1
     block = least // 3
-    context = LENGTH + PERIOD - 1
+    context = length + PERIOD - 1
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = Outbox(parts)
+        out = Outbox(parts, partial(settled_triples, contexts=contexts), most)
         for batch, raw in steps(batches, "data"):
-            for h, start, x in zip(batch.column("h").to_pylist(), batch.column("start").to_pylist(), raw, strict=True):
+            for *slice_, x in zip(*(batch.column(c).to_pylist() for c in ("h", "g", "start")), raw, strict=True):
                 spots = cover_positions(len(x) - least + 1)
                 blocks = byte_hashes(x, block)
                 first, second, third = (blocks[spots + k * block] for k in range(3))
@@ -216,78 +282,93 @@ def triples(cuts: DataFrame, parts: int) -> DataFrame:
                 inside = (spots >= PERIOD - 1) & (spots - (PERIOD - 1) < len(wide))
                 full = np.zeros(len(spots), np.uint64)
                 full[inside] = wide[spots[inside] - (PERIOD - 1)]
-                out.put((h, start), names, full, spots.astype("<u4"))
+                out.put(tuple(slice_), names, full, spots.astype("<u4"))
                 yield from out.taken()
         yield from out.taken(True)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (got := gathered(batches, "<u8", "<u4")) is not None:
-            names, docs, full, at = got
+        got, sure = gathered(batches, 3, "<u8", "<u4", "u1")
+        if got is not None:
+            names, docs, full, at, flags = got
             order = np.lexsort((full, names))
-            names, full = names[order], full[order]
-            twice, whole = repeated(names), repeated(full) & (full != 0)
-            start = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
-            mixed = np.repeat(np.logical_or.reduceat(~whole, start), np.diff(np.concatenate((start, [len(names)]))))
-            first = np.concatenate(([True], full[1:] != full[:-1]))
+            names, full, flags = names[order], full[order], flags[order]
+            twice, whole = repeated(names) | (flags & TWICE > 0), (repeated(names, full) & (full != 0)) | (flags & WHOLE > 0)
+            new_name = np.concatenate(([True], names[1:] != names[:-1]))
+            start = np.flatnonzero(new_name)
+            mixed = np.repeat(np.logical_or.reduceat(~whole | (flags & MIXED > 0), start), np.diff(np.append(start, len(names))))
+            first = new_name | np.concatenate(([True], full[1:] != full[:-1]))
             tried = twice & mixed & (~whole | first)
             kept = tried | (twice & whole)
             yield from found(docs[order[kept]], at=at[order[kept]].astype(np.int64), whole=whole[kept], tried=tried[kept])
+        if sure is not None:
+            yield from found(sure[1], at=sure[3].astype(np.int64), whole=sure[4] & WHOLE > 0, tried=sure[4] & TRIED > 0)
 
-    return cuts.mapInArrow(emit, kind_of(2)).repartition(max(1, parts // 4), "part").mapInArrow(compare, "h long, start long, at long, whole boolean, tried boolean")
+    return regrouped(cuts.mapInArrow(emit, kind_of(3)), parts).mapInArrow(compare, "h long, g long, start long, at long, whole boolean, tried boolean")
 
 
-def merged_suffixes(cuts: DataFrame, sampled: DataFrame, parts: int) -> DataFrame:
-    """(h, start, at): of the strings that sampled positions leave open, those that are found again."""
-    open_ones = sampled.where("tried").groupBy("h", "start").agg(F.collect_list("at").alias("at"))
+def merged_suffixes(cuts: DataFrame, sampled: DataFrame, parts: int, length: int) -> DataFrame:
+    """(h, g, start, at): of the strings that sampled positions leave open, those that are found again."""
+    most = MOST_ITEMS
+    open_ones = sampled.where("tried").groupBy("h", "g", "start").agg(F.collect_list("at").alias("at"))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = Outbox(parts)
+        out = Outbox(parts, settled_names, most)
         for batch, raw in steps(batches, "data"):
             tried = batch.column("at")
-            for k, (h, start, x) in enumerate(zip(batch.column("h").to_pylist(), batch.column("start").to_pylist(), raw, strict=True)):
-                hashes = byte_hashes(x, LENGTH)
+            for k, (*slice_, x) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("h", "g", "start")), raw, strict=True)):
+                hashes, others = byte_hashes(x, length), byte_hashes(x, length, 0xC2B2AE3D27D4EB4F)
                 change = np.zeros(len(x) + 2, np.int32)  # a sampled position stands for the strings that start up to v - 1 before it
                 p = np.array(tried[k].values.to_numpy(zero_copy_only=False), np.int64)
                 np.add.at(change, np.maximum(p - (PERIOD - 1), 0), 1)
                 np.add.at(change, p + 1, -1)
                 spots = np.flatnonzero(np.cumsum(change)[: len(hashes)] > 0)
-                out.put((h, start), hashes[spots], spots.astype("<u4"))
+                out.put(tuple(slice_), hashes[spots], others[spots], spots.astype("<u4"))
                 yield from out.taken()
         yield from out.taken(True)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (got := gathered(batches, "<u4")) is not None:
-            names, docs, at = got
-            order = np.argsort(names, kind="stable")
-            kept = order[repeated(names[order])]
+        got, sure = gathered(batches, 3, "<u8", "<u4", "u1")
+        if got is not None:
+            names, docs, others, at, flags = got
+            order = np.lexsort((others, names))
+            kept = order[repeated(names[order], others[order]) | (flags[order] > 0)]
             yield from found(docs[kept], at=at[kept].astype(np.int64))
+        if sure is not None:
+            yield from found(sure[1], at=sure[3].astype(np.int64))
 
-    return cuts.join(open_ones, ["h", "start"]).select("h", "start", "data", "at").mapInArrow(emit, kind_of(1)).repartition(max(1, parts // 4), "part").mapInArrow(compare, "h long, start long, at long")
+    joined = cuts.join(open_ones, ["h", "g", "start"]).select("h", "g", "start", "data", "at")
+    return regrouped(joined.mapInArrow(emit, kind_of(3)), parts).mapInArrow(compare, "h long, g long, start long, at long")
 
 
-def text_hash(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text, F.lit("")).cast("binary"))
+def text_hash(text: Column, seed: int = 0) -> Column:
+    """64 bits of a text's hash; another seed gives 64 others."""
+    raw = F.coalesce(text, F.lit("")).cast("binary")
+    return F.xxhash64(F.lit(seed), raw) if seed else F.xxhash64(raw)
 
 
-def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """h (the text's hash), copies (rows that have it) and spans: array of [first, past the last) removed bytes that don't touch, ascending."""
-    base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), text_hash(F.col(text)).alias("h"))
+def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+    """h and g (the text's hash), copies (rows that have it) and spans: array of [first, past the last) removed bytes that don't touch, ascending. length: 191 bytes or more, which the windowed minima need."""
+    if length < GRAM + WINDOW - 1:
+        raise ValueError(f"length must be {GRAM + WINDOW - 1} or more")
+    base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), text_hash(F.col(text)).alias("h"), text_hash(F.col(text), 1).alias("g"))
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # several for each task, to even them out
-    firsts = base.where(F.octet_length("text") >= LENGTH).groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
-    cuts = saved(slices(base, firsts, common_minima(base, parts)))
-    sampled = saved(triples(cuts, parts))
-    settled = sampled.where("whole").select("h", (F.col("start") + F.col("at") - (PERIOD - 1)).alias("a"), (F.col("start") + F.col("at") + LENGTH).alias("b"))
-    others = merged_suffixes(cuts, sampled, parts).select("h", (F.col("start") + F.col("at")).alias("a"), (F.col("start") + F.col("at") + LENGTH).alias("b"))
+    firsts = base.where(F.octet_length("text") >= length).groupBy("h", "g").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+    cuts = saved(slices(base, firsts, common_minima(base, parts, length), length))
+    sampled = saved(triples(cuts, parts, length))
+    settled = sampled.where("whole").select("h", "g", (F.col("start") + F.col("at") - (PERIOD - 1)).alias("a"), (F.col("start") + F.col("at") + length).alias("b"))
+    others = merged_suffixes(cuts, sampled, parts, length).select("h", "g", (F.col("start") + F.col("at")).alias("a"), (F.col("start") + F.col("at") + length).alias("b"))
     # Strings that start within fewer bytes than each has overlap: their union is from the first to the last.
-    joined = settled.unionByName(others).groupBy("h", F.expr(f"a div {LENGTH // 2}").alias("near")).agg(F.min("a").alias("a"), F.max("b").alias("b"))
-    spans = saved(joined.groupBy("h").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans")))
-    del settled, others, joined
-    return firsts.select("h", "copies").where("copies > 1").join(spans, "h", "full_outer").select("h", F.coalesce("copies", F.lit(1)).alias("copies"), "spans")
+    joined = settled.unionByName(others).groupBy("h", "g", F.expr(f"a div {length // 2}").alias("near")).agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    spans = saved(joined.groupBy("h", "g").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans")))
+    discarded(cuts)
+    discarded(sampled)
+    copied = firsts.select("h", "g", "copies").where("copies > 1")
+    return copied.join(spans, ["h", "g"], "full_outer").select("h", "g", F.coalesce("copies", F.lit(1)).alias("copies"), "spans")
 
 
-def cut_text(data: bytes, copies: int, spans: list[dict]) -> tuple[bytes, int, int]:
+def cut_text(data: bytes, copies: int, spans: list[dict], length: int = LENGTH) -> tuple[bytes, int, int]:
     """What is kept, how many bytes are removed, in how many runs."""
-    if copies > 1 and len(data) >= LENGTH:
+    if copies > 1 and len(data) >= length:
         return b"", len(data), 1
     keep, at, runs, gone = [], 0, 0, 0
     last = -1
@@ -305,33 +386,37 @@ def cut_text(data: bytes, copies: int, spans: list[dict]) -> tuple[bytes, int, i
     return b"".join(keep), gone, runs
 
 
-def applied(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with the hidden columns that ``cut_text`` takes."""
-    marks = removed(docs, doc_id, text).select(F.col("h").alias("_h"), F.col("copies").alias("_copies"), F.col("spans").alias("_spans"))
-    return docs.join(marks, text_hash(F.col(text)) == F.col("_h"), "left").drop("_h")
+def applied(docs: DataFrame, doc_id: str, text: str, length: int) -> tuple[DataFrame, str, str]:
+    """docs with the two columns that ``cut_text`` takes, and the names of these, which docs lack."""
+    h, g, copies, spans = unused(docs, "h", "g", "copies", "spans")
+    marks = removed(docs, doc_id, text, length).toDF(h, g, copies, spans)
+    keyed = docs.withColumns({h: text_hash(F.col(text)), g: text_hash(F.col(text), 1)})
+    return keyed.join(marks, [h, g], "left").drop(h, g), copies, spans
 
 
-def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each document."""
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    ready, copies, spans = applied(base, "doc_id", "text", length)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw in steps(batches, "text"):
-            rows = [(len(x), cut_text(x, c or 1, s or [])) for x, c, s in zip(raw, batch.column("_copies").to_pylist(), batch.column("_spans").to_pylist(), strict=True)]
+            rows = [(len(x), cut_text(x, c or 1, s or [], length)) for x, c, s in zip(raw, batch.column(copies).to_pylist(), batch.column(spans).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([n for n, _ in rows], pa.int64()), pa.array([r[1] for _, r in rows], pa.int64()), pa.array([r[2] for _, r in rows], pa.int64()), pa.array([hashlib.sha256(r[0]).hexdigest() for _, r in rows])], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     kind = [base.schema["doc_id"], *(StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")), StructField("kept_sha256", StringType())]
-    return applied(base).mapInArrow(digest, StructType(kind))
+    return ready.mapInArrow(digest, StructType(kind))
 
 
-def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """docs with the repeated bytes cut from their texts; characters that a cut leaves incomplete go too. Null text stays null."""
     names = docs.columns
+    ready, copies, spans = applied(docs, doc_id, text, length)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw in steps(batches, text):
             there = batch.column(text).is_valid().to_pylist()
-            fresh = [cut_text(x, c or 1, s or [])[0].decode("utf-8", "ignore") if t else None for t, x, c, s in zip(there, raw, batch.column("_copies").to_pylist(), batch.column("_spans").to_pylist(), strict=True)]
+            fresh = [cut_text(x, c or 1, s or [], length)[0].decode("utf-8", "ignore") if t else None for t, x, c, s in zip(there, raw, batch.column(copies).to_pylist(), batch.column(spans).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(fresh, pa.string()) if n == text else batch.column(n) for n in names], names=names)
 
-    return applied(docs, doc_id, text).mapInArrow(cut, docs.schema)
+    return ready.mapInArrow(cut, docs.schema)
