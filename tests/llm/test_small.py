@@ -83,6 +83,26 @@ def test_suffix_dedup_chains_of_partial_matches(spark):
     assert [got[i] for i in range(len(texts))] == removed_by_force(texts)
 
 
+@pytest.mark.parametrize("length,most,contexts", [(400, 60, 1), (400, 2000, 4), (200, 500, 2)])
+def test_suffix_dedup_of_many_outboxes(spark, monkeypatch, length, most, contexts):
+    """Passages of all lengths, some in many texts, dealt in many small outboxes over several files and 211 partitions."""
+    monkeypatch.setattr(suffix_dedup, "MOST_ITEMS", most)
+    monkeypatch.setattr(suffix_dedup, "CONTEXTS", contexts)
+    r = random.Random(length + most)
+    passages = [words(r, n, 3000) for n in (28, 45, 52, 60, 75, 90, 200)]
+    hot = words(r, 85, 3000)
+    texts = [" ".join(x for k in range(3) for x in (words(r, r.randrange(1, 40), 3000), r.choice([hot, r.choice(passages)])) if r.random() < 0.8) + words(r, r.randrange(9), 3000) for _ in range(70)]
+    texts += [hot * 3, texts[1], texts[1], passages[6] + "é", "é" * 450, None, ""]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 211)
+    try:
+        df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(12)
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.report(df, length=length).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [got[k] for k in range(len(texts))] == removed_by_force(texts, length)
+
+
 def test_cover_and_minima():
     assert {(a - b) % 91 for a in suffix_dedup.COVER for b in suffix_dedup.COVER} == set(range(91))
     h = np.random.default_rng(0).integers(0, 30, 300).astype(np.uint64)
