@@ -13,6 +13,10 @@ from reelspark.llm import decontaminate, ngram_join, pack, suffix_dedup, toxicit
 from reelspark.llm.labelled import labelled_documents
 
 
+#: A passage of over 50 words that repeats is to go: 51 words take 200 bytes or more where a word and its blank take 4, which is less than in the languages at hand.
+REPEAT_BYTES = 200
+
+
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as toxic go. The model learns from labelled documents that are not held out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -26,8 +30,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte strings of 400 that occur twice go from every text; n_chars follows."""
-    return suffix_dedup.clean(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Byte strings of REPEAT_BYTES that occur twice go from every text; n_chars follows."""
+    return suffix_dedup.clean(docs, length=REPEAT_BYTES).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
