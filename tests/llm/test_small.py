@@ -409,9 +409,13 @@ def test_quality(spark, empty):
     assert abs(quality.vote(model, [b"some text."])[0] - (w @ model.labels) / w.sum()) < 1e-3
 
 
-def test_pipeline_stages(spark, sf_dir, tmp_path):
+def test_pipeline(spark, sf_dir, tmp_path):
+    """Each stage on its own input against brute force, and run() against the stages one after the other."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    columns = docs.columns
+    columns, labels = docs.columns, {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    windows = {tuple(v[i : i + 10]) for _, t in bench for v in [cut(t)] if v for i in range(max(1, len(v) - 9))}
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
         before = docs
         docs = stage(spark, docs, sf_dir)
@@ -420,10 +424,23 @@ def test_pipeline_stages(spark, sf_dir, tmp_path):
         if k < 4:
             assert docs.columns == columns
         rows = [(r.doc_id, r.text) for r in before.collect()]
-        if k == 1:
-            assert {r.doc_id for r in docs.collect()} == {d for d, _, c in classes_by_force(rows, 5, 80) if d == c}
+        kept = {r.doc_id: r for r in docs.collect()}
+        if k == 0:
+            known = [(t.encode(), labels[d]) for d, t in rows if t is not None and labels.get(d) in (0, 1) and zlib.crc32(str(d).encode()) % 4 != 2 and len(t) <= toxicity.SAMPLE_CHARS]
+            scorer = toxicity.Scorer(toxicity.train(known))
+            assert set(kept) == {d for d, t in rows if scorer.score((t or "").encode()) < toxicity.THRESHOLD}
+        elif k == 1:
+            assert set(kept) == {d for d, _, c in classes_by_force(rows, 5, 80) if d == c}
         elif k == 2:
-            assert {r.doc_id: hashlib.sha256(r.text.encode()).hexdigest() for r in docs.collect()}.items() <= {d: x[3] for (d, _), x in zip(rows, removed_by_force([t for _, t in rows]), strict=True)}.items()
-        elif k == 4:
-            assert {r.doc_id for r in docs.select("doc_id").collect()} == {d for d, _ in rows}
-    assert 0 < docs.count()
+            want = removed_by_force([t for _, t in rows], corpus_pipeline.REPEAT_BYTES)
+            assert len(kept) == len(rows)
+            for (d, t), x in zip(rows, want, strict=True):
+                assert x[1] or kept[d].text == t
+                assert kept[d].n_chars == len(kept[d].text) and len(kept[d].text.encode()) <= x[0] - x[1] and len(kept[d].text.encode()) >= x[0] - x[1] - 6 * x[2]
+        elif k == 3:
+            hit = lambda w: any(tuple(w[i : i + n]) in windows for n in {len(x) for x in windows} for i in range(len(w) - n + 1))
+            assert set(kept) == {d for d, t in rows if not hit(cut(t))}
+        else:
+            assert set(kept) == {d for d, _ in rows}
+    one = sorted((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in docs.collect())
+    assert sorted((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in corpus_pipeline.run(spark, sf_dir).collect()) == one and one
