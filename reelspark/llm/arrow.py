@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Text bytes handled at once inside a task.
 STEP_BYTES = 1 << 20
@@ -14,13 +15,13 @@ STEP_BYTES = 1 << 20
 def steps(batches: Iterator[pa.RecordBatch], text: str, step_bytes: int = STEP_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Cuts batches into runs of rows of about ``step_bytes`` of text; null text reads as empty bytes."""
     for batch in batches:
-        raw = [x or b"" for x in batch.column(text).cast(pa.binary()).to_pylist()]
-        start = size = 0
-        for i, x in enumerate(raw):
-            size += len(x)
-            if size >= step_bytes or i + 1 == len(raw):
-                yield batch.slice(start, i + 1 - start), raw[start : i + 1]
-                start, size = i + 1, 0
+        column = batch.column(text).cast(pa.binary())
+        total = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = done = 0
+        while start < len(column):
+            end = min(len(column), int(np.searchsorted(total, done + step_bytes)) + 1)
+            yield batch.slice(start, end - start), [x or b"" for x in column.slice(start, end - start).to_pylist()]
+            start, done = end, int(total[end - 1])
 
 
 def mix(h: np.ndarray) -> np.ndarray:
