@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own: list[str] = []
 
@@ -25,3 +25,10 @@ def shared_root(spark: SparkSession) -> str:
 
 def fresh_folder(spark: SparkSession, kind: str) -> str:
     return f"{shared_root(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, kind: str = "stored") -> DataFrame:
+    """df, computed once, as a Parquet table in the shared folder: what an executor held may be lost afterwards."""
+    at = fresh_folder(df.sparkSession, kind)
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
