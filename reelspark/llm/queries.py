@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reelspark.llm import chat, decontaminate, fingerprint, language, ngram_join, pack, passages, quality, suffix_dedup, toxicity
+from reelspark.llm import chat, decontaminate, fingerprint, language, ngram_join, pack, passages, prefix_trie, quality, source_audit, suffix_dedup, toxicity
 from reelspark.llm.labelled import held_out, labelled_documents
 
 
@@ -75,6 +75,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.report(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -87,6 +95,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_fingerprints": op8_fingerprints,
         "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
         "op10_decontamination": op10_decontamination,
+        "op12_source_audit": op12_source_audit,
+        "op13_prefix_trie": op13_prefix_trie,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -169,5 +179,48 @@ FROM headed
 """
 
 
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS c FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT d.lang, source, coalesce(v, 0) AS v, coalesce(n, 0) AS whole FROM d LEFT JOIN v USING (lang)),
+c AS (SELECT lang, source, term, count(*) AS c FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 1) // (coalesce(n.n, 0) + g.v))::BIGINT AS p,
+    1 + (1000000000::HUGEINT * (k.c + 1) // (g.whole + g.v))::BIGINT AS q
+  FROM g JOIN kept k USING (lang) LEFT JOIN n ON n.lang = g.lang AND n.source = g.source LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+  UNION ALL SELECT a.lang, a.source, b.source, 0 FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source WHERE a.v = 0),
+terms AS (SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value FROM p WHERE c > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value::BIGINT AS value, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INT AS rank FROM pairs
+UNION ALL
+SELECT lang, source, 'term', item, value::BIGINT, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INT AS rank FROM terms QUALIFY rank <= 200
+"""
+
+
+OP13_SQL = r"""
+WITH own AS (
+  SELECT conv_id AS c, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS v FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+headed AS (
+  SELECT c, v, xor(4294967295, list_reduce(list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+    lambda a, b: list_reduce(range(8), lambda s, i: CASE WHEN s % 2 = 1 THEN xor(s // 2, 3988292384) ELSE s // 2 END, xor(a, b)), 4294967295)) % 4 AS h FROM own),
+made AS (SELECT o.c, list_concat(coalesce(d.v, [])[1 : h], o.v[h + 1 :]) AS v FROM headed o LEFT JOIN own d ON d.c = o.c - o.c % 20),
+member AS (SELECT c, d AS depth, v[1 : d] AS p, len(v) = d AS ends FROM made, unnest(range(0, len(v) + 1)) AS t(d)),
+node AS (
+  SELECT depth, p, min(c) AS conv_id, count(*) AS n_convs, bool_and(ends) AS childless, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '') AS ids,
+    CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(p[depth]['text'], '[^\x20\x09-\x0D]+')) END AS words
+  FROM member GROUP BY depth, p),
+below AS (
+  SELECT a.conv_id, a.depth, count(*) FILTER (b.depth = a.depth + 1) AS n_children, count(*) FILTER (b.childless) AS n_leaves, sum((b.n_convs - 1) * b.words)::BIGINT AS saved_tokens
+  FROM node b, unnest(range(0, b.depth + 1)) AS t(d) JOIN node a ON a.depth = d AND a.p = b.p[1 : d] GROUP BY a.conv_id, a.depth)
+SELECT n.conv_id, n.depth, q.conv_id AS parent_conv_id, n.n_convs, n_children, n_leaves, saved_tokens, sha256(n.ids) AS ends_sha256
+FROM node n JOIN below USING (conv_id, depth) LEFT JOIN node q ON q.depth = n.depth - 1 AND q.p = n.p[1 : n.depth - 1]
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_suffix_array_dedup": OP3_SQL, "op7_chat_formatting": OP7_SQL, "op9_ngram_jaccard_join": OP9_SQL, "op10_decontamination": OP10_SQL}
+    return {"op3_suffix_array_dedup": OP3_SQL, "op7_chat_formatting": OP7_SQL, "op9_ngram_jaccard_join": OP9_SQL, "op10_decontamination": OP10_SQL, "op12_source_audit": OP12_SQL, "op13_prefix_trie": OP13_SQL}
