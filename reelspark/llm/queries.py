@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reelspark.llm import chat, decontaminate, fingerprint, language, ngram_join, pack, passages, prefix_trie, quality, source_audit, suffix_dedup, toxicity
+from reelspark.llm import chat, chosen_path, decontaminate, fingerprint, language, ngram_join, pack, passages, prefix_trie, quality, source_audit, suffix_dedup, toxicity
 from reelspark.llm.labelled import held_out, labelled_documents
 
 
@@ -75,6 +75,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.report(table(spark, sf_dir, "documents"))
+
+
 def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(table(spark, sf_dir, "documents"))
 
@@ -95,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_fingerprints": op8_fingerprints,
         "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
         "op10_decontamination": op10_decontamination,
+        "op11_minhash_near_dedup": op11_minhash_near_dedup,
         "op12_source_audit": op12_source_audit,
         "op13_prefix_trie": op13_prefix_trie,
         "pipeline": corpus_pipeline.run,
@@ -179,6 +184,14 @@ FROM headed
 """
 
 
+#: The same with three words in a shingle, and which document stays.
+OP11_SQL = (
+    OP9_SQL.replace("w[i : i + 3]", "w[i : i + 2]")
+    .replace("len(w) - 3", "len(w) - 2")
+    .replace("min(r.y)::BIGINT AS component_id", "min(r.y)::BIGINT AS component_id, d.doc_id = min(r.y) AS kept")
+)
+
+
 OP12_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -223,4 +236,4 @@ FROM node n JOIN below USING (conv_id, depth) LEFT JOIN node q ON q.depth = n.de
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_suffix_array_dedup": OP3_SQL, "op7_chat_formatting": OP7_SQL, "op9_ngram_jaccard_join": OP9_SQL, "op10_decontamination": OP10_SQL, "op12_source_audit": OP12_SQL, "op13_prefix_trie": OP13_SQL}
+    return {"op3_suffix_array_dedup": OP3_SQL, "op7_chat_formatting": OP7_SQL, "op9_ngram_jaccard_join": OP9_SQL, "op10_decontamination": OP10_SQL, "op11_minhash_near_dedup": OP11_SQL, "op12_source_audit": OP12_SQL, "op13_prefix_trie": OP13_SQL}
