@@ -55,3 +55,31 @@ def sub_hash(blocks: np.ndarray, width: int, base: int = 0x9E3779B97F4A7C15) ->
 def _joined(left: np.ndarray, right: np.ndarray, done: int, power: np.uint64) -> np.ndarray:
     n = max(0, min(len(left), len(right) - done))
     return left[:n] * power + right[done : done + n]
+
+
+def run_names(blocks: np.ndarray, width: int, seed: int) -> np.ndarray:
+    """Names of each ``width`` consecutive values, by doubling, for telling runs apart: result i covers values i to i + width - 1.
+
+    Unlike ``sub_hash`` each doubling ends in a step that isn't linear, so that no two different runs have one name whatever the seed; with a seed drawn for each use,
+    different runs have equal names with a probability of about 2^-64.
+    """
+    have, span, out, done, level = blocks.astype(np.uint64, copy=False), 1, None, 0, seed
+    while True:
+        if width & span:
+            out = have if out is None else _paired(out, have[done:], level + 1)
+            done += span
+        if done == width:
+            return out
+        if len(have) <= span:
+            return np.empty(0, np.uint64)
+        have, span, level = _paired(have, have[span:], level), span * 2, level + 2
+
+
+def _paired(left: np.ndarray, right: np.ndarray, key: int) -> np.ndarray:
+    n = min(len(left), len(right))
+    h = left[:n] * (mix(np.array([key & 0xFFFFFFFFFFFFFFFF], np.uint64))[0] | np.uint64(1))
+    h += right[:n]
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(29)
+    return h

@@ -11,8 +11,8 @@ in D modulo v, whatever i and j are. So only sampled positions are compared firs
 3. These remaining suffixes are merged: their prefixes of ``length`` bytes are named, sorted, and compared with their neighbours.
 
 Sorting is by names dealt to tasks by their value, so that a task holds a range of the sorted order and equal names meet; only equality of prefixes is asked
-for, so names are hashes and no ranks are passed on, and ``length`` bounds the recursion to one level. What is removed rests on 128 bits of hash: those of a triple and of its context,
-or two of a string. Before items are dealt, those of one outbox that have equal names are settled there, and one goes on for all: a name that is in very many texts costs a task that sorts
+for, so names are hashes and no ranks are passed on, and ``length`` bounds the recursion to one level. What is removed rests on hashes of 64 bits with seeds drawn for each job, which no text can be made to
+defeat: two of a string, or one of a triple and one of the context around it. Different strings, and different contexts of one triple, are taken for equal with a probability of about 2^-128 and 2^-64 a pair. Before items are dealt, those of one outbox that have equal names are settled there, and one goes on for all: a name that is in very many texts costs a task that sorts
 it some rows for each outbox and not one for each text.
 
 Texts are known by 128 bits of hash; copies of a text count, but only one of them is compared. A text that another row has too is removed whole if it has ``length``
@@ -22,6 +22,7 @@ bytes. Null text is empty: nothing is removed. Null ids and repeated ids are kep
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Iterator
 from functools import partial
 
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from reelspark.llm.arrow import mix, steps, sub_hash
+from reelspark.llm.arrow import mix, run_names, steps
 from reelspark.llm.shared import discarded, saved, unused
 
 LENGTH = 400
@@ -69,8 +70,13 @@ def window_minima(h: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(h == high[: len(h)])
 
 
-def byte_hashes(data: bytes, width: int, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
-    return mix(sub_hash(np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1), width, base)) if len(data) >= width else np.empty(0, np.uint64)
+def byte_hashes(data: bytes, width: int, seed: int) -> np.ndarray:
+    return mix(run_names(np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1), width, seed)) if len(data) >= width else np.empty(0, np.uint64)
+
+
+def drawn() -> int:
+    """A seed for the names of one job. The driver draws it, so tasks that are run again use the same."""
+    return secrets.randbits(62)
 
 
 def dealt(part: np.ndarray, names: np.ndarray, which: np.ndarray, table: np.ndarray, sure: bool, *more: np.ndarray) -> pa.RecordBatch:
@@ -207,7 +213,7 @@ def regrouped(items: DataFrame, parts: int) -> DataFrame:
 
 def common_minima(texts: DataFrame, parts: int, length: int) -> DataFrame:
     """(h, g, start = 0, at) of window minima whose hash is found twice or more."""
-    most = MOST_ITEMS
+    most, seed = MOST_ITEMS, drawn()
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -216,7 +222,7 @@ def common_minima(texts: DataFrame, parts: int, length: int) -> DataFrame:
             for h, g, x in zip(batch.column("h").to_pylist(), batch.column("g").to_pylist(), raw, strict=True):
                 if len(x) >= length and (h, g) not in seen:
                     seen.add((h, g))
-                    hashes = byte_hashes(x, GRAM)
+                    hashes = byte_hashes(x, GRAM, seed)
                     spots = window_minima(hashes, WINDOW)
                     out.put((h, g, 0), mix(hashes[spots] + np.uint64(1)), spots.astype("<u4"))  # minima are small; spread them over the range
                     yield from out.taken()
@@ -265,7 +271,7 @@ def slices(texts: DataFrame, firsts: DataFrame, minima: DataFrame, length: int)
 def triples(cuts: DataFrame, parts: int, length: int) -> DataFrame:
     """(h, g, start, at, whole, tried) of sampled positions whose triple is found again. whole: the context too, which settles the strings around it. tried: their strings
     are to be compared: those of positions that aren't whole and, where a triple has such, of one position for each repeated context, for the others to be found by."""
-    most, contexts = MOST_ITEMS, CONTEXTS
+    most, contexts, seed, other = MOST_ITEMS, CONTEXTS, drawn(), drawn()
     least = length - PERIOD + 1
     block = least // 3
     context = length + PERIOD - 1
@@ -275,10 +281,10 @@ def triples(cuts: DataFrame, parts: int, length: int) -> DataFrame:
         for batch, raw in steps(batches, "data"):
             for *slice_, x in zip(*(batch.column(c).to_pylist() for c in ("h", "g", "start")), raw, strict=True):
                 spots = cover_positions(len(x) - least + 1)
-                blocks = byte_hashes(x, block)
+                blocks = byte_hashes(x, block, seed)
                 first, second, third = (blocks[spots + k * block] for k in range(3))
                 names = mix(first * np.uint64(3) + mix(second * np.uint64(5) + mix(third + np.uint64(1))))
-                wide = byte_hashes(x, context)
+                wide = byte_hashes(x, context, other)
                 inside = (spots >= PERIOD - 1) & (spots - (PERIOD - 1) < len(wide))
                 full = np.zeros(len(spots), np.uint64)
                 full[inside] = wide[spots[inside] - (PERIOD - 1)]
@@ -308,7 +314,7 @@ def triples(cuts: DataFrame, parts: int, length: int) -> DataFrame:
 
 def merged_suffixes(cuts: DataFrame, sampled: DataFrame, parts: int, length: int) -> DataFrame:
     """(h, g, start, at): of the strings that sampled positions leave open, those that are found again."""
-    most = MOST_ITEMS
+    most, seed, other = MOST_ITEMS, drawn(), drawn()
     open_ones = sampled.where("tried").groupBy("h", "g", "start").agg(F.collect_list("at").alias("at"))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,7 +322,7 @@ def merged_suffixes(cuts: DataFrame, sampled: DataFrame, parts: int, length: int
         for batch, raw in steps(batches, "data"):
             tried = batch.column("at")
             for k, (*slice_, x) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("h", "g", "start")), raw, strict=True)):
-                hashes, others = byte_hashes(x, length), byte_hashes(x, length, 0xC2B2AE3D27D4EB4F)
+                hashes, others = byte_hashes(x, length, seed), byte_hashes(x, length, other)
                 change = np.zeros(len(x) + 2, np.int32)  # a sampled position stands for the strings that start up to v - 1 before it
                 p = np.array(tried[k].values.to_numpy(zero_copy_only=False), np.int64)
                 np.add.at(change, np.maximum(p - (PERIOD - 1), 0), 1)
