@@ -1,12 +1,15 @@
-"""Sinks: keyed upserts by micro-batch, and tables of what a stream gave."""
+"""Sinks: CSV appends, and tables of what a stream gave. Keyed upserts are in ``keyed``."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspark.folders import fresh_folder
-from reelspark.operators.detections import last_wins
+from reelspark.streaming.keyed import KeyedTable, upsert_stream
+
+
+__all__ = ["KeyedTable", "collected", "csv_append", "upsert_stream"]
 
 
 def collected(stream: DataFrame, spark: SparkSession) -> DataFrame:
@@ -22,38 +25,3 @@ def csv_append(stream: DataFrame, path: str, checkpoint: str, interval: str | No
     nested = {f.name: F.to_json(f.name) for f in stream.schema if f.dataType.typeName() in ("array", "map", "struct")}
     writer = stream.withColumns(nested).writeStream.format("csv").option("header", True).option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
-
-
-class KeyedTable:
-    """A Parquet table with one row for each key; a batch's rows replace those with its keys. Each version is written apart, so a batch that is run again gives the same table.
-
-    ``valid``: rows for which it isn't true (false or null) do no harm to the others: they go to a table of their own, ``rejected()``, and not into this one.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], valid: Column | None = None):
-        self.spark, self.path, self.keys, self.valid, self.version = spark, path, keys, valid, None
-
-    def rejected(self) -> DataFrame | None:
-        return None if self.version is None or self.valid is None else self.spark.read.parquet(f"{self.path}/rejected/*")
-
-    def read(self) -> DataFrame | None:
-        return None if self.version is None else self.spark.read.parquet(f"{self.path}/v{self.version}")
-
-    def upsert(self, batch: DataFrame, batch_id: int, order: list[str]) -> None:
-        if self.valid is not None:
-            good = F.coalesce(self.valid, F.lit(False))
-            batch.where(~good).write.mode("overwrite").parquet(f"{self.path}/rejected/v{batch_id}")
-            batch = batch.where(good)
-        fresh = last_wins(batch, self.keys, order)
-        old = self.read() if self.version != batch_id else None
-        if old is not None:
-            fresh = fresh.unionByName(old.join(fresh.select(*self.keys), self.keys, "left_anti"))
-        if self.version != batch_id:
-            fresh.write.mode("overwrite").parquet(f"{self.path}/v{batch_id}")
-            self.version = batch_id
-
-
-def upsert_stream(stream: DataFrame, table: KeyedTable, order: list[str], checkpoint: str, interval: str | None = None):
-    """Starts the stream into the table: every ``interval`` (such as 250 milliseconds), or what is there now."""
-    writer = stream.writeStream.foreachBatch(lambda batch, k: table.upsert(batch, k, order)).option("checkpointLocation", checkpoint)
-    return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
