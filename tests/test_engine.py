@@ -186,6 +186,55 @@ def test_playlist_offsets_and_idle_timeout(tmp_path):
     assert [r[2] for r in reader.read(end)[0]] == ["c.ts"]
 
 
+def polls(tmp_path, texts, **how):
+    """Segments given by each poll of a list that changes."""
+    path, given, end = tmp_path / "list.m3u8", [], None
+    reader = playlists.PlaylistReader(str(path), "http://h/live/list.m3u8", **how)
+    end = reader.initialOffset()
+    for text in texts:
+        path.unlink(missing_ok=True) if text is None else path.write_text(text)
+        rows, end = reader.read(end)
+        given.append([(r[1], r[2]) if r[4] is None else "error" for r in rows])
+    return given, end
+
+
+def test_a_url_is_given_once(tmp_path):
+    given, _ = polls(tmp_path, ["a.ts\nb.ts", "b.ts\nc.ts", "a.ts\n../live/c.ts\nd.ts"])
+    assert given == [[(0, "a.ts"), (1, "b.ts")], [(2, "c.ts")], [(3, "d.ts")]]
+
+
+def test_admission_keeps_the_rest(tmp_path):
+    given, end = polls(tmp_path, ["a.ts\nb.ts\nc.ts\nd.ts\ne.ts", "e.ts", "", "f.ts\n#EXT-X-ENDLIST", ""], most=2)
+    assert given == [[(0, "a.ts"), (1, "b.ts")], [(2, "c.ts"), (3, "d.ts")], [(4, "e.ts")], [(5, "f.ts")], []] and end["ended"]
+
+
+def test_an_ended_playlist_is_no_timeout(tmp_path):
+    given, end = polls(tmp_path, ["a.ts\n#EXT-X-ENDLIST", None, None], idle=-1)
+    assert given == [[(0, "a.ts")], [], []] and end["ended"] and not end["left"]
+
+
+def test_polls_that_fail(tmp_path):
+    with pytest.raises(OSError):
+        polls(tmp_path, [None])
+    given, end = polls(tmp_path, ["a.ts", None, "b.ts"], errors=True)
+    assert given == [[(0, "a.ts")], ["error"], [(1, "b.ts")]] and end["failed"] == 1
+
+
+def test_a_playlist_after_what_is_known(tmp_path):
+    assert polls(tmp_path, ["a.ts\nb.ts\nc.ts", "c.ts\nd.ts"], after=2)[0] == [[(2, "c.ts")], [(3, "d.ts")]]
+
+
+def test_a_query_stops_at_the_end(spark, tmp_path):
+    path = tmp_path / "list.m3u8"
+    path.write_text("a.ts\nb.ts\nc.ts\n#EXT-X-ENDLIST")
+    spark.dataSource.register(playlists.PlaylistStream)
+    stream = spark.readStream.format("playlist").option("maxSegments", 2).option("idleTimeout", 0).load(str(path))
+    sizes = []
+    query = stream.writeStream.foreachBatch(lambda b, _: sizes.append(sorted(r.segment for r in b.collect()))).option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="100 milliseconds").start()
+    assert playlists.until_end(query, timeout=60) and query.exception() is None
+    assert [x for x in sizes if x] == [["a.ts", "b.ts"], ["c.ts"]]
+
+
 def test_json_messages(spark, tmp_path):
     (tmp_path / "m.json").write_text('{"matchId": "1", "streamUrl": "u", "streamStatus": "started",\n "game": {"id": "g"}}')
     row = messages.from_json(spark, str(tmp_path / "m.json")).first()
