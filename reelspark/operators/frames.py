@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelspark.operators.ordered import free_names
+
 
 def number_frames(frames: DataFrame, match: str, segment: str, order: list[str], present: Column) -> DataFrame:
-    """ts_frame: 0-based place in the segment, of all frames. frame_number: 1-based place in the match, of the frames that are ``present``; the others go."""
+    """ts_frame: 0-based place in the segment, of all frames. frame_number: 1-based place in the match, of the frames that are ``present``; the others go.
+
+    Segments of a match follow one another in ``order``. Frames are numbered within their segment, and a scan over the segments' counts tells what came before each: no task holds more than a segment.
+    """
+    inside, before, first = free_names(frames, "inside", "before", "first")
     in_segment = Window.partitionBy(match, segment).orderBy(*order)
-    in_match = Window.partitionBy(match).orderBy(*order)
-    placed = frames.withColumn("ts_frame", (F.row_number().over(in_segment) - 1).cast("int")).where(present)
-    return placed.withColumn("frame_number", F.row_number().over(in_match).cast("bigint"))
+    placed = frames.withColumns({"ts_frame": (F.row_number().over(in_segment) - 1).cast("int"), inside: F.sum(present.cast("bigint")).over(in_segment.rowsBetween(Window.unboundedPreceding, 0))}).where(present)
+    counts = frames.where(present).groupBy(match, segment).agg(F.min(F.struct(*order)).alias(first), F.count("*").alias(before))
+    earlier = Window.partitionBy(match).orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col(match).alias("of_match"), F.col(segment).alias("of_segment"), F.coalesce(F.sum(before).over(earlier), F.lit(0)).alias(before))
+    joined = placed.join(offsets, placed[match].eqNullSafe(offsets["of_match"]) & placed[segment].eqNullSafe(offsets["of_segment"]))
+    return joined.withColumn("frame_number", (F.col(before) + F.col(inside)).cast("bigint")).drop("of_match", "of_segment", before, inside)
 
 
 def newest(rows: DataFrame, match: str, order: list[str], n: int) -> DataFrame:

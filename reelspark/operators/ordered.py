@@ -8,7 +8,7 @@ Null keys make one key. Rows that are equal in all of ``order`` follow one anoth
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from reelspark.folders import stored
 
-#: Rows of a piece where positions are known beforehand.
+#: Width of a piece where places are whole numbers known beforehand.
 PIECE = 4096
 
 
@@ -30,17 +30,25 @@ def free_names(df: DataFrame, *names: str) -> Iterator[str]:
         yield name
 
 
-def _added_up(rows: DataFrame, keys: list[str], piece: str, seat: str, values: dict[str, str], reverse: bool = False) -> DataFrame:
-    """rows with the sum of each value (result name -> column) over the key's rows up to this one."""
+def _joined_back(rows: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with the columns of small, whose first columns are the keys under names of their own."""
+    names = [f"key{i}" for i in range(len(keys))]
+    renamed = small.toDF(*names, *small.columns[len(keys) :])
+    return rows.join(renamed, reduce(lambda a, b: a & b, [rows[k].eqNullSafe(renamed[n]) for k, n in zip(keys, names, strict=True)])).drop(*names)
+
+
+def _up_to_here(rows: DataFrame, keys: list[str], piece: str, seat: str, values: dict[str, str], how: Callable = F.sum, reverse: bool = False) -> DataFrame:
+    """rows with the sum (or, with ``how``, the greatest) of each value (result name -> column) of the key's rows up to this one."""
     along = F.desc if reverse else F.asc
     inside = Window.partitionBy(*keys, piece).orderBy(along(seat)).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*keys).orderBy(along(piece)).rowsBetween(Window.unboundedPreceding, -1)
-    totals = rows.groupBy(*keys, piece).agg(*[F.sum(c).alias(f"t{k}") for k, c in enumerate(values.values())])
-    offsets = totals.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate([*keys, piece])], *[F.coalesce(F.sum(f"t{k}").over(earlier), F.lit(0)).alias(f"b{k}") for k in range(len(values))])
-    own = rows.select("*", *[F.sum(c).over(inside).alias(f"_own{k}") for k, c in enumerate(values.values())])
-    same = reduce(lambda a, b: a & b, [own[c].eqNullSafe(offsets[f"k{i}"]) for i, c in enumerate([*keys, piece])])
-    names = {name: (F.col(f"_own{k}") + F.col(f"b{k}")).cast("bigint") for k, name in enumerate(values)}
-    return own.join(offsets, same).withColumns(names).drop(*[f"_own{k}" for k in range(len(values))], *offsets.columns)
+    own, before = ([*free_names(rows, *[f"{kind}{k}" for k in range(len(values))])] for kind in ("own", "before"))
+    totals = rows.groupBy(*keys, piece).agg(*[how(c).alias(o) for c, o in zip(values.values(), own, strict=True)])
+    offsets = totals.select(*keys, piece, *[how(o).over(earlier).alias(b) for o, b in zip(own, before, strict=True)])
+    added = rows.select("*", *[how(c).over(inside).alias(o) for c, o in zip(values.values(), own, strict=True)])
+    both = (lambda o, b: F.col(o) + F.coalesce(b, F.lit(0))) if how is F.sum else F.greatest
+    out = _joined_back(added, offsets, [*keys, piece])
+    return out.withColumns({name: both(o, b).cast("bigint") for name, o, b in zip(values, own, before, strict=True)}).drop(*own, *before)
 
 
 def running(rows: DataFrame, keys: list[str], order: list[str | Column], sums: dict[str, Column]) -> DataFrame:
@@ -53,7 +61,7 @@ def running(rows: DataFrame, keys: list[str], order: list[str | Column], sums: d
     along = [*map(F.col, keys), *[F.col(c) if isinstance(c, str) else c for c in order]]
     sorted_rows = stored(valued.repartitionByRange(*along).sortWithinPartitions(*along).withColumn(seat, F.monotonically_increasing_id()), "sorted")
     pieces = sorted_rows.withColumn(piece, F.shiftrightunsigned(seat, 33))
-    return _added_up(pieces, keys, piece, seat, dict(zip(sums, parts, strict=True))).drop(seat, piece, *parts)
+    return _up_to_here(pieces, keys, piece, seat, dict(zip(sums, parts, strict=True))).drop(seat, piece, *parts)
 
 
 def numbered(rows: DataFrame, keys: list[str], order: list[str | Column], name: str) -> DataFrame:
@@ -61,20 +69,39 @@ def numbered(rows: DataFrame, keys: list[str], order: list[str | Column], name:
     return running(rows, keys, order, {name: F.lit(1)})
 
 
-def sums_from_here(rows: DataFrame, keys: list[str], at: str, values: dict[str, str], piece_rows: int = PIECE) -> DataFrame:
-    """rows with the sums of the values (result name -> column) over the key's rows from this one on. ``at`` numbers a key's rows densely, so that pieces have ``piece_rows`` of them."""
+def _in_pieces(rows: DataFrame, at: str, width: int) -> tuple[DataFrame, str]:
     (piece,) = free_names(rows, "piece")
-    return _added_up(rows.withColumn(piece, F.floor(F.col(at) / piece_rows).cast("bigint")), keys, piece, at, values, reverse=True).drop(piece)
+    return rows.withColumn(piece, F.floor(F.col(at) / width).cast("bigint")), piece
+
+
+def sums_up_to(rows: DataFrame, keys: list[str], at: str, values: dict[str, str], width: int = PIECE) -> DataFrame:
+    """rows with the sums of the values (result name -> column) over the key's rows up to this one, in the order of ``at``, a whole number; a piece is ``width`` of its values wide."""
+    pieces, piece = _in_pieces(rows, at, width)
+    return _up_to_here(pieces, keys, piece, at, values).drop(piece)
+
+
+def sums_from_here(rows: DataFrame, keys: list[str], at: str, values: dict[str, str], width: int = PIECE) -> DataFrame:
+    """As ``sums_up_to``, over the rows from this one on."""
+    pieces, piece = _in_pieces(rows, at, width)
+    return _up_to_here(pieces, keys, piece, at, values, reverse=True).drop(piece)
+
+
+def greatest_up_to(rows: DataFrame, keys: list[str], at: str, values: dict[str, str], width: int = PIECE) -> DataFrame:
+    """As ``sums_up_to``, with the greatest value in place of the sum; null before the first value."""
+    pieces, piece = _in_pieces(rows, at, width)
+    return _up_to_here(pieces, keys, piece, at, values, how=F.max).drop(piece)
 
 
-def with_previous(rows: DataFrame, keys: list[str], at: str, columns: dict[str, str], piece_rows: int = PIECE) -> DataFrame:
-    """rows with columns (result name -> column) of the row before in the key, null for the first. ``at`` numbers a key's rows densely from 1.
+def with_previous(rows: DataFrame, keys: list[str], at: str, columns: dict[str, str], width: int = PIECE) -> DataFrame:
+    """rows with columns (result name -> column) of the key's row before this one in the order of ``at`` (whole numbers, one row for each, gaps allowed); null for the first.
 
-    Each piece gets a copy of its predecessor's last row, so that one shuffle is enough.
+    Each piece gets a copy of the last row of the piece before it.
     """
-    piece, copy = free_names(rows, "piece", "copy")
-    own = F.floor((F.col(at) - 1) / piece_rows).cast("bigint")
-    is_last = F.pmod(F.col(at), F.lit(piece_rows)) == 0
-    placed = rows.withColumn(piece, F.explode(F.when(is_last, F.array(own, own + 1)).otherwise(F.array(own)))).withColumn(copy, F.col(piece) != own)
+    pieces, piece = _in_pieces(rows, at, width)
+    last, following, copy = free_names(pieces, "last", "following", "copy")
+    lasts = pieces.groupBy(*keys, piece).agg(F.max(at).alias(last))
+    lasts = lasts.select(*keys, last, F.lead(piece).over(Window.partitionBy(*keys).orderBy(piece)).alias(following)).where(F.col(following).isNotNull())
+    copies = _joined_back(pieces, lasts, [*keys, at]).withColumn(piece, F.col(following)).drop(following)
+    both = pieces.withColumn(copy, F.lit(False)).unionByName(copies.withColumn(copy, F.lit(True)))
     before = Window.partitionBy(*keys, piece).orderBy(at)
-    return placed.withColumns({name: F.lag(c).over(before) for name, c in columns.items()}).where(~F.col(copy)).drop(piece, copy)
+    return both.withColumns({name: F.lag(c).over(before) for name, c in columns.items()}).where(~F.col(copy)).drop(piece, copy)

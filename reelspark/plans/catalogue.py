@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspark import analyzers
@@ -52,8 +52,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def frame_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
-    number = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")).cast("bigint")
-    return e.select(F.col("label").cast("bigint").alias("match_id"), number.alias("frame_number"), F.col("embedding").alias("vector"), N.median_bits(F.col("embedding")).alias("bits"))
+    placed = frames.number_frames(e.withColumn("segment", F.expr("vec_id div 1000")), "label", "segment", ["vec_id"], F.lit(True))
+    return placed.select(F.col("label").cast("bigint").alias("match_id"), "frame_number", F.col("embedding").alias("vector"), N.median_bits(F.col("embedding")).alias("bits"))
 
 
 COMPARED_SQL = """

@@ -38,13 +38,20 @@ def test_running_of_nothing_and_clashing_names(spark):
     assert ordered.numbered(df.limit(0), ["k"], ["x"], "n").count() == 0
 
 
-@pytest.mark.parametrize("piece", [1, 3, 1000])
-def test_pieces_of_known_places(spark, piece):
+@pytest.mark.parametrize("width", [1, 3, 1000])
+def test_pieces_of_known_places(spark, width):
     r = random.Random(4)
-    rows = [(k, i, r.randrange(100)) for k, n in (("a", 50), ("b", 1), ("c", 3)) for i in range(1, n + 1)]
-    df = spark.createDataFrame(rows, "k string, at long, v long")
+    rows = [(k, i * step, r.randrange(100)) for k, n, step in (("a", 50, 1), ("b", 1, 1), ("c", 9, 7), (None, 5, 2)) for i in range(1, n + 1)]
+    df = spark.createDataFrame(rows, "k string, at long, v long").withColumns({"piece": F.lit("p"), "own0": F.lit(1), "copy": F.lit(2), "last": F.lit(3)})
     value = {(k, i): v for k, i, v in rows}
-    got = ordered.sums_from_here(df, ["k"], "at", {"s": "v"}, piece).collect()
-    assert {(x.k, x.at): x.s for x in got} == {(k, i): sum(v for (q, j), v in value.items() if q == k and j >= i) for k, i in value}
-    got = ordered.with_previous(df, ["k"], "at", {"before": "v"}, piece).collect()
-    assert {(x.k, x.at): x.before for x in got} == {(k, i): value.get((k, i - 1)) for k, i in value} and len(got) == len(rows)
+    of = lambda k, i, side: [v for (q, j), v in sorted(value.items(), key=str) if q == k and side(j, i)]
+    for how, want in (
+        (ordered.sums_from_here, lambda k, i: sum(of(k, i, int.__ge__))),
+        (ordered.sums_up_to, lambda k, i: sum(of(k, i, int.__le__))),
+        (ordered.greatest_up_to, lambda k, i: max(of(k, i, int.__le__))),
+        (ordered.with_previous, lambda k, i: value.get((k, max((j for q, j in value if q == k and j < i), default=0)))),
+    ):
+        got = how(df, ["k"], "at", {"s": "v"}, width)
+        assert got.columns == [*df.columns, "s"]
+        got = got.collect()
+        assert {(x.k, x.at): x.s for x in got} == {(k, i): want(k, i) for k, i in value} and len(got) == len(rows), how
