@@ -7,6 +7,7 @@ so similar documents stay together on some path and others part. Each level of a
 * A node of up to ``limit`` documents is compared exhaustively, by its documents' signatures.
 * In a greater one all documents are compared with its least document first: those near it are candidates of one group and need no comparison among themselves
   on this path, so that they drop out once a node holds no others. The rest, and what is to be compared with the rest, is branched further.
+* A greater node whose documents are on average as near to the least as ``DENSE`` is parted by no path faster than paths multiply: it is compared exhaustively, as one group of candidates.
 * What is still great after ``levels`` levels is one group of candidates, whatever it holds, which the last step compares in full.
 
 A pair at the threshold survives in a tree of any depth with probability 0.76 or more at 0.85 (``survival``), so ``trees_for`` gives the number of independent trees that reach the target recall. Candidates (documents whose
@@ -35,6 +36,8 @@ from reelspark.llm.shared import discarded, saved, unused
 from reelspark.llm.shingles import set_signature, shingle_sets
 
 WIDTH, LIMIT, LEVELS, RECALL = 128, 512, 8, 1 - 1e-6
+#: Paths multiply by 1.5 at each level, and pairs of this similarity by 0.9.
+DENSE = 0.6
 #: Odd factors and offsets of the minwise functions: a fixed sequence.
 FACTORS = mix(np.arange(1, WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 OFFSETS = mix(np.arange(WIDTH + 1, 2 * WIDTH + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
@@ -71,24 +74,24 @@ def minwise_tokens(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def embedded(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n, node (the set's hash; null without words) and tokens (WIDTH times 4 bytes)."""
+    """doc_id, n, node (the set's hash; null without words), tokens (WIDTH times 4 bytes) and the signature, a byte of each token."""
 
     def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw in steps(batches, "text"):
             sets = shingle_sets(raw, words)
             there = [x for x in sets if len(x)]
             tokens = iter(minwise_tokens(there)) if there else iter(())
-            rows = [(len(x), set_signature(x), next(tokens).tobytes()) if len(x) else (0, None, None) for x in sets]
-            n, node, token = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(token, pa.binary())], names=["doc_id", "n", "node", "tokens"])
+            rows = [(len(x), set_signature(x), (t := next(tokens)).tobytes(), t.astype(np.uint8).tobytes()) if len(x) else (0, None, None, None) for x in sets]
+            n, node, token, signature = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(token, pa.binary()), pa.array(signature, pa.binary())], names=["doc_id", "n", "node", "tokens", "signature"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(embed, f"doc_id {kind}, n long, node long, tokens binary")
+    return docs.mapInArrow(embed, f"doc_id {kind}, n long, node long, tokens binary, signature binary")
 
 
-def signatures(column: pa.Array) -> np.ndarray:
-    """Rows of WIDTH tokens from a binary column."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, WIDTH)
+def rows_of(column: pa.Array, kind: type = np.uint32) -> np.ndarray:
+    """Rows of WIDTH values from a binary column."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, WIDTH)
 
 
 def selected(path: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,25 +121,25 @@ def planted(nodes: DataFrame, trees: int) -> DataFrame:
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                tokens, node = signatures(batch.column("tokens")), batch.column("node").to_numpy()
+                tokens, node = rows_of(batch.column("tokens")), batch.column("node").to_numpy()
                 which, path = children(np.repeat(roots, len(node)), np.tile(tokens, (trees, 1)))
                 yield pa.RecordBatch.from_pydict({"path": pa.array(path), "node": pa.array(node[which % len(node)])})
 
     return nodes.select("node", "tokens").mapInArrow(plant, "path long, node long")
 
 
-def near(tokens: np.ndarray, n: np.ndarray, one: int, least: int, percent: int, among: slice) -> np.ndarray:
-    """Which of ``among`` agree with row ``one`` in enough places and are near enough in size."""
-    sizes = (100 * np.minimum(n[among], n[one]) >= percent * np.maximum(n[among], n[one]))
-    return sizes & ((tokens[among] == tokens[one]).sum(1) >= least)
+def near(signature: np.ndarray, n: np.ndarray, one: int, least: int, percent: int, among: slice) -> np.ndarray:
+    """Which of ``among`` agree with row ``one`` in enough places and are near enough in size. A byte tells places apart well enough: what agrees by chance is confirmed later."""
+    sizes = 100 * np.minimum(n[among], n[one]) >= percent * np.maximum(n[among], n[one])
+    return sizes & ((signature[among] == signature[one]).sum(1) >= least)
 
 
-def spanning(node: np.ndarray, label: np.ndarray, n: np.ndarray, tokens: np.ndarray, least: int, percent: int) -> list[tuple[int, int]]:
+def spanning(node: np.ndarray, label: np.ndarray, n: np.ndarray, signature: np.ndarray, least: int, percent: int) -> list[tuple[int, int]]:
     """Candidate links of one leaf that span what is near in it. Documents of one label are candidates of one group already."""
     group = np.unique(label, return_inverse=True)[1]
     out = []
     for i in range(len(node) - 1):
-        for j in (np.flatnonzero(near(tokens, n, i, least, percent, slice(i + 1, None)) & (group[i + 1 :] != group[i])) + i + 1).tolist():
+        for j in (np.flatnonzero(near(signature, n, i, least, percent, slice(i + 1, None)) & (group[i + 1 :] != group[i])) + i + 1).tolist():
             if group[i] != group[j]:
                 out.append((int(node[i]), int(node[j])))
                 group[group == group[j]] = group[i]
@@ -146,7 +149,7 @@ def spanning(node: np.ndarray, label: np.ndarray, n: np.ndarray, tokens: np.ndar
 
 
 def leaf_links(leaves: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of each leaf's candidates. leaves: path, node, label, n, tokens; the rows of a path, which are few, come together."""
+    """(a, b) of each leaf's candidates. leaves: path, node, label, n, signature; the rows of a path, which are few, come together."""
     least = least_agreement(percent)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,9 +157,9 @@ def leaf_links(leaves: DataFrame, percent: int) -> DataFrame:
 
         def taken(table: pa.Table) -> pa.RecordBatch:
             path, node, label, n = (table.column(c).to_numpy() for c in ("path", "node", "label", "n"))
-            tokens = signatures(table.column("tokens")).astype(np.uint16)  # enough to tell places apart; what agrees by chance is confirmed later
+            signature = rows_of(table.column("signature"), np.uint8)
             cuts = [0, *(np.flatnonzero(path[1:] != path[:-1]) + 1).tolist(), len(path)]
-            found = [x for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b - a > 1 for x in spanning(node[a:b], label[a:b], n[a:b], tokens[a:b], least, percent)]
+            found = [x for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b - a > 1 for x in spanning(node[a:b], label[a:b], n[a:b], signature[a:b], least, percent)]
             return pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
         for batch in batches:
@@ -176,7 +179,7 @@ def leaf_links(leaves: DataFrame, percent: int) -> DataFrame:
 
 
 def against_the_least(great: DataFrame, percent: int) -> DataFrame:
-    """path, node, label, n, tokens, linked: the documents of great nodes; those near their node's ``pivot`` are ``linked`` and get its label. great has the pivot's n and tokens too."""
+    """great (path, node, label, n, signature, tokens, pivot, pivot_n, pivot_tokens) with ``same``, the places that agree with the node's pivot, and ``linked``; those near the pivot are linked and get its label."""
     least = least_agreement(percent)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,49 +187,56 @@ def against_the_least(great: DataFrame, percent: int) -> DataFrame:
             if not len(batch):
                 continue
             n, other = batch.column("n").to_numpy(), batch.column("pivot_n").to_numpy()
-            same = (signatures(batch.column("tokens")) == signatures(batch.column("pivot_tokens"))).sum(1)
+            same = (rows_of(batch.column("tokens")) == rows_of(batch.column("pivot_tokens"))).sum(1)
             linked = (100 * np.minimum(n, other) >= percent * np.maximum(n, other)) & (same >= least)
             label = np.where(linked, batch.column("pivot").to_numpy(), batch.column("label").to_numpy())
-            yield pa.RecordBatch.from_pydict({"path": batch.column("path"), "node": batch.column("node"), "label": pa.array(label), "n": batch.column("n"), "tokens": batch.column("tokens"), "pivot": batch.column("pivot"), "linked": pa.array(linked)})
+            names = ["path", "node", "n", "signature", "tokens", "pivot"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(label), pa.array(same), pa.array(linked)], names=[*names, "label", "same", "linked"])
 
-    return great.mapInArrow(compare, "path long, node long, label long, n long, tokens binary, pivot long, linked boolean")
+    return great.mapInArrow(compare, "path long, node long, n long, signature binary, tokens binary, pivot long, label long, same long, linked boolean")
 
 
 def branched(rows: DataFrame) -> DataFrame:
-    """path, node, label of the next level."""
+    """path, node, label, n, signature, tokens of the next level."""
+    names = ["node", "label", "n", "signature", "tokens"]
 
     def branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                which, path = children(batch.column("path").to_numpy(), signatures(batch.column("tokens")))
-                yield pa.RecordBatch.from_pydict({"path": pa.array(path), "node": pa.array(batch.column("node").to_numpy()[which]), "label": pa.array(batch.column("label").to_numpy()[which])})
+                which, path = children(batch.column("path").to_numpy(), rows_of(batch.column("tokens")))
+                below = batch.select(names).take(pa.array(which))
+                yield pa.RecordBatch.from_arrays([pa.array(path), *below.columns], names=["path", *names])
 
-    return rows.select("path", "node", "label", "tokens").mapInArrow(branch, "path long, node long, label long")
+    return rows.select("path", *names).mapInArrow(branch, "path long, node long, label long, n long, signature binary, tokens binary")
 
 
 def candidates(nodes: DataFrame, percent: int, trees: int, limit: int = LIMIT, levels: int = LEVELS) -> DataFrame:
-    """(a, b) of nodes, spanning groups that hold all pairs which may be linked. nodes: node, n, tokens."""
+    """(a, b) of nodes, spanning groups that hold all pairs which may be linked. nodes: node, n, tokens, signature.
+
+    The first level has rows of all nodes, which get signatures only where a path has others; what is branched further, little as a rule, takes its tokens along.
+    """
     level, found = planted(nodes, trees).withColumn("label", F.col("node")), []
     for depth in range(levels):
         level = saved(level)
-        sizes = level.groupBy("path").agg(F.count("*").alias("size"), (F.min("label") < F.max("label")).alias("mixed")).where("size > 1 and mixed").drop("mixed")
-        sizes = saved(sizes)
-        of = lambda which: level.join(sizes.where(which).select("path"), "path").join(nodes, "node")
-        found.append(saved(leaf_links(of(f"size <= {limit}"), percent)))
+        sizes = saved(level.groupBy("path").agg(F.count("*").alias("size"), (F.min("label") < F.max("label")).alias("mixed")).where("size > 1 and mixed").drop("mixed"))
+        some = lambda which, *more: level.join(sizes.where(which).select("path"), "path").join(nodes.select("node", "n", *more), "node") if depth == 0 else level.join(sizes.where(which).select("path"), "path")  # noqa: E731, B023
+        found.append(saved(leaf_links(some(f"size <= {limit}", "signature").select("path", "node", "label", "n", "signature"), percent)))
         great = sizes.where(f"size > {limit}")
         if great.isEmpty():
             break
         if depth == levels - 1:  # as one group each
-            whole = level.join(great.select("path"), "path")
+            whole = level.join(great.select("path"), "path").select("path", "node")
             found.append(saved(whole.join(whole.groupBy("path").agg(F.min("node").alias("a")), "path").select("a", F.col("node").alias("b")).where("a <> b").distinct()))
             break
         # The least document that is in no group on this path yet, or the least of all.
         pivots = level.join(great.select("path"), "path").groupBy("path").agg(F.min(F.struct((F.col("label") != F.col("node")).alias("grouped"), "node"))["node"].alias("pivot"))
         pivots = pivots.join(nodes.select(F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("tokens").alias("pivot_tokens")), "pivot")
-        compared = saved(against_the_least(of(f"size > {limit}").join(pivots, "path"), percent))
-        found.append(saved(compared.where("linked and node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()))
-        last, level = level, branched(compared.where("node <> pivot"))  # the pivot has been compared with all
-        discarded(last)
+        compared = saved(against_the_least(some(f"size > {limit}", "signature", "tokens").join(pivots, "path"), percent))
+        means = compared.groupBy("path").agg((F.avg("same") / WIDTH >= DENSE).alias("dense"))
+        judged = compared.join(means, "path")
+        found.append(saved(judged.where("(linked or dense) and node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()))
+        discarded(level)
+        level = branched(judged.where("not dense and node <> pivot"))  # the pivot has been compared with all
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -238,8 +248,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = saved(embedded(base, words))
     there = rows.where("node is not null")
-    nodes = saved(there.groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("tokens").alias("tokens"), F.min("doc_id").alias("least")))
-    pairs = candidates(nodes.select("node", "n", "tokens"), percent, trees_for(percent, recall), limit, levels)
+    nodes = saved(there.groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("tokens").alias("tokens"), F.any_value("signature").alias("signature"), F.min("doc_id").alias("least")))
+    pairs = candidates(nodes.drop("least"), percent, trees_for(percent, recall), limit, levels)
     groups = saved(components(pairs).select(F.col("root").alias("pivot"), "node"))
     least = nodes.select("node", "least")
     joined = connected(base, least.select("node", F.xxhash64("least").alias("of")), groups, words, percent, block)
