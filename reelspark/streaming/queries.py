@@ -11,7 +11,8 @@ from reelspark.folders import fresh_folder
 from reelspark.functions.numeric import median_bits
 from reelspark.functions.text import url_join
 from reelspark.operators import playlist
-from reelspark.streaming import sinks, state
+from reelspark.operators.detections import MODELS
+from reelspark.streaming import resume, sinks, state, sync
 from reelspark.streaming.sinks import collected
 
 GAP = 6 * 3600 * 1_000_000
@@ -58,13 +59,19 @@ def stream_cuts_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 POLL = "concat_ws(chr(10), '#EXTINF:4,', concat('../s_', cast(o_orderkey div 3 as string), '.ts'), '#EXTINF:4,', concat('s_', cast(o_orderkey div 3 + 1 as string), '.ts'))"
 
 
+#: A segment is known for as long after its first poll: longer than any playlist of the table is polled.
+LISTED = "3650 days"
+
+
 def stream_new_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Polls of sliding playlists (an order is a poll, a customer a playlist): each segment URL once, whichever poll lists it."""
     schema = spark.read.parquet(f"{sf_dir}/orders.parquet").schema
     o = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").option("maxFilesPerTrigger", 8).parquet(sf_dir)
-    found = playlist.lines(o.select("o_custkey", F.expr(POLL).alias("body")), "o_custkey", "body").where(F.endswith("line", F.lit(playlist.SEGMENT)))
+    polls = o.select(F.struct("o_custkey", "o_orderdate").alias("poll"), F.expr(POLL).alias("body"))
+    found = playlist.lines(polls, "poll", "body").select("poll.*", "line").where(F.endswith("line", F.lit(playlist.SEGMENT)))
     url = url_join(F.concat(F.lit("http://h.example/live/"), F.col("o_custkey").cast("string"), F.lit("/list.m3u8?t=1")), F.col("line"))
-    return collected(found.select("o_custkey", url.alias("url")).dropDuplicates(["o_custkey", "url"]), spark)
+    seen = found.select("o_custkey", url.alias("url"), F.col("o_orderdate").cast("timestamp").alias("at")).withWatermark("at", LISTED)
+    return collected(seen.dropDuplicatesWithinWatermark(["o_custkey", "url"]).select("o_custkey", "url"), spark)
 
 
 def csv_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,5 +104,49 @@ def upsert_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.KeyedTable(spark, f"{at}/table", ["user_id", "event_type"]).read().select("user_id", "event_type", "event_id", "value")
 
 
+def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames numbered into a table by a query that ends in the middle of a segment, and by a second one that has no checkpoint and finds its place in the table."""
+    at = fresh_folder(spark, "resume")
+    bounds = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.min("ts"), F.max("ts")).first()
+    half = bounds[0] + (bounds[1] - bounds[0]) / 2
+    rows = events(spark, sf_dir).where("event_id % 7 <> 0").select("user_id", "ts", F.date_format("ts", "yyyyMMdd").cast("int").alias("segment_number"), F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "event_id")
+    for k, part in enumerate((rows.where(F.col("ts") <= F.lit(half)), rows)):
+        table = sinks.KeyedTable(spark, f"{at}/table", ["user_id", "event_id"], buckets=16)
+        numbers = resume.resumed(part.drop("ts"), table.read(), "user_id", "segment_number", ["us", "event_id"])
+        sinks.upsert_stream(numbers, table, ["frame_number"], f"{at}/checkpoint-{k}").awaitTermination()
+    return sinks.KeyedTable(spark, f"{at}/table", ["user_id", "event_id"]).read().select("user_id", "event_id", "frame_number")
+
+
+def stream_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as frames and their first three lines as models' answers, dealt over four files without order; a frame far ahead in time ends the wait for the answers that never come."""
+    at = fresh_folder(spark, "sync")
+    time = lambda c: F.timestamp_seconds(F.col(c)).alias("at")
+    frames = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("frame_number"), time("o_orderkey"))
+    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_linenumber <= 3").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("q"))
+    model = F.element_at(F.array(*map(F.lit, MODELS)), F.col("l_linenumber").cast("int"))
+    answers = line.select(F.col("l_orderkey").alias("frame_number"), time("l_orderkey"), model.alias("model"), F.array(F.array(F.col("q").cast("double"))).alias("boxes"), F.array(F.lit(0.5)).alias("confidences"), F.array(F.col("l_linenumber").cast("double")).alias("classes"))
+    both = frames.unionByName(answers, allowMissingColumns=True)
+    far = frames.agg((F.max("frame_number") * 3 + 1_000_000).alias("frame_number")).select("frame_number", time("frame_number"))
+    both.repartition(4, F.xxhash64("frame_number", "model")).write.parquet(f"{at}/in/1")
+    far.coalesce(1).write.parquet(f"{at}/in/2")
+    schema = both.schema
+    stream = lambda k: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in/{k}")
+    span = f"{2 * (frames.agg(F.max('frame_number')).first()[0] or 0)} seconds"
+    wide = sync.synchronised(stream("*").where("model is null").select("frame_number", "at"), stream("1").where("model is not null"), ["frame_number"], "at", 1000, lateness=span)
+    first = lambda c: F.coalesce(F.get(F.get(c, F.lit(0)), F.lit(0)), F.lit(0.0))
+    return collected(wide.select("frame_number", F.size("cricket_model_boxes").alias("complete"), first(F.col("cricket_model_boxes")).alias("cricket"), first(F.col("person_detection_model_boxes")).alias("person")), spark)
+
+
+def stream_flushes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of each user in flushes of twelve; the user's last event flushes what is held."""
+    at = fresh_folder(spark, "flush")
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "event_id")
+    ends = e.groupBy("user_id").agg(F.max(F.struct("us", "event_id"))["event_id"].alias("end"))
+    e.join(ends, "user_id").select("user_id", "us", "event_id", (F.col("event_id") == F.col("end")).alias("last")).repartitionByRange(3, "us", "event_id").write.parquet(f"{at}/in")
+    stream = spark.readStream.schema("user_id bigint, us bigint, event_id bigint, last boolean").option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
+    out = sync.flushed(stream, "user_id", ["us", "event_id"], every_ms=None, last="last")
+    return collected(out.select("user_id", "event_id", "flush", "why"), spark)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"stream_frame_numbering": stream_frame_numbering, "stream_debounce": stream_debounce, "stream_dedupe": stream_dedupe} | {f.__name__: f for f in (stream_cuts, stream_cuts_strict, stream_new_segments, csv_append, upsert_detections, upsert_restart)}
+    return {"stream_frame_numbering": stream_frame_numbering, "stream_debounce": stream_debounce, "stream_dedupe": stream_dedupe} | {f.__name__: f for f in (stream_cuts, stream_cuts_strict, stream_new_segments, csv_append, upsert_detections, upsert_restart, stream_resume, stream_sync, stream_flushes)}

@@ -18,12 +18,13 @@ from pyspark.sql.types import LongType, StructField, StructType
 from reelspark.operators.cuts import CORRELATION, LEAST_HAMMING
 
 
-def number_rows(rows: DataFrame, key: str, order: list[str], name: str = "frame_number") -> DataFrame:
-    """``name``: 1-based running number in the key, carried on from batch to batch."""
+def number_rows(rows: DataFrame, key: str, order: list[str], name: str = "frame_number", start: str | None = None) -> DataFrame:
+    """``name``: 1-based running number in the key, carried on from batch to batch. start: a column whose first value in a key is the number to go on from (null: 0)."""
 
     def step(_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else 0
         batch = pd.concat(list(chunks)).sort_values(order, kind="stable")
+        first = batch[start].iloc[0] if start else 0
+        last = state.get[0] if state.exists else 0 if pd.isna(first) else int(first)
         batch[name] = range(last + 1, last + 1 + len(batch))
         state.update((last + len(batch),))
         yield batch
