@@ -19,7 +19,7 @@ RESERVED = ("analyzer_type", "streamUrl", "matchId")
 class Analyzer(ABC):
     """One request: a stream, a match and open parameters."""
 
-    def __init__(self, streamUrl: str, matchId: str | int, **params: str):
+    def __init__(self, streamUrl: str, matchId: str | int, **params: object):
         faults = [what for what, value, kinds in (("a stream URL", streamUrl, str), ("a match id", matchId, str | int)) if value is True or not (value and isinstance(value, kinds))]
         if faults:
             raise ValueError(f"{type(self).__name__} lacks {' and '.join(faults)}")
@@ -65,7 +65,7 @@ class InferenceAnalyzer(Analyzer):
 
     def predictions(self, frames: DataFrame, schema: str) -> DataFrame:
         load, size = self.load, int(self.params.get("batch_size", 1))
-        key = (f"{type(self).__module__}.{type(self).__qualname__}", tuple(sorted(self.params.items())))
+        key = (f"{type(self).__module__}.{type(self).__qualname__}", tuple(sorted((k, str(v)) for k, v in self.params.items())))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield from map(loaded(key, load), of_size(batches, size))

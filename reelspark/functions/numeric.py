@@ -76,3 +76,18 @@ def correlation(a: Column, b: Column) -> Column:
         return (s["xy"] - s["x"] * s["y"] / n) / F.nullif(F.sqrt(F.greatest(spread, F.lit(0.0))), F.lit(0.0))
 
     return F.get(F.transform(F.array(sums), ratio), F.lit(0))
+
+
+def sparse_correlation(at_a: Column, a: Column, at_b: Column, b: Column, size: int) -> Column:
+    """Pearson correlation of two arrays of ``size`` values that are 0 but at the given places; null if one is constant or null."""
+    d = lambda v: F.transform(v, lambda x: x.cast("double"))
+    total = lambda v: F.aggregate(v, F.lit(0.0), lambda s, x: s + x)
+    square = lambda v: total(F.transform(v, lambda x: x * x))
+    x, y, n = d(a), d(b), F.lit(float(size))
+
+    def ratio(known: Column) -> Column:
+        product = total(F.zip_with(at_b, y, lambda k, v: F.coalesce(F.try_element_at(known, k), F.lit(0.0)) * v))
+        spread = (square(x) - total(x) * total(x) / n) * (square(y) - total(y) * total(y) / n)
+        return (product - total(x) * total(y) / n) / F.nullif(F.sqrt(F.greatest(spread, F.lit(0.0))), F.lit(0.0))
+
+    return F.get(F.transform(F.array(F.map_from_arrays(at_a, x)), ratio), F.lit(0))

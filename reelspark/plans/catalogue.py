@@ -8,16 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspark import analyzers
+from reelspark.analyzers import models
 from reelspark.functions import arrays as A
 from reelspark.functions import games
 from reelspark.functions import numeric as N
 from reelspark.functions import text as T
 from reelspark.operators import cuts, detections, frames, playlist
+from reelspark.plans import pictures
 from reelspark.sources import probes
 from reelspark.streaming import queries as streaming
 
@@ -36,11 +37,11 @@ def query(sql: str):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return QUERIES | streaming.queries()
+    return QUERIES | pictures.queries() | streaming.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return SQL | {"stream_frame_numbering": STREAM_NUMBERING_SQL, "stream_debounce": SQL["debounce_events"], "stream_dedupe": STREAM_DEDUPE_SQL, "stream_new_segments": STREAM_SEGMENTS_SQL, "csv_append": CSV_SQL, "upsert_detections": UPSERT_SQL, "upsert_restart": RESTART_SQL, "stream_resume": STREAM_NUMBERING_SQL, "stream_sync": SQL["three_model_merge"], "stream_flushes": FLUSH_SQL} | STREAM_CUTS_SQL
+    return SQL | pictures.oracle_sql() | {"stream_frame_numbering": STREAM_NUMBERING_SQL, "stream_debounce": SQL["debounce_events"], "stream_dedupe": STREAM_DEDUPE_SQL, "stream_new_segments": STREAM_SEGMENTS_SQL, "csv_append": CSV_SQL, "upsert_detections": UPSERT_SQL, "upsert_restart": RESTART_SQL, "stream_resume": STREAM_NUMBERING_SQL, "stream_sync": SQL["three_model_merge"], "stream_flushes": FLUSH_SQL} | STREAM_CUTS_SQL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -569,37 +570,34 @@ def probed_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probes.probed_frames(segment_probes(spark, sf_dir)).withColumn("ptstime", F.col("ptstime").cast("double"))
 
 
-class Steady(analyzers.InferenceAnalyzer):
-    """A model for queries: a frame's label and confidence follow from its number, and the box tells whether batches keep to their size."""
+def embedded_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select(F.concat(F.lit("m"), F.col("vec_id") % 3).alias("match_id"), F.col("vec_id").alias("frame_number"), F.col("embedding").alias("vector"))
 
-    def load(self):
-        size = int(self.params.get("batch_size", 1))
-        return lambda b: pd.DataFrame({"match_id": b.match_id, "frame_number": b.frame_number, "object_label": ["ball" if f % 2 else "bat" for f in b.frame_number], "confidence": b.frame_number % 100 / 100, "bbox": [[int(len(b) <= size)]] * len(b)})
 
+CENTROIDS_SQL = """
+WITH v AS (SELECT vec_id, label::INT AS label, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings),
+c AS (SELECT label, list(m ORDER BY i) AS m FROM (SELECT label, i, avg(x[i]) AS m FROM v, unnest(range(1, len(x) + 1)) AS t(i) GROUP BY label, i) GROUP BY label),
+s AS (SELECT vec_id, c.label, list_dot_product(x, m) / sqrt(list_dot_product(x, x) * list_dot_product(m, m)) AS cosine FROM v CROSS JOIN c)"""
 
-class SteadyThree(analyzers.ThreeModelAnalyzer):
-    """Three models for queries; the last of them has no answer for every fifth frame."""
 
-    def load(self):
-        def predict(b: pd.DataFrame) -> pd.DataFrame:
-            rows = [(m, f, model, [[float(f)]], [0.5], [float(k)]) for m, f in zip(b.match_id, b.frame_number, strict=True) for k, model in enumerate(self.models) if k < 2 or f % 5]
-            return pd.DataFrame(rows, columns=["match_id", "frame_number", "model", "boxes", "confidences", "classes"])
-
-        return predict
-
-
-def event_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(F.concat(F.lit("m"), F.col("user_id") % 3).alias("match_id"), F.col("event_id").alias("frame_number"))
-
-
-@query("""
-SELECT 0 AS request, 'OD' AS analyzer_type, 'm1' AS match_id, event_id AS frame_number, CASE WHEN event_id % 2 = 1 THEN 'ball' ELSE 'bat' END AS object_label, 1::DOUBLE AS fits, NULL::DOUBLE AS box FROM events WHERE user_id % 3 = 1 AND event_id % 100 >= 50
-UNION ALL SELECT 1, 'three', 'm2', event_id, NULL, NULL, CASE WHEN event_id % 5 = 0 THEN -1 ELSE event_id END FROM events WHERE user_id % 3 = 2""")
+@query(CENTROIDS_SQL + """,
+best AS (SELECT vec_id, arg_max(label, cosine) AS label, max(cosine) AS cosine FROM s GROUP BY vec_id),
+three AS (SELECT vec_id, label % 3 AS k, arg_max(label, cosine) AS label, max(cosine) AS cosine FROM s GROUP BY vec_id, label % 3),
+wide AS (SELECT vec_id, min(cosine) >= 0.05 AND count(*) = 3 AS complete, max(label) FILTER (k = 2) AS label FROM three GROUP BY vec_id)
+SELECT 0 AS request, 'OD' AS analyzer_type, 'm1' AS match_id, vec_id AS frame_number, label::VARCHAR AS object_label, round(cosine, 5) AS confidence, NULL::DOUBLE AS class FROM best WHERE vec_id % 3 = 1 AND cosine >= 0.25
+UNION ALL SELECT 1, 'three', 'm2', vec_id, NULL, NULL, CASE WHEN complete THEN label ELSE -1 END FROM wide WHERE vec_id % 3 = 2""")
 def analyzer_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = [{"analyzer_type": "OD", "streamUrl": "u", "matchId": "m1", "threshold": "0.5", "batch_size": "8"}, {"analyzer_type": "three", "streamUrl": "u", "matchId": "m2", "batch_size": "8"}]
-    found = analyzers.run(asked, {"OD": Steady, "three": SteadyThree}, event_frames(spark, sf_dir))
-    box = F.when(F.col("request") == 1, F.coalesce(F.get(F.get("person_detection_model_boxes", 0), 0), F.lit(-1.0))).cast("double")
-    return found.select("request", "analyzer_type", "match_id", "frame_number", "object_label", F.get("bbox", 0).cast("double").alias("fits"), box.alias("box"))
+    """Two requests over frame vectors with models that are fitted to them: one model with a threshold, and three models of which each knows a third of the labels and may not answer."""
+    vectors = table(spark, sf_dir, "embeddings")
+    one = models.shipped(spark, models.fit_centroids(vectors, "label", "embedding"), "all.npz")
+    files = [models.shipped(spark, models.fit_centroids(vectors.where(F.col("label") % 3 == k), "label", "embedding"), f"third-{k}.npz") for k in range(3)]
+    asked = [
+        {"analyzer_type": "OD", "streamUrl": "u", "matchId": "m1", "threshold": "0.25", "batch_size": "8", "model": one},
+        {"analyzer_type": "three", "streamUrl": "u", "matchId": "m2", "batch_size": "8", "files": files, "least": "0.05"},
+    ]
+    found = analyzers.run(asked, {"OD": models.CentroidAnalyzer, "three": models.CentroidModels}, embedded_frames(spark, sf_dir))
+    cls = F.when(F.col("request") == 1, F.coalesce(F.get("person_detection_model_classes", 0), F.lit(-1.0))).cast("double")
+    return found.select("request", "analyzer_type", "match_id", "frame_number", "object_label", F.round("confidence", 5).alias("confidence"), cls.alias("class"))
 
 
 STREAM_CUTS_SQL = {
