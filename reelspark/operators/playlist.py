@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelspark.folders import stored
 from reelspark.functions import text as T
 
 #: Fixed values of the playlist format.
@@ -53,20 +54,31 @@ def rendition(of: DataFrame, playlists: DataFrame, key: str, url: str, suffix: s
     return playlists.select(key, url).join(found, key, "left").select(key, F.when(F.col("_line").isNull(), F.col(url)).otherwise(T.url_join(F.col(url), F.col("_line"))).alias("url"))
 
 
-def is_live_resolved(of: DataFrame, addresses: DataFrame, key: str, url: str, depth: int = 3) -> DataFrame:
-    """key, is_live of each playlist of ``addresses`` (key, url): a list of variants is as live as its best variant, looked up by URL, and so on ``depth`` times at most.
+def is_live_resolved(of: DataFrame, addresses: DataFrame, key: str, url: str) -> DataFrame:
+    """key, is_live of each playlist of ``addresses`` (key, url): a list of variants is as live as its best variant, looked up by URL, and so on to any depth.
 
-    What can't be resolved is not live: a playlist without lines, without variants, or whose variant has no playlist.
+    What can't be resolved is not live: a playlist without lines, without variants, whose variant has no playlist, or that leads back to itself. Of several playlists with one URL the one with the least key counts.
+    Each round looks twice as far as the one before it, so that rounds grow with the logarithm of the longest chain; direct verdicts are found once.
     """
     direct = is_live(of, key)
     found = addresses.select(key, url).join(direct, key, "left").join(best_variant(of, key).withColumnRenamed("url", "_line"), key, "left")
-    known = found.select(key, url, F.when(F.col("_line").isNull(), F.coalesce("is_live", F.lit(False))).otherwise(F.col("is_live")).alias("is_live"), T.url_join(F.col(url), F.col("_line")).alias("_next"))
-    targets = known.groupBy(F.col(url).alias("_at")).agg(F.any_value("is_live").alias("_live"), F.any_value("_next").alias("_then"))
-    for _ in range(depth):
-        ahead = known.join(targets, F.col("is_live").isNull() & (F.col("_next") == F.col("_at")), "left")
-        lost = F.col("is_live").isNull() & F.col("_at").isNull()
-        known = ahead.select(key, url, F.when(lost, False).otherwise(F.coalesce("is_live", "_live")).alias("is_live"), F.col("_then").alias("_next"))
-    return known.select(key, F.coalesce("is_live", F.lit(False)).alias("is_live"))
+    verdict = F.when(F.col("_line").isNull(), F.coalesce("is_live", F.lit(False))).otherwise(F.col("is_live"))
+    known = stored(found.select(key, F.col(url).alias("_url"), verdict.alias("_live"), F.when(verdict.isNull(), T.url_join(F.col(url), F.col("_line"))).alias("_next")), "live")
+    # Each URL's verdict, or where it leads to. A chain that is open after as many doublings as there are URLs can only be a circle.
+    links = stored(known.groupBy("_url").agg(F.min_by(F.struct("_live", "_next"), key).alias("_to")).select("_url", "_to.*"), "live")
+    open_ones = links.where("_next is not null").count()
+    for _ in range(open_ones.bit_length()):
+        ahead = links.select(F.col("_url").alias("_at"), F.col("_live").alias("_then"), F.col("_next").alias("_after"))
+        seen = links.join(ahead, F.col("_next") == F.col("_at"), "left")
+        lost = F.col("_next").isNotNull() & F.col("_at").isNull()
+        links = stored(seen.select("_url", F.when(lost, False).otherwise(F.coalesce("_live", "_then")).alias("_live"), F.when(F.col("_live").isNull() & F.col("_then").isNull(), F.col("_after")).alias("_next")), "live")
+        left = links.where("_next is not null").count()
+        if left in (0, open_ones):
+            break
+        open_ones = left
+    ends = links.select(F.col("_url").alias("_at"), F.col("_live").alias("_then"))
+    out = known.join(ends, F.col("_next") == F.col("_at"), "left")
+    return out.select(key, F.coalesce("_live", "_then", F.lit(False)).alias("is_live"))
 
 
 def new_segments(of: DataFrame, key: str, poll: str) -> DataFrame:

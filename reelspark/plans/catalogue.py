@@ -41,7 +41,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return SQL | pictures.oracle_sql() | {"stream_frame_numbering": STREAM_NUMBERING_SQL, "stream_debounce": SQL["debounce_events"], "stream_dedupe": STREAM_DEDUPE_SQL, "stream_new_segments": STREAM_SEGMENTS_SQL, "csv_append": CSV_SQL, "upsert_detections": UPSERT_SQL, "upsert_restart": RESTART_SQL, "stream_resume": STREAM_NUMBERING_SQL, "stream_sync": SQL["three_model_merge"], "stream_flushes": FLUSH_SQL} | STREAM_CUTS_SQL
+    return SQL | pictures.oracle_sql() | {"stream_frame_numbering": STREAM_NUMBERING_SQL, "stream_debounce": SQL["debounce_events"], "stream_dedupe": STREAM_DEDUPE_SQL, "stream_new_segments": STREAM_SEGMENTS_SQL, "csv_append": CSV_SQL, "upsert_detections": UPSERT_SQL, "upsert_restart": RESTART_SQL, "stream_resume": STREAM_NUMBERING_SQL, "stream_sync": SQL["three_model_merge"], "stream_flushes": FLUSH_SQL, "stream_metrics": METRICS_SQL} | STREAM_CUTS_SQL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -608,6 +608,9 @@ SELECT DISTINCT o_custkey, url FROM (
   SELECT o_custkey, 'http://h.example/live/s_' || (o_orderkey // 3) || '.ts' AS url FROM orders
   UNION ALL SELECT o_custkey, 'http://h.example/live/' || o_custkey || '/s_' || (o_orderkey // 3 + 1) || '.ts' FROM orders)"""
 CSV_SQL = "SELECT event_id, event_type, event_id AS box FROM events"
+METRICS_SQL = """
+SELECT 'metadata' AS name, count(*) AS input_rows, count(*) AS rows, count(*) FILTER (event_type = 'click') AS chosen FROM events
+UNION ALL SELECT 'detections', count(*), count(*), count(*) FILTER (value > 50) FROM events"""
 FLUSH_SQL = """
 WITH n AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS c FROM events)
 SELECT user_id, event_id, i // 12 + 1 AS flush, CASE WHEN i < c // 12 * 12 THEN 'count' ELSE 'end' END AS why FROM n"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from reelspark.functions.numeric import median_bits
 from reelspark.functions.text import url_join
 from reelspark.operators import playlist
 from reelspark.operators.detections import MODELS
-from reelspark.streaming import resume, sinks, state, sync
+from reelspark.streaming import metrics, resume, sinks, state, sync
 from reelspark.streaming.sinks import collected
 
 GAP = 6 * 3600 * 1_000_000
@@ -148,5 +149,22 @@ def stream_flushes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collected(out.select("user_id", "event_id", "flush", "why"), spark)
 
 
+def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two queries over the events, the second started after the first one's progress; their counts as the table of progress has them."""
+    at = fresh_folder(spark, "metrics")
+
+    def start(name: str, flag: str):
+        rows = metrics.counted(events(spark, sf_dir).select("event_id", "event_type", "value"), name, chosen=F.expr(flag))
+        return lambda: rows.writeStream.queryName(f"{name}-{uuid.uuid4().hex}").format("parquet").option("path", f"{at}/{name}").option("checkpointLocation", f"{at}/{name}-checkpoint").trigger(availableNow=True).start()
+
+    table = metrics.ProgressTable(spark, f"{at}/progress")
+    with table:
+        for query in metrics.staged(start("metadata", "event_type = 'click'"), start("detections", "value > 50"), timeout=300):
+            query.awaitTermination()
+        metrics.settled(table, 2, timeout=60)
+    totals = table.read().withColumn("name", F.substring_index("name", "-", 1)).groupBy("name").agg(F.sum("input_rows").alias("input_rows"), F.sum(F.col("counts")["rows"]).alias("rows"), F.sum(F.col("counts")["chosen"]).alias("chosen"))
+    return totals.where("name in ('metadata', 'detections')")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"stream_frame_numbering": stream_frame_numbering, "stream_debounce": stream_debounce, "stream_dedupe": stream_dedupe} | {f.__name__: f for f in (stream_cuts, stream_cuts_strict, stream_new_segments, csv_append, upsert_detections, upsert_restart, stream_resume, stream_sync, stream_flushes)}
+    return {"stream_frame_numbering": stream_frame_numbering, "stream_debounce": stream_debounce, "stream_dedupe": stream_dedupe} | {f.__name__: f for f in (stream_cuts, stream_cuts_strict, stream_new_segments, csv_append, upsert_detections, upsert_restart, stream_resume, stream_sync, stream_flushes, stream_metrics)}
