@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, LongType, NumericType
 
+from reelspark.operators.ordered import numbered
+
 WORDS, K, ROWS, MOST_RANGES = 5, 128, 2000, 20_000
 
 
@@ -62,12 +64,21 @@ def from_text(fingerprint: Column) -> Column:
 
 
 def place(doc_id: Column, kind: DataType) -> Column:
-    """A long of less than 53 bits, which a double holds exactly, that does not descend as ids ascend: the upper bits of a long, of a fraction what is before the point, of a text its first six bytes."""
+    """What ranges of ids are cut by: a text itself; of a number a long of less than 53 bits, which a double holds exactly, that does not descend as ids ascend: the upper bits of a long, of a fraction what is before the point."""
     if isinstance(kind, LongType):
         return F.when(doc_id.between(-(1 << 51), 1 << 51), doc_id).otherwise(F.when(doc_id > 0, F.lit(1 << 51)).otherwise(F.lit(-(1 << 51))) + F.shiftright(doc_id, 12))
     if isinstance(kind, NumericType):
         return F.floor(F.greatest(F.least(doc_id.cast("double"), F.lit(2.0**51)), F.lit(-(2.0**51)))).cast("long")
-    return F.conv(F.rpad(F.hex(F.substring(doc_id.cast("string").cast("binary"), F.lit(1), F.lit(6))), 12, "0"), 16, 10).cast("long")
+    return doc_id.cast("string")
+
+
+def quantiles(some: DataFrame, parts: int, kind: DataType) -> list:
+    """parts - 1 places (fewer, if some are equal) that cut those of ``some`` into equal shares; texts are numbered along their order, and only every nth comes to the driver."""
+    if isinstance(kind, NumericType):
+        return some.agg(F.percentile_approx("place", [i / parts for i in range(1, parts)], 10 * parts).alias("q")).first().q or []
+    known = some.where("place is not null").select("place")
+    each = max(1, -(-known.count() // parts))
+    return [r.place for r in numbered(known, [], ["place"], "nth").where(F.col("nth") % each == 0).select("place").collect()]
 
 
 def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows: int = ROWS, what=None) -> DataFrame:
@@ -81,11 +92,12 @@ def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows
     ids = base.agg(F.count("*").alias("n"), F.count("doc_id").alias("known"), F.min("doc_id").alias("first"), F.min("place").alias("start")).first()
     parts = min(MOST_RANGES, max(1, -(-ids.n // rows)))
     some = base.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, ids.n // (50 * parts)))) == 0)  # as Spark's own ranges are cut: results do not depend on where
-    cuts = some.agg(F.percentile_approx("place", [i / parts for i in range(1, parts)], 10 * parts).alias("q")).first().q if parts > 1 and ids.known else []
-    cuts = sorted(set(cuts or []) - {ids.start})
+    cuts = quantiles(some, parts, kind) if parts > 1 and ids.known else []
+    cuts = sorted(set(cuts) - {ids.start}, key=lambda x: x.encode() if isinstance(x, str) else x)
     step = max(1, int(len(cuts) ** 0.5))
-    coarse = F.lit(cuts[::step] or [None]).cast("array<long>")
-    fine = F.lit([cuts[i : i + step] for i in range(0, len(cuts), step)] or [[None]]).cast("array<array<long>>")
+    of = "long" if isinstance(kind, NumericType) else "string"
+    coarse = F.lit(cuts[::step] or [None]).cast(f"array<{of}>")
+    fine = F.lit([cuts[i : i + step] for i in range(0, len(cuts), step)] or [[None]]).cast(f"array<array<{of}>>")
     upto = lambda array: F.size(F.filter(array, lambda c: F.coalesce(c <= F.col("place"), F.lit(False))))
     block = upto(coarse)
     at = F.when(block == 0, 0).otherwise((block - 1) * step + upto(F.get(fine, F.greatest(block, F.lit(1)) - 1)))

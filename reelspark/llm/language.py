@@ -8,6 +8,7 @@ calibrates the probabilities; a prediction whose probability is below what all b
 
 Null text and text without a letter are ``und`` with score 0. Other texts get a learned language, and ``rejected`` says whether to trust it; ``identify(...,
 reject_as_und=True)`` turns rejected ones to ``und``. Without training rows all is ``und``. Equal texts get equal results; empty tables give no row.
+Texts of any length are read whole, in pieces of ``PIECE`` bytes. Columns that documents have already stay as they are: a result of that name gets an underscore before it.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField,
 
 from reelspark.llm.arrow import mix, steps, sub_hash
 from reelspark.llm.labelled import thinned
+from reelspark.llm.shared import unused
 
 BUCKET_BITS, DIMENSIONS, EPOCHS, RATE, SAMPLE, SAMPLE_CHARS, REJECT = 15, 16, 6, 0.6, 3000, 12_000, 0.01
 SIZES = (2, 3, 4)
@@ -115,6 +117,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", keep: lis
     """The columns ``keep`` of docs (all, if None), lang_pred, score and rejected."""
     ready = docs.sparkSession.sparkContext.broadcast(model)
     kept = [f for f in docs.schema if keep is None or f.name in keep]
+    names = unused(docs.select(*[f.name for f in kept]), "lang_pred", "score", "rejected")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = ready.value
@@ -139,8 +142,8 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", keep: lis
                 score.append(float(p[k]))
                 rejected.append(out)
             out = batch.select([f.name for f in kept])
-            for name, values, kind in (("lang_pred", best, pa.string()), ("score", score, pa.float64()), ("rejected", rejected, pa.bool_())):
+            for name, values, kind in zip(names, (best, score, rejected), (pa.string(), pa.float64(), pa.bool_()), strict=True):
                 out = out.append_column(name, pa.array(values, kind))
             yield out
 
-    return docs.mapInArrow(each, StructType([*kept, StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("rejected", BooleanType())]))
+    return docs.mapInArrow(each, StructType([*kept, *[StructField(n, kind()) for n, kind in zip(names, (StringType, DoubleType, BooleanType), strict=True)]]))

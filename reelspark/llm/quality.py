@@ -8,6 +8,7 @@ broadcast. Each document's exact cosines with all of them come from blocked prod
 them, vote with their labels by weight of similarity.
 
 Null or empty text has only marks, and a score like other texts. Without labelled rows all scores are 0.5. Repeated rows score alike. An empty table gives no row.
+Columns that documents have already stay as they are: a score of that name gets an underscore before it.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from reelspark.llm.arrow import mix, steps, sub_hash
 from reelspark.llm.labelled import thinned
+from reelspark.llm.shared import unused
 from reelspark.llm.shingles import word_hashes
 
 TERM_BITS, MARKS, DIMENSIONS, SAMPLE, NEIGHBOURS, SHARPNESS, SAMPLE_CHARS, BLOCK = 12, 64, 64, 2000, 24, 8.0, 40_000, 256
@@ -130,6 +132,7 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", column: str
     """The columns ``keep`` of docs (all, if None) and ``column`` double."""
     ready = docs.sparkSession.sparkContext.broadcast(model)
     kept = [f for f in docs.schema if keep is None or f.name in keep]
+    (column,) = unused(docs.select(*[f.name for f in kept]), column)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw in steps(batches, text):

@@ -9,6 +9,7 @@ labelled documents that no dictionary has seen; a shift puts the best threshold
 
 Null or empty text has no windows: it scores as a document without toxic windows. Rows are scored each for itself: ties and repeated rows score alike. With too few
 labels of one kind every score is the share of toxic labels. Empty tables give no row. Null labels and ids are not learned from.
+Columns that documents have already stay as they are: a score of that name gets an underscore before it.
 """
 
 from __future__ import annotations
@@ -207,6 +208,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", column: str = "toxi
     """The columns ``keep`` of docs (all, if None) and ``column`` double."""
     ready = docs.sparkSession.sparkContext.broadcast(model)
     kept = [f for f in docs.schema if keep is None or f.name in keep]
+    (column,) = unused(docs.select(*[f.name for f in kept]), column)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = scorer_of(ready.value)

@@ -368,6 +368,29 @@ def test_fingerprints_of_text_ids(spark):
         assert got == {a: f"t {b}" for a, b in zip(ids, [*ids[1:], ids[0]], strict=True)}
 
 
+def test_ranges_of_text_ids_with_one_beginning(spark):
+    """Ids that differ in their last letters only, and ids of two families, fall into ranges of about the size asked for."""
+    for ids in ([f"doc-{k:08}" for k in range(10_000)], [f"{'ab'[k % 2]}-common-beginning-{k:08}" for k in range(10_000)]):
+        df = spark.createDataFrame([(k, f"t {k}") for k in ids], "doc_id string, text string").repartition(3)
+        near = fingerprint.neighbours(df, rows=2000)
+        order = sorted(ids)
+        assert {r.doc_id: r.next_text for r in near.collect()} == {a: f"t {b}" for a, b in zip(order, [*order[1:], order[0]], strict=True)}
+        some = df.select(F.col("doc_id").alias("place"))
+        cuts = sorted(fingerprint.quantiles(some, 5, df.schema["doc_id"].dataType))
+        sizes = [sum(a <= k < b for k in ids) for a, b in zip(["", *cuts], [*cuts, "z"], strict=True)]
+        assert len(cuts) >= 4 and max(sizes) <= 2500
+
+
+def test_results_beside_columns_of_their_names(spark):
+    rows = [(i, t, "kept") for i, t in enumerate(["some text", None, ""])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, note string").withColumns({"score": F.lit("mine"), "lang_pred": F.lit("own"), "toxicity": F.lit(7), "Rejected": F.lit(1)})
+    found = language.identify(df, None)
+    assert found.columns == [*df.columns, "_lang_pred", "_score", "_rejected"] and {(r.score, r._lang_pred) for r in found.collect()} == {("mine", "und")}
+    assert {(r.score, r._score) for r in quality.score(df, None).collect()} == {("mine", 0.5)}
+    model = toxicity.train([(b"good words here", 0)] * 3 + [(b"bad words here", 1)] * 3)
+    assert {r.toxicity for r in toxicity.score(df, model).collect()} == {7} and "_toxicity" in toxicity.score(df, model).columns
+
+
 def test_sketches_merge(spark):
     r = random.Random(4)
     a, b = [f"{i}x{r.random()}" for i in range(900)], [f"{i}y{r.random()}" for i in range(600)]
