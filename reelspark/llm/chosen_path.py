@@ -4,7 +4,7 @@ A document's set of word shingles is embedded as ``WIDTH`` minwise tokens; two s
 independent random trees over the documents. A node of a tree selects one or two of the places, by the hash of its path; a document goes to the child (place, token) for each of them,
 so similar documents stay together on some path and others part. Each level of all trees is one job:
 
-* A node of up to ``limit`` documents is compared exhaustively, by its documents' signatures.
+* A node of up to ``limit`` (2048) documents is compared exhaustively, by its documents' signatures.
 * In a greater one all documents are compared with its least document first: those near it are candidates of one group and need no comparison among themselves
   on this path, so that they drop out once a node holds no others. The rest, and what is to be compared with the rest, is branched further.
 * A greater node whose documents are on average as near to the least as ``DENSE`` is parted by no path faster than paths multiply: it is compared exhaustively, as one group of candidates.
@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from reelspark.llm.arrow import mix, steps
 from reelspark.llm.components import components
@@ -35,7 +36,7 @@ from reelspark.llm.ngram_join import BLOCK, connected
 from reelspark.llm.shared import discarded, saved, unused
 from reelspark.llm.shingles import set_signature, shingle_sets
 
-WIDTH, LIMIT, LEVELS, RECALL = 128, 512, 8, 1 - 1e-6
+WIDTH, LIMIT, LEVELS, RECALL = 128, 2048, 8, 1 - 1e-6
 #: Paths multiply by 1.5 at each level, and pairs of this similarity by 0.9.
 DENSE = 0.6
 #: Odd factors and offsets of the minwise functions: a fixed sequence.
@@ -74,19 +75,30 @@ def minwise_tokens(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def embedded(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n, node (the set's hash; null without words), tokens (WIDTH times 4 bytes) and the signature, a byte of each token."""
+    """doc_id, n, node (the set's hash; null without words) and tokens (WIDTH times 4 bytes)."""
 
     def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw in steps(batches, "text"):
             sets = shingle_sets(raw, words)
             there = [x for x in sets if len(x)]
             tokens = iter(minwise_tokens(there)) if there else iter(())
-            rows = [(len(x), set_signature(x), (t := next(tokens)).tobytes(), t.astype(np.uint8).tobytes()) if len(x) else (0, None, None, None) for x in sets]
-            n, node, token, signature = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(token, pa.binary()), pa.array(signature, pa.binary())], names=["doc_id", "n", "node", "tokens", "signature"])
+            rows = [(len(x), set_signature(x), next(tokens).tobytes()) if len(x) else (0, None, None) for x in sets]
+            n, node, token = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(token, pa.binary())], names=["doc_id", "n", "node", "tokens"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(embed, f"doc_id {kind}, n long, node long, tokens binary, signature binary")
+    return docs.mapInArrow(embed, f"doc_id {kind}, n long, node long, tokens binary")
+
+
+def signed(nodes: DataFrame) -> DataFrame:
+    """nodes with their ``signature``, a byte of each token, which is what leaves are compared by."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                yield batch.append_column("signature", pa.array([x.tobytes() for x in rows_of(batch.column("tokens")).astype(np.uint8)], pa.binary()))
+
+    return nodes.mapInArrow(sign, StructType([*nodes.schema, StructField("signature", BinaryType())]))
 
 
 def rows_of(column: pa.Array, kind: type = np.uint32) -> np.ndarray:
@@ -175,7 +187,7 @@ def leaf_links(leaves: DataFrame, percent: int) -> DataFrame:
             yield taken(pa.Table.from_batches(held))
 
     dealt = leaves.repartition("path").sortWithinPartitions("path")
-    return dealt.mapInArrow(compare, "a long, b long").distinct()
+    return dealt.mapInArrow(compare, "a long, b long")
 
 
 def against_the_least(great: DataFrame, percent: int) -> DataFrame:
@@ -210,31 +222,43 @@ def branched(rows: DataFrame) -> DataFrame:
     return rows.select("path", *names).mapInArrow(branch, "path long, node long, label long, n long, signature binary, tokens binary")
 
 
+def described(rows: DataFrame, nodes: DataFrame, *columns: str) -> DataFrame:
+    """path, node, label and the columns of rows. Rows of the first level have none of them yet: they get what the nodes have, of which only those asked for are moved where they are few."""
+    if "label" in rows.columns:
+        return rows.select("path", "node", "label", *columns)
+    asked = nodes.select("node", *columns)
+    if "tokens" in columns:
+        asked = asked.join(rows.select("node").distinct(), "node", "left_semi")
+    return rows.join(asked, "node").select("path", "node", F.col("node").alias("label"), *columns)
+
+
 def candidates(nodes: DataFrame, percent: int, trees: int, limit: int = LIMIT, levels: int = LEVELS) -> DataFrame:
-    """(a, b) of nodes, spanning groups that hold all pairs which may be linked. nodes: node, n, tokens, signature.
+    """(a, b) of nodes, some several times, spanning groups that hold all pairs which may be linked. nodes: node, n, tokens, signature.
 
     The first level has rows of all nodes, which get signatures only where a path has others; what is branched further, little as a rule, takes its tokens along.
     """
-    level, found = planted(nodes, trees).withColumn("label", F.col("node")), []
+    level, found = planted(nodes, trees), []
     for depth in range(levels):
         level = saved(level)
-        sizes = saved(level.groupBy("path").agg(F.count("*").alias("size"), (F.min("label") < F.max("label")).alias("mixed")).where("size > 1 and mixed").drop("mixed"))
-        some = lambda which, *more: level.join(sizes.where(which).select("path"), "path").join(nodes.select("node", "n", *more), "node") if depth == 0 else level.join(sizes.where(which).select("path"), "path")  # noqa: E731, B023
-        found.append(saved(leaf_links(some(f"size <= {limit}", "signature").select("path", "node", "label", "n", "signature"), percent)))
+        counts = level.groupBy("path").agg(F.count("*").alias("size"), *([F.min("label").alias("from"), F.max("label").alias("to")] if depth else []))
+        sizes = saved(counts.where("size > 1 and `from` < `to`" if depth else "size > 1").select("path", "size"))  # at the root no two documents are in one group
+        some = lambda which, *columns: described(level.join(sizes.where(which).select("path"), "path"), nodes, *columns)  # noqa: E731, B023
+        found.append(saved(leaf_links(some(f"size <= {limit}", "n", "signature"), percent)))
         great = sizes.where(f"size > {limit}")
         if great.isEmpty():
             break
         if depth == levels - 1:  # as one group each
             whole = level.join(great.select("path"), "path").select("path", "node")
-            found.append(saved(whole.join(whole.groupBy("path").agg(F.min("node").alias("a")), "path").select("a", F.col("node").alias("b")).where("a <> b").distinct()))
+            found.append(saved(whole.join(whole.groupBy("path").agg(F.min("node").alias("a")), "path").select("a", F.col("node").alias("b")).where("a <> b")))
             break
         # The least document that is in no group on this path yet, or the least of all.
-        pivots = level.join(great.select("path"), "path").groupBy("path").agg(F.min(F.struct((F.col("label") != F.col("node")).alias("grouped"), "node"))["node"].alias("pivot"))
+        labelled = level if depth else level.withColumn("label", F.col("node"))
+        pivots = labelled.join(great.select("path"), "path").groupBy("path").agg(F.min(F.struct((F.col("label") != F.col("node")).alias("grouped"), "node"))["node"].alias("pivot"))
         pivots = pivots.join(nodes.select(F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("tokens").alias("pivot_tokens")), "pivot")
-        compared = saved(against_the_least(some(f"size > {limit}", "signature", "tokens").join(pivots, "path"), percent))
+        compared = saved(against_the_least(some(f"size > {limit}", "n", "signature", "tokens").join(pivots, "path"), percent))
         means = compared.groupBy("path").agg((F.avg("same") / WIDTH >= DENSE).alias("dense"))
         judged = compared.join(means, "path")
-        found.append(saved(judged.where("(linked or dense) and node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()))
+        found.append(judged.where("(linked or dense) and node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
         discarded(level)
         level = branched(judged.where("not dense and node <> pivot"))  # the pivot has been compared with all
     out = found[0]
@@ -248,7 +272,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = saved(embedded(base, words))
     there = rows.where("node is not null")
-    nodes = saved(there.groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("tokens").alias("tokens"), F.any_value("signature").alias("signature"), F.min("doc_id").alias("least")))
+    nodes = saved(signed(there.groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("tokens").alias("tokens"), F.min("doc_id").alias("least"))))
     pairs = candidates(nodes.drop("least"), percent, trees_for(percent, recall), limit, levels)
     groups = saved(components(pairs).select(F.col("root").alias("pivot"), "node"))
     least = nodes.select("node", "least")
