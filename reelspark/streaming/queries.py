@@ -119,7 +119,7 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as frames and their first three lines as models' answers, dealt over four files without order; a frame far ahead in time ends the wait for the answers that never come."""
+    """Orders as frames and their first three lines as models' answers, dealt over two batches without order; a frame far ahead in time ends the wait for the answers that never come."""
     at = fresh_folder(spark, "sync")
     time = lambda c: F.timestamp_seconds(F.col(c) + 86_400).alias("at")  # noqa: E731  a watermark begins at 1970, and what is not behind it is late
     frames = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("frame_number"), time("o_orderkey"))
@@ -128,7 +128,7 @@ def stream_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     answers = line.select(F.col("l_orderkey").alias("frame_number"), time("l_orderkey"), model.alias("model"), F.array(F.array(F.col("q").cast("double"))).alias("boxes"), F.array(F.lit(0.5)).alias("confidences"), F.array(F.col("l_linenumber").cast("double")).alias("classes"))
     both = frames.unionByName(answers, allowMissingColumns=True)
     far = frames.agg((F.max("frame_number") * 3 + 1_000_000).alias("frame_number")).select("frame_number", time("frame_number"))
-    both.repartition(4, F.xxhash64("frame_number", "model")).write.parquet(f"{at}/in/1")
+    both.repartition(2, F.xxhash64("frame_number", "model")).write.parquet(f"{at}/in/1")
     far.coalesce(1).write.parquet(f"{at}/in/2")
     schema = both.schema
     stream = lambda k: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in/{k}")
@@ -143,8 +143,8 @@ def stream_flushes(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = fresh_folder(spark, "flush")
     e = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "event_id")
     ends = e.groupBy("user_id").agg(F.max(F.struct("us", "event_id"))["event_id"].alias("end"))
-    e.join(ends, "user_id").select("user_id", "us", "event_id", (F.col("event_id") == F.col("end")).alias("last")).repartitionByRange(3, "us", "event_id").write.parquet(f"{at}/in")
-    stream = spark.readStream.schema("user_id bigint, us bigint, event_id bigint, last boolean").option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
+    e.join(ends, "user_id").select("user_id", "us", "event_id", (F.col("event_id") == F.col("end")).alias("last")).write.parquet(f"{at}/in")
+    stream = spark.readStream.schema("user_id bigint, us bigint, event_id bigint, last boolean").parquet(f"{at}/in")  # one batch: files of one write have no order
     out = sync.flushed(stream, "user_id", ["us", "event_id"], every_ms=None, last="last")
     return collected(out.select("user_id", "event_id", "flush", "why"), spark)
 
