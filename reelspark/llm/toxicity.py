@@ -59,22 +59,30 @@ def grams(word: bytes) -> set[bytes]:
     return {w[i : i + n] for n in GRAMS for i in range(max(1, len(w) - n + 1))}
 
 
-def known_grams(word: bytes, known: dict[bytes, set[bytes]]) -> set[bytes]:
-    got = known.get(word)
-    if got is None:
-        got = grams(word)
-        if len(word) < STRETCH:  # stretches of long runs hardly come again
-            known[word] = got
-    return got
+class Known:
+    """The n-grams of words, kept as tuples that share their bytes: a tenth of the memory of sets."""
 
+    def __init__(self) -> None:
+        self.words: dict[bytes, tuple[bytes, ...]] = {}
+        self.pool: dict[bytes, bytes] = {}
 
-def document_counts(docs: list[bytes], known: dict[bytes, set[bytes]], among: set[bytes] | None = None) -> Counter:
+    def grams(self, word: bytes) -> tuple[bytes, ...]:
+        got = self.words.get(word)
+        if got is None:
+            got = tuple(grams(word))
+            if len(word) < STRETCH:  # stretches of long runs hardly come again
+                got = tuple(self.pool.setdefault(g, g) for g in got)
+                self.words[word] = got
+        return got
+
+
+def document_counts(docs: list[bytes], known: Known, among: set[bytes] | None = None) -> Counter:
     """In how many documents each n-gram (of ``among``) is."""
     out: Counter = Counter()
     for t in docs:
         found: set[bytes] = set()
         for w in set(windows(t)):
-            found |= known_grams(w, known)
+            found.update(known.grams(w))
         out.update(found if among is None else found & among)
     return out
 
@@ -95,7 +103,7 @@ def segments(word: bytes, chosen: dict[bytes, int]) -> list[bytes]:
 
 
 def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes, bytes]:
-    known: dict[bytes, set[bytes]] = {}
+    known = Known()
     n1, n0 = len(toxic), len(ordinary)
     hot = {k: c for k, c in document_counts(toxic, known).items() if c >= max(3, n1 // 200)}
     cold = document_counts(ordinary, known, set(hot))
@@ -105,7 +113,7 @@ def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, byte
             p = (c + cold[k]) / (n1 + n0)
             if (c / n1 - cold[k] / n0) >= 5 * math.sqrt(p * (1 - p) * (1 / n1 + 1 / n0)):
                 chosen[k] = c
-    counts: Counter = Counter(s for t in toxic for w in set(windows(t)) if not known_grams(w, known).isdisjoint(chosen) for s in segments(w, chosen))
+    counts: Counter = Counter(s for t in toxic for w in set(windows(t)) if not chosen.keys().isdisjoint(known.grams(w)) for s in segments(w, chosen))
     content = b""
     for s, c in sorted(counts.items(), key=lambda x: (-x[1], x[0])):
         if c >= 3 and s not in content and len(content) < DICTIONARY_BYTES:
@@ -114,8 +122,8 @@ def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, byte
     covered: set[bytes] = set()
     plain = b" "
     for w, _ in common:
-        if len(plain) < DICTIONARY_BYTES and len(w) < 40 and not known_grams(w, known) <= covered:
-            covered |= known_grams(w, known)
+        if len(plain) < DICTIONARY_BYTES and len(w) < 40 and not covered.issuperset(known.grams(w)):
+            covered.update(known.grams(w))
             plain += w + b" "
     return content, plain, b" ".join(w for w, _ in common[:200])[:64].ljust(64, b".")
 
