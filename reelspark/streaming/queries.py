@@ -15,35 +15,45 @@ from reelspark.operators import playlist
 from reelspark.operators.detections import MODELS
 from reelspark.streaming import metrics, resume, sinks, state, sync
 from reelspark.streaming.sinks import collected
+from reelspark.streaming.source import in_order
 
 GAP = 6 * 3600 * 1_000_000
 
 
+def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream, eight files a batch, in no order. The table is a file or a folder of files."""
+    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(f"{sf_dir}/{name}.parque[t]")  # a plain path must be a folder
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 8).parquet(sf_dir)
+    return source(spark, sf_dir, "events")
+
+
+def events_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events are short, and each batch calls Python once for each user in it: so few batches, of many rows."""
+    return in_order(spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", "ts", "event_id"), F.unix_micros(F.col("ts").cast("timestamp")), 10_000_000)
 
 
 def stream_frame_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = events(spark, sf_dir).where("event_id % 7 <> 0").select("user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "event_id")
+    rows = events_in_order(spark, sf_dir).where("event_id % 7 <> 0").select("user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "event_id")
     return collected(state.number_rows(rows, "user_id", ["us", "event_id"]).select("user_id", "event_id", "frame_number"), spark)
 
 
 def stream_debounce(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = events(spark, sf_dir).select("user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    rows = events_in_order(spark, sf_dir).select("user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
     return collected(state.debounce(rows, "user_id", "us", GAP), spark)
 
 
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = events(spark, sf_dir).select("user_id", F.date_format("ts", "yyyyMMddHH").alias("segment"), F.col("ts").cast("timestamp").alias("ts"))
+    rows = events_in_order(spark, sf_dir).select("user_id", F.date_format("ts", "yyyyMMddHH").alias("segment"), F.col("ts").cast("timestamp").alias("ts"))
     seen = rows.withWatermark("ts", "30 days").dropDuplicatesWithinWatermark(["user_id", "segment"])
     return collected(seen.select("user_id", "segment"), spark)
 
 
 def camera_cuts(spark: SparkSession, sf_dir: str, least: int, gap: int) -> DataFrame:
     """Cuts of a stream of frame features. Every seventh frame has none: it is skipped and gets no number."""
-    schema = spark.read.parquet(f"{sf_dir}/embeddings.parquet").schema
-    e = spark.readStream.schema(schema).option("pathGlobFilter", "embeddings.parquet").option("maxFilesPerTrigger", 8).parquet(sf_dir)
+    e = in_order(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id"))
     bits = F.when(F.col("vec_id") % 7 != 0, median_bits(F.col("embedding")))
     frames = e.select(F.col("label").cast("bigint").alias("match_id"), "vec_id", bits.alias("bits"), F.col("embedding").alias("vector"))
     return collected(state.camera_cuts(frames, "match_id", "vec_id", gap, least=least), spark)
@@ -66,9 +76,7 @@ LISTED = "3650 days"
 
 def stream_new_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Polls of sliding playlists (an order is a poll, a customer a playlist): each segment URL once, whichever poll lists it."""
-    schema = spark.read.parquet(f"{sf_dir}/orders.parquet").schema
-    o = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").option("maxFilesPerTrigger", 8).parquet(sf_dir)
-    polls = o.select(F.struct("o_custkey", "o_orderdate").alias("poll"), F.expr(POLL).alias("body"))
+    polls = source(spark, sf_dir, "orders").select(F.struct("o_custkey", "o_orderdate").alias("poll"), F.expr(POLL).alias("body"))
     found = playlist.lines(polls, "poll", "body").select("poll.*", "line").where(F.endswith("line", F.lit(playlist.SEGMENT)))
     url = url_join(F.concat(F.lit("http://h.example/live/"), F.col("o_custkey").cast("string"), F.lit("/list.m3u8?t=1")), F.col("line"))
     seen = found.select("o_custkey", url.alias("url"), F.col("o_orderdate").cast("timestamp").alias("at")).withWatermark("at", LISTED)
@@ -110,7 +118,7 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = fresh_folder(spark, "resume")
     bounds = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.min("ts"), F.max("ts")).first()
     half = bounds[0] + (bounds[1] - bounds[0]) / 2
-    rows = events(spark, sf_dir).where("event_id % 7 <> 0").select("user_id", "ts", F.date_format("ts", "yyyyMMdd").cast("int").alias("segment_number"), F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "event_id")
+    rows = events_in_order(spark, sf_dir).where("event_id % 7 <> 0").select("user_id", "ts", F.date_format("ts", "yyyyMMdd").cast("int").alias("segment_number"), F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "event_id")
     for k, part in enumerate((rows.where(F.col("ts") <= F.lit(half)), rows)):
         table = sinks.KeyedTable(spark, f"{at}/table", ["user_id", "event_id"], buckets=16)
         numbers = resume.resumed(part.drop("ts"), table.read(), "user_id", "segment_number", ["us", "event_id"])
