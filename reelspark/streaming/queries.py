@@ -136,12 +136,12 @@ def stream_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     answers = line.select(F.col("l_orderkey").alias("frame_number"), time("l_orderkey"), model.alias("model"), F.array(F.array(F.col("q").cast("double"))).alias("boxes"), F.array(F.lit(0.5)).alias("confidences"), F.array(F.col("l_linenumber").cast("double")).alias("classes"))
     both = frames.unionByName(answers, allowMissingColumns=True)
     far = frames.agg((F.max("frame_number") * 3 + 1_000_000).alias("frame_number")).select("frame_number", time("frame_number"))
-    both.repartition(2, F.xxhash64("frame_number", "model")).write.parquet(f"{at}/in/1")
+    both.repartition(16, F.xxhash64("frame_number", "model")).write.parquet(f"{at}/in/1")
     far.coalesce(1).write.parquet(f"{at}/in/2")
     schema = both.schema
-    stream = lambda k: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in/{k}")
-    span = f"{2 * (frames.agg(F.max('frame_number')).first()[0] or 0)} seconds"
-    wide = sync.synchronised(stream("*").where("model is null").select("frame_number", "at"), stream("1").where("model is not null"), ["frame_number"], "at", 1000, lateness=span)
+    stream = lambda k: spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(f"{at}/in/{k}")
+    greatest, n = frames.agg(F.max("frame_number"), F.count("*")).first()
+    wide = sync.synchronised(stream("*").where("model is null").select("frame_number", "at"), stream("1").where("model is not null"), ["frame_number"], "at", 1000, lateness=f"{2 * (greatest or 0)} seconds", buckets=max(64, n // 4096))
     first = lambda c: F.coalesce(F.get(F.get(c, F.lit(0)), F.lit(0)), F.lit(0.0))
     return collected(wide.select("frame_number", F.size("cricket_model_boxes").alias("complete"), first(F.col("cricket_model_boxes")).alias("cricket"), first(F.col("person_detection_model_boxes")).alias("person")), spark)
 
