@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.folders import fresh_folder
+from reelspark.folders import fresh_folder, stored
 from reelspark.functions.numeric import hamming, sparse_correlation
 from reelspark.operators import cuts
 from reelspark.operators.ordered import with_previous
@@ -36,7 +36,7 @@ def raw_folder(spark: SparkSession, sf_dir: str) -> str:
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.dataSource.register(RawFrames)
-    rows = spark.read.format("raw_frames").option("width", SIDE).option("height", SIDE).option("framesPerPartition", 40).option("suffix", ".bgr").load(raw_folder(spark, sf_dir))
+    rows = spark.read.format("raw_frames").option("width", SIDE).option("height", SIDE).option("framesPerPartition", 40).option("rangesPerPartition", 30).option("suffix", ".bgr").load(raw_folder(spark, sf_dir))
     return rows.withColumn("part", F.regexp_extract("segment", "s_([0-9]+)", 1).cast("bigint"))
 
 
@@ -79,7 +79,7 @@ def picture_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def picture_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cut candidates from pixels: hashes that differ in 20 bits, and histograms that don't agree."""
-    found = frame_features(frames(spark, sf_dir), side=SIDE).select("part", "ts_frame", "bits", "bins", "counts")
+    found = stored(frame_features(frames(spark, sf_dir), side=SIDE).select("part", "ts_frame", "bits", "bins", "counts"), "features")  # with_previous reads it three times
     pairs = with_previous(found, ["part"], "ts_frame", {"bits_0": "bits", "bins_0": "bins", "counts_0": "counts"})
     both = pairs.withColumns({"hamming": hamming(F.col("bits_0"), F.col("bits")), "correlation": sparse_correlation(F.col("bins_0"), F.col("counts_0"), F.col("bins"), F.col("counts"), 50**3)})
     return both.select("part", "ts_frame", F.coalesce("hamming", F.lit(-1)).alias("hamming"), F.round("correlation", 5).alias("correlation"), cuts.is_cut().alias("is_cut"))

@@ -118,3 +118,20 @@ def test_model_files(spark):
     false = models.ModelFile(one.name, "0" * 64)
     with pytest.raises(ValueError):
         false.opened(noted)
+
+
+def test_ranges_of_many_files_share_a_task(spark, tmp_path):
+    for k in range(9):
+        (tmp_path / f"s_{k}.bgr").write_bytes(bytes([k]) * (3 * 5 + 1))
+    assert [len(p.ranges) for p in FrameReader(str(tmp_path), 1, 1, 2, "", 4).partitions()] == [4] * 6 + [3]
+    spark.dataSource.register(RawFrames)
+    read = spark.read.format("raw_frames").option("width", 1).option("height", 1).option("framesPerPartition", 2).option("rangesPerPartition", 4).load(str(tmp_path))
+    assert sorted((x.segment, x.ts_frame, bytes(x.frame)) for x in read.collect()) == [(f"s_{k}.bgr", i, bytes([k]) * 3) for k in range(9) for i in range(5)]
+    assert read.rdd.getNumPartitions() == 7
+
+
+def test_picture_cuts_reads_its_pixels_once(spark, sf_dir):
+    from reelspark.plans import pictures
+
+    assert pictures.picture_cuts(spark, sf_dir)._jdf.queryExecution().toString().count("raw_frames") == 0
+    assert "raw_frames" in pictures.raw_frames(spark, sf_dir)._jdf.queryExecution().toString()
