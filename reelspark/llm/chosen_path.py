@@ -244,18 +244,21 @@ def candidates(nodes: DataFrame, percent: int, trees: int, limit: int = LIMIT, l
         sizes = saved(counts.where("size > 1 and `from` < `to`" if depth else "size > 1").select("path", "size"))  # at the root no two documents are in one group
         some = lambda which, *columns: described(level.join(sizes.where(which).select("path"), "path"), nodes, *columns)  # noqa: E731, B023
         found.append(saved(leaf_links(some(f"size <= {limit}", "n", "signature"), percent)))
-        great = sizes.where(f"size > {limit}")
+        great = saved(sizes.where(f"size > {limit}").select("path"))  # saved, as the small tables below: Spark sees that they are small before it deals out the nodes' tokens
         if great.isEmpty():
             break
         if depth == levels - 1:  # as one group each
-            whole = level.join(great.select("path"), "path").select("path", "node")
+            whole = level.join(great, "path").select("path", "node")
             found.append(saved(whole.join(whole.groupBy("path").agg(F.min("node").alias("a")), "path").select("a", F.col("node").alias("b")).where("a <> b")))
             break
         # The least document that is in no group on this path yet, or the least of all.
-        labelled = level if depth else level.withColumn("label", F.col("node"))
-        pivots = labelled.join(great.select("path"), "path").groupBy("path").agg(F.min(F.struct((F.col("label") != F.col("node")).alias("grouped"), "node"))["node"].alias("pivot"))
-        pivots = pivots.join(nodes.select(F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("tokens").alias("pivot_tokens")), "pivot")
-        compared = saved(against_the_least(some(f"size > {limit}", "n", "signature", "tokens").join(pivots, "path"), percent))
+        inside = level.join(great, "path") if depth else saved(level.join(great, "path").withColumn("label", F.col("node")))
+        pivots = saved(inside.groupBy("path").agg(F.min(F.struct((F.col("label") != F.col("node")).alias("grouped"), "node"))["node"].alias("pivot")))
+        ready = inside.join(pivots.join(nodes.select(F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("tokens").alias("pivot_tokens")), "pivot"), "path")
+        if not depth:  # rows get their pivot before their own tokens: only numbers are dealt by path, of which one may have most rows
+            asked = saved(inside.select("node").distinct())
+            ready = ready.join(nodes.select("node", "n", "signature", "tokens").join(asked, "node", "left_semi"), "node")
+        compared = saved(against_the_least(ready.select("path", "node", "label", "n", "signature", "tokens", "pivot", "pivot_n", "pivot_tokens"), percent))
         means = compared.groupBy("path").agg((F.avg("same") / WIDTH >= DENSE).alias("dense"))
         judged = compared.join(means, "path")
         found.append(judged.where("(linked or dense) and node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
