@@ -135,3 +135,36 @@ def test_picture_cuts_reads_its_pixels_once(spark, sf_dir):
 
     assert pictures.picture_cuts(spark, sf_dir)._jdf.queryExecution().toString().count("raw_frames") == 0
     assert "raw_frames" in pictures.raw_frames(spark, sf_dir)._jdf.queryExecution().toString()
+
+
+#: Vectors as bytes, each pixel made of three as in ``plans.pictures``: two cosines in the middle are equal by arithmetic, and rounding alone decides. The first is one of 4,000,000 at random.
+TIED = """6c7d84875e678e77879c75829a78809aa264827d806e77828192786b6d6581847987799489808db2938c96708b94888c7f859a7b817675736a7f897f827c7889
+75729689867275757f797a7d6d8c936a78986a6f829c7070a1818e8292787591798094716b95a35b6384867b8897859374637b858375879385848b7d7a7c879d
+72677d9e8d75888a767589798a7070748990796c6795736e767f787687718a7c8774989a8b758b7a63979c7183938d767d6f6c996a885f7981808184626d759d
+79797e79796d789f7c8c9d8e7c8a788986738d897f996c83957d7677a47c6e6d986977817163837b9268897e86798278746b7270938d7898778f867275988852""".split()
+
+
+@pytest.mark.parametrize("size", [8, 3, 16])
+def test_cosines_are_added_from_the_last_pixel(size):
+    r = random.Random(size)
+    for grey in (np.array([[r.randrange(255001) / 1000 for _ in range(size)] for _ in range(size)]), np.full((size, size), 77.7)):
+        wave = lambda u, k: math.cos(math.pi * u * (2 * k + 1) / (2 * size))
+        want = [0.0] * 9
+        for y in reversed(range(size)):
+            for x in reversed(range(size)):
+                want = [c + float(grey[y, x]) * 4 * wave(k // 3, y) * wave(k % 3, x) for k, c in enumerate(want)]
+        assert P.slowest(grey, 3).tolist() == want
+
+
+def test_picture_hash_of_equal_cosines(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    from reelspark.plans import pictures
+
+    vectors = [list(bytes.fromhex(x)) for x in TIED] + [[k] * 64 for k in range(0, 256, 5)] + [[200 * (i % 8 in (2, 5)) for i in range(64)]]
+    spark.createDataFrame([(95 + i, [(x + 0.5) / 128 - 1 for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>").coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.sql("SET threads = 1")  # more than two may split a sum, and then its order is open
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    for name in ("picture_hash", "picture_cuts"):
+        got = sorted(map(tuple, pictures.queries()[name](spark, str(tmp_path)).collect()))
+        assert got == sorted(con.sql(pictures.oracle_sql()[name]).fetchall()) and len(got) == len(vectors)
