@@ -163,7 +163,7 @@ def test_picture_hash_of_equal_cosines(spark, tmp_path):
     vectors = [list(bytes.fromhex(x)) for x in TIED] + [[k] * 64 for k in range(0, 256, 5)] + [[200 * (i % 8 in (2, 5)) for i in range(64)]]
     spark.createDataFrame([(95 + i, [(x + 0.5) / 128 - 1 for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>").coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
     con = duckdb.connect()
-    con.sql("SET threads = 1")  # more than two may split a sum, and then its order is open
+    con.sql("SET threads = 1")  # more may split a sum, and then its order is open
     con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
     for name in ("picture_hash", "picture_cuts"):
         got = sorted(map(tuple, pictures.queries()[name](spark, str(tmp_path)).collect()))
